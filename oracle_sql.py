@@ -8,7 +8,7 @@ from tillroll.operators.enrichment import (
     POSITIVE_WORDS,
     URGENT_WORDS,
 )
-from tillroll.sources.star_views import with_inputs
+from tillroll.sources.star_views import with_clause, with_inputs
 
 AS_OF = "date '2001-08-01'"
 
@@ -16,8 +16,7 @@ AS_OF = "date '2001-08-01'"
 def _with(names: list[str], ctes: dict[str, str], body: str) -> str:
     """A query over the sample views `names` and further common tables."""
     parts = {**with_inputs(*names), **ctes}
-    listed = ",\n".join(f"{name} as ({sql})" for name, sql in parts.items())
-    return f"with {listed}\n{body}" if parts else body
+    return with_clause(parts) + body
 
 
 def _cents(value: str) -> str:
@@ -89,8 +88,12 @@ ENRICHMENT = """select review_id,
                     from model_responses))"""
 
 
+# What may stand next to a whole word: anything but letters, digits and the underscore.
+EDGE = r"[^\p{L}\p{N}_]"
+
+
 def _words(words: tuple[str, ...]) -> str:
-    return rf"regexp_matches(review_text, '(?i)\b({'|'.join(words)})\b')"
+    return rf"regexp_matches(lower(review_text), '(^|{EDGE})({'|'.join(words)})($|{EDGE})')"
 
 
 RULES = (
@@ -124,10 +127,10 @@ CLEAN_SQL = r"""select conv_id, turn, regexp_replace(regexp_replace(regexp_repla
           regexp_replace(raw_sql, '^\s+|\s+$', '', 'g'), '^```(sql)?', ''), '^\s+|\s+$', '', 'g'),
           '```$', ''), '^\s+|\s+$', '', 'g') as sql
         from model_sql"""
-GUARDED = r"""select conv_id, turn,
+GUARDED = rf"""select conv_id, turn,
           case when sql is null or not regexp_matches(sql, '(?is)^\s*select') then 'not a select'
-               when regexp_matches(sql, '(?i)\b(insert|update|delete|drop|alter|create|attach|copy|'
-                      || 'pragma|call|export|import)\b') then 'forbidden keyword'
+               when regexp_matches(lower(sql), '(^|{EDGE})(insert|update|delete|drop|alter|create|'
+                      || 'attach|copy|pragma|call|export|import)($|{EDGE})') then 'forbidden keyword'
                else '' end as reason
         from clean_sql"""
 

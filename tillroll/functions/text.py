@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,9 +23,16 @@ def in_domain(value: Column, allowed: Sequence[str], default: str) -> Column:
     return F.when(value.isin(*allowed), value).otherwise(F.lit(default))
 
 
-def whole_word(text: Column, words: Sequence[str]) -> Column:
-    """True where any of the words stands on its own in the text, in any case."""
-    return text.rlike(r"(?i)\b(" + "|".join(words) + r")\b")
+def whole_word(lowered: Column, words: Sequence[str]) -> Column:
+    """True where any of the words stands on its own in the lower-cased text.
+
+    The plain search comes first, so that the slower pattern only meets texts that hold the word.
+    """
+    edge = r"[^\p{L}\p{N}_]"
+    found = [
+        lowered.contains(word) & lowered.rlike(rf"(^|{edge}){word}($|{edge})") for word in words
+    ]
+    return reduce(lambda one, other: one | other, found)
 
 
 def strip_space(text: Column) -> Column:

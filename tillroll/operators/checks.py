@@ -11,8 +11,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegralType
 
 
 @dataclass(frozen=True)
@@ -72,61 +73,78 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
     return child.where(F.col(fk).isNotNull()).join(keys, fk, "left_anti")
 
 
-def _long_form(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
-    ]
-    return df.select(F.lit(table).alias("table"), F.explode(F.array(*entries)).alias("entry")).select(
-        "table", "entry.column", "entry.value"
-    )
+def _as_value(df: DataFrame, column: str) -> Column:
+    """The column as text or, for whole numbers and dates, as a number, which groups faster."""
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, DateType):
+        return F.unix_date(column).cast("bigint")
+    return F.col(column).cast("bigint" if isinstance(dtype, IntegralType) else "string")
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _tested_columns(suite: Sequence[Check]) -> dict[str, list[str]]:
-    columns: dict[str, list[str]] = {}
-    for check in suite:
-        seen = columns.setdefault(check.table, [])
-        if check.column not in seen:
-            seen.append(check.column)
-    return columns
+def _count_values(
+    tables: Mapping[str, DataFrame], suite: Sequence[Check], columns: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """(entry, rows, is_null, orphan): rows per value of each column, entry being its position."""
+    entry_of = {column: position for position, column in enumerate(columns)}
+    values = []
+    for table in dict.fromkeys(table for table, _ in columns):
+        tested = [column for t, column in columns if t == table]
+        pairs = [
+            F.struct(
+                F.lit(entry_of[table, column]).alias("entry"),
+                _as_value(tables[table], column).alias("value"),
+            )
+            for column in tested
+        ]
+        if len(pairs) == 1:
+            values.append(tables[table].select(pairs[0].alias("pair")).select("pair.*"))
+        else:
+            values.append(tables[table].select(F.inline(F.array(*pairs))))
+    counts = _union(values).groupBy("entry", "value").agg(F.count("*").alias("rows"))
+    is_null = F.col("value").isNull()
+
+    references = [c for c in suite if c.test == "relationships"]
+    if not references:
+        return counts.select("entry", "rows", is_null.alias("is_null"), F.lit(False).alias("orphan"))
+    parents = _union(
+        [
+            tables[c.parent].select(
+                F.lit(entry_of[c.table, c.column]).alias("entry"),
+                _as_value(tables[c.parent], c.parent_key).alias("value"),
+            )
+            for c in references
+        ]
+    ).distinct()
+    matched = counts.join(parents.withColumn("known", F.lit(True)), ["entry", "value"], "left")
+    orphan = ~is_null & F.col("known").isNull()
+    return matched.select("entry", "rows", is_null.alias("is_null"), orphan.alias("orphan"))
 
 
 def run_checks(tables: Mapping[str, DataFrame], suite: Sequence[Check] = tuple(SUITE)) -> DataFrame:
-    """Report (test, table, column, failures) with one row per check of the suite."""
-    spark = next(iter(tables.values())).sparkSession
-    values = _union(
-        [_long_form(tables[t], t, columns) for t, columns in _tested_columns(suite).items()]
-    )
-    counts = values.groupBy("table", "column", "value").agg(F.count("*").alias("rows"))
+    """Report (test, table, column, failures) with one row per check of the suite.
 
-    references = [c for c in suite if c.test == "relationships"]
-    if references:
-        parents = _union(
-            [
-                tables[c.parent].select(
-                    F.lit(c.table).alias("table"),
-                    F.lit(c.column).alias("column"),
-                    F.col(c.parent_key).cast("string").alias("value"),
-                )
-                for c in references
-            ]
-        ).distinct()
-        counts = counts.join(
-            parents.withColumn("has_parent", F.lit(True)), ["table", "column", "value"], "left"
-        )
-    else:
-        counts = counts.withColumn("has_parent", F.lit(None).cast("boolean"))
-
-    present = F.col("value").isNotNull()
-    orphan = present & F.col("has_parent").isNull()
-    verdicts = counts.groupBy("table", "column").agg(
-        F.coalesce(F.sum(F.when(~present, F.col("rows"))), F.lit(0)).alias("not_null"),
-        F.count_if(present & (F.col("rows") > 1)).alias("unique"),
-        F.coalesce(F.sum(F.when(orphan, F.col("rows"))), F.lit(0)).alias("relationships"),
-    )
+    Failures are rows for not_null and relationships, and repeated values for unique. Number and
+    text keys are counted apart, so that a column is compared with parents of its own kind.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    columns = list(dict.fromkeys((c.table, c.column) for c in suite))
+    textual = {
+        (table, column)
+        for table, column in columns
+        if not isinstance(tables[table].schema[column].dataType, (IntegralType, DateType))
+    }
+    verdicts = []
+    for group in (
+        [c for c in columns if c not in textual],
+        [c for c in columns if c in textual],
+    ):
+        if group:
+            inside = [c for c in suite if (c.table, c.column) in group]
+            verdicts.append(_verdicts(_count_values(tables, inside, group), group))
     # The suite is a short list in code; a table without rows has no verdict and no failure.
     listed = spark.createDataFrame(
         [(c.test, c.table, c.column) for c in suite], "test string, table string, column string"
@@ -136,11 +154,32 @@ def run_checks(tables: Mapping[str, DataFrame], suite: Sequence[Check] = tuple(S
         .when(F.col("test") == "unique", F.col("unique"))
         .otherwise(F.col("relationships"))
     )
-    return listed.join(verdicts, ["table", "column"], "left").select(
+    return listed.join(_union(verdicts), ["table", "column"], "left").select(
         "test", "table", "column", F.coalesce(failures, F.lit(0)).alias("failures")
     )
 
 
+def _verdicts(counts: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    rows = F.col("rows")
+    tables_by_entry = F.array(*[F.lit(table) for table, _ in columns])
+    columns_by_entry = F.array(*[F.lit(column) for _, column in columns])
+    return (
+        counts.groupBy("entry")
+        .agg(
+            F.sum(F.when(F.col("is_null"), rows).otherwise(0)).alias("not_null"),
+            F.count_if(~F.col("is_null") & (rows > 1)).alias("unique"),
+            F.sum(F.when(F.col("orphan"), rows).otherwise(0)).alias("relationships"),
+        )
+        .select(
+            F.get(tables_by_entry, F.col("entry")).alias("table"),
+            F.get(columns_by_entry, F.col("entry")).alias("column"),
+            "not_null",
+            "unique",
+            "relationships",
+        )
+    )
+
+
 def require_passed(report: DataFrame) -> None:
     """Raise if the report holds failures. Reads the report: one row per check."""
     failed = report.where(F.col("failures") > 0).orderBy("table", "column", "test").collect()

@@ -43,12 +43,13 @@ def _first_issue(text: Column) -> Column:
 
 
 def classify_by_rules(reviews: DataFrame) -> DataFrame:
-    found = reviews.select(
+    text = F.col("lowered")
+    found = reviews.select("review_id", F.lower("review_text").alias("lowered")).select(
         "review_id",
-        _first_issue(F.col("review_text")).alias("issue_type"),
-        F.coalesce(whole_word(F.col("review_text"), NEGATIVE_WORDS), F.lit(False)).alias("bad"),
-        F.coalesce(whole_word(F.col("review_text"), POSITIVE_WORDS), F.lit(False)).alias("good"),
-        F.coalesce(whole_word(F.col("review_text"), URGENT_WORDS), F.lit(False)).alias("urgent"),
+        _first_issue(text).alias("issue_type"),
+        F.coalesce(whole_word(text, NEGATIVE_WORDS), F.lit(False)).alias("bad"),
+        F.coalesce(whole_word(text, POSITIVE_WORDS), F.lit(False)).alias("good"),
+        F.coalesce(whole_word(text, URGENT_WORDS), F.lit(False)).alias("urgent"),
     )
     complaint = F.col("bad") | (F.col("issue_type") != "none")
     return found.select(

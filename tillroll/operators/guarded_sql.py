@@ -27,10 +27,12 @@ def clean_sql(df: DataFrame, column: str) -> DataFrame:
 
 def guard_sql(df: DataFrame, column: str) -> DataFrame:
     """Add the verdict on each text: `allowed`, and `reason` where it is refused."""
-    reason = F.when(~starts_with_select(F.col(column)), F.lit("not a select")).when(
-        whole_word(F.col(column), FORBIDDEN_KEYWORDS), F.lit("forbidden keyword")
-    )
-    verdict = df.withColumn("reason", F.when(F.col(column).isNull(), "not a select").otherwise(reason))
+    reason = (
+        F.when(~F.coalesce(starts_with_select(F.col("lowered")), F.lit(False)), "not a select")
+        .when(whole_word(F.col("lowered"), FORBIDDEN_KEYWORDS), "forbidden keyword")
+    )
+    lowered = df.withColumn("lowered", F.lower(column))
+    verdict = lowered.withColumn("reason", reason).drop("lowered")
     return verdict.withColumn("allowed", F.col("reason").isNull())
 
 
@@ -54,7 +56,7 @@ def run_readonly_sql(session: SparkSession, sql: str) -> DataFrame:
     """
     text = session.createDataFrame([(sql,)], "sql string")
     checked = guard_sql(clean_sql(text, "sql"), "sql").withColumn(
-        "java_call", whole_word(F.col("sql"), JAVA_CALLS)
+        "java_call", whole_word(F.lower("sql"), JAVA_CALLS)
     )
     verdict = checked.first()
     if not verdict["allowed"]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import as_of_date, year_month
-from tillroll.functions.numbers import exact_mean, exact_sum
+from tillroll.functions.numbers import exact_mean, exact_sum, safe_ratio
 from tillroll.operators.marts import with_status
 
 
@@ -21,26 +21,26 @@ def completed_transactions(fct: DataFrame) -> DataFrame:
 
 
 def kpi_total_revenue(fct: DataFrame) -> DataFrame:
-    total = F.coalesce(exact_sum(F.col("line_amount")), F.lit(0.0))
+    total = F.coalesce(exact_sum("line_amount"), F.lit(0.0))
     return completed_transactions(fct).agg(total.alias("total_revenue"))
 
 
 def kpi_aov(orders: DataFrame) -> DataFrame:
     """Mean order total of completed orders."""
-    mean = F.coalesce(exact_mean(F.col("order_total")), F.lit(0.0))
+    mean = F.coalesce(exact_mean("order_total"), F.lit(0.0))
     return with_status(orders, "completed").agg(mean.alias("avg_order_value"))
 
 
 def kpi_cancellation_rate(mart: DataFrame) -> DataFrame:
     """Unweighted mean of the customers' rates; customers without orders count as 0."""
-    mean = F.coalesce(exact_mean(F.col("cancellation_rate"), 4), F.lit(0.0))
+    mean = F.coalesce(exact_mean("cancellation_rate", 4), F.lit(0.0))
     return mart.agg(mean.alias("cancellation_rate"))
 
 
 def order_cancellation_rate(orders: DataFrame) -> DataFrame:
     """Cancelled orders over all orders."""
-    share = F.try_divide(F.count_if(F.col("status") == "cancelled").cast("double"), F.count("*"))
-    return orders.agg(F.coalesce(F.round(share * 10000) / 10000, F.lit(0.0)).alias("cancellation_rate"))
+    share = safe_ratio("count_if(status = 'cancelled')", "count(*)", 4)
+    return orders.agg(share.alias("cancellation_rate"))
 
 
 def active_only(mart: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def kpi_summary(fct: DataFrame, orders: DataFrame, mart: DataFrame) -> DataFrame
     """
     per_customer = mart.agg(
         F.struct(
-            F.coalesce(exact_mean(F.col("cancellation_rate"), 4), F.lit(0.0)).alias("rate"),
+            F.coalesce(exact_mean("cancellation_rate", 4), F.lit(0.0)).alias("rate"),
             F.count_if("is_active_customer").alias("active"),
         ).alias("figures")
     )
@@ -68,26 +68,24 @@ def kpi_summary(fct: DataFrame, orders: DataFrame, mart: DataFrame) -> DataFrame
         kpi_aov(orders).scalar().alias("avg_order_value"),
         per_customer.scalar().alias("mart"),
     )
-    summary = figures.select(
+    summary = figures.selectExpr(
         "total_revenue",
         "avg_order_value",
-        F.col("mart.rate").alias("cancellation_rate"),
-        F.col("mart.active").alias("active_customers"),
+        "mart.rate as cancellation_rate",
+        "mart.active as active_customers",
     )
-    return summary.select(
+    return summary.selectExpr(
         "*",
-        F.concat(F.lit("$"), F.format_number("total_revenue", 0)).alias("total_revenue_text"),
-        F.concat(F.lit("$"), F.format_number("avg_order_value", 2)).alias("avg_order_value_text"),
-        F.concat(F.format_number(F.col("cancellation_rate") * 100, 1), F.lit("%")).alias(
-            "cancellation_rate_text"
-        ),
-        F.format_number("active_customers", 0).alias("active_customers_text"),
+        "'$' || format_number(total_revenue, 0) as total_revenue_text",
+        "'$' || format_number(avg_order_value, 2) as avg_order_value_text",
+        "format_number(cancellation_rate * 100, 1) || '%' as cancellation_rate_text",
+        "format_number(active_customers, 0) as active_customers_text",
     )
 
 
 def _revenue_per(fct: DataFrame, key: str) -> DataFrame:
     return completed_transactions(fct).groupBy(key).agg(
-        exact_sum(F.col("line_amount")).alias("key_revenue")
+        exact_sum("line_amount").alias("key_revenue")
     )
 
 
@@ -97,7 +95,7 @@ def revenue_by_product(fct: DataFrame, dim_product: DataFrame) -> DataFrame:
         _revenue_per(fct, "product_id")
         .join(dim_product.select("product_id", "product_name", "category"), "product_id")
         .groupBy("product_name", "category")
-        .agg(exact_sum(F.col("key_revenue")).alias("revenue"))
+        .agg(exact_sum("key_revenue").alias("revenue"))
     )
 
 
@@ -124,7 +122,7 @@ def revenue_by_region(fct: DataFrame, dim_customer: DataFrame, n: int | None = 5
         _revenue_per(fct, "customer_id")
         .join(dim_customer.select("customer_id", "region"), "customer_id")
         .groupBy("region")
-        .agg(exact_sum(F.col("key_revenue")).alias("revenue"))
+        .agg(exact_sum("key_revenue").alias("revenue"))
     )
     if n is None:
         return by_region
@@ -137,7 +135,7 @@ def revenue_by_month(fct: DataFrame) -> DataFrame:
         completed_transactions(fct)
         .where(F.col("order_date").isNotNull())
         .groupBy(year_month(F.col("order_date")).alias("year_month"))
-        .agg(exact_sum(F.col("line_amount")).alias("revenue"))
+        .agg(exact_sum("line_amount").alias("revenue"))
     )
 
 
@@ -146,7 +144,7 @@ def revenue_last_month(fct: DataFrame, as_of: dt.date | None = None) -> DataFram
     this_month = F.trunc(as_of_date(as_of), "month")
     last_month = F.add_months(this_month, -1)
     in_range = (F.col("order_date") >= last_month) & (F.col("order_date") < this_month)
-    revenue = F.coalesce(exact_sum(F.col("line_amount")), F.lit(0.0)).alias("revenue")
+    revenue = F.coalesce(exact_sum("line_amount"), F.lit(0.0)).alias("revenue")
     total = completed_transactions(fct).where(in_range).agg(revenue)
     return total.select(year_month(last_month).alias("year_month"), "revenue")
 
@@ -154,13 +152,13 @@ def revenue_last_month(fct: DataFrame, as_of: dt.date | None = None) -> DataFram
 def aov_by_region(mart: DataFrame) -> DataFrame:
     """Mean of the customers' average order values."""
     return mart.groupBy("region").agg(
-        exact_mean(F.col("avg_order_value")).alias("avg_order_value")
+        exact_mean("avg_order_value").alias("avg_order_value")
     )
 
 
 def cancellation_hotspots(mart: DataFrame) -> DataFrame:
     return mart.groupBy("region", "segment").agg(
-        exact_mean(F.col("cancellation_rate"), 4).alias("cancellation_rate")
+        exact_mean("cancellation_rate", 4).alias("cancellation_rate")
     )
 
 

@@ -11,8 +11,8 @@ from tillroll.operators.marts import without_status
 
 def order_totals(items: DataFrame) -> DataFrame:
     """Order value from its lines."""
-    amount = F.col("quantity") * F.col("unit_price")
-    return items.groupBy("order_id").agg(exact_sum(amount).alias("order_total"))
+    total = exact_sum("quantity * unit_price")
+    return items.groupBy("order_id").agg(total.alias("order_total"))
 
 
 def first_item_per_order(items: DataFrame) -> DataFrame:

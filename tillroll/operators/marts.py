@@ -32,17 +32,14 @@ def date_bounds(orders: DataFrame, column: str = "order_date") -> DataFrame:
 
 def dim_date(orders: DataFrame) -> DataFrame:
     """One row per day from the first to the last order. The spine grows with days, not orders."""
-    spine = date_bounds(orders).select(
-        F.explode(F.sequence("min_date", "max_date")).alias("date_day")
-    )
-    day = F.col("date_day")
+    spine = date_bounds(orders).selectExpr("explode(sequence(min_date, max_date)) as date_day")
     return spine.select(
         "date_day",
-        F.year(day).cast("bigint").alias("year"),
-        F.month(day).cast("bigint").alias("month"),
-        F.dayofmonth(day).cast("bigint").alias("day"),
-        day_of_week(day).alias("day_of_week"),
-        year_month(day).alias("year_month"),
+        F.expr("cast(year(date_day) as bigint) as year"),
+        F.expr("cast(month(date_day) as bigint) as month"),
+        F.expr("cast(day(date_day) as bigint) as day"),
+        day_of_week(F.col("date_day")).alias("day_of_week"),
+        year_month(F.col("date_day")).alias("year_month"),
     )
 
 
@@ -70,12 +67,8 @@ def without_status(df: DataFrame, status: str) -> DataFrame:
     return df.where(F.col("status") != status)
 
 
-def _is(status: str) -> Column:
-    return F.col("status") == status
-
-
-def _completed_total() -> Column:
-    return F.when(_is("completed"), F.col("order_total")).otherwise(F.lit(0.0))
+# Order value that counts as revenue.
+COMPLETED_TOTAL = "case when status = 'completed' then order_total else 0d end"
 
 
 def orders_per_customer(orders: DataFrame) -> DataFrame:
@@ -89,30 +82,24 @@ def _one_row_per_order(orders: DataFrame, by: str, *extra: Column) -> DataFrame:
 
     Its shuffle key (group, order) stays even when one group holds a large share of the rows.
     """
-    seen = [F.coalesce(F.max(_is(s)), F.lit(False)).alias(f"any_{s}") for s in ORDER_STATUSES]
+    seen = [F.expr(f"coalesce(max(status = '{s}'), false) as any_{s}") for s in ORDER_STATUSES]
     return orders.groupBy(by, "order_id").agg(*seen, *extra)
 
 
-def _order_counts() -> list[Column]:
-    known = F.col("order_id").isNotNull()
-    total = F.count_if(known).alias("total_orders")
-    return [total] + [
-        F.count_if(known & F.col(f"any_{s}")).alias(f"{s}_orders") for s in ORDER_STATUSES
+def _status_counts() -> list[Column]:
+    """Orders per state over rows that stand for one order each; a missing id is no order."""
+    return [
+        F.expr(f"count_if(order_id is not null and any_{s}) as {s}_orders") for s in ORDER_STATUSES
     ]
 
 
-def _flags() -> list[Column]:
-    return [F.coalesce(_is(s), F.lit(False)).alias(f"any_{s}") for s in ORDER_STATUSES]
-
-
 def orders_by_status(orders: DataFrame, by: str = "customer_id") -> DataFrame:
     """Distinct orders per group and state, without a row expansion per distinct count."""
-    counts = _order_counts()
-    return _one_row_per_order(orders, by).groupBy(by).agg(*counts[1:])
+    return _one_row_per_order(orders, by).groupBy(by).agg(*_status_counts())
 
 
 def revenue_by(orders: DataFrame, by: str = "customer_id") -> DataFrame:
-    return orders.groupBy(by).agg(exact_sum(_completed_total()).alias("total_revenue"))
+    return orders.groupBy(by).agg(exact_sum(COMPLETED_TOTAL).alias("total_revenue"))
 
 
 def order_date_range_by(orders: DataFrame, by: str = "customer_id") -> DataFrame:
@@ -128,24 +115,28 @@ def customer_order_facts(orders: DataFrame, unique_orders: bool = False) -> Data
     `unique_orders=True` asserts that order_id was checked to be unique: the distinct counts then
     need no grouping by order first, which saves one shuffle.
     """
-    known = orders.where(F.col("customer_id").isNotNull())
+    known = orders.where("customer_id is not null")
     if unique_orders:
-        rows = known.select(
-            "customer_id", "order_id", *_flags(),
-            _completed_total().alias("revenue"),
-            F.col("order_date").alias("first_date"),
-            F.col("order_date").alias("last_date"),
-        )
+        per_order = known.selectExpr(
+            "customer_id",
+            "order_id",
+            *[f"coalesce(status = '{s}', false) as any_{s}" for s in ORDER_STATUSES],
+            f"{COMPLETED_TOTAL} as revenue",
+            "order_date as first_date",
+            "order_date as last_date",
+        )
     else:
-        rows = _one_row_per_order(
-            known, "customer_id",
-            exact_sum(_completed_total()).alias("revenue"),
+        per_order = _one_row_per_order(
+            known,
+            "customer_id",
+            exact_sum(COMPLETED_TOTAL).alias("revenue"),
             F.min("order_date").alias("first_date"),
             F.max("order_date").alias("last_date"),
-        )
-    return rows.groupBy("customer_id").agg(
-        *_order_counts(),
-        exact_sum(F.col("revenue")).alias("total_revenue"),
+        )
+    return per_order.groupBy("customer_id").agg(
+        F.count("order_id").alias("total_orders"),
+        *_status_counts(),
+        exact_sum("revenue").alias("total_revenue"),
         F.min("first_date").alias("first_order_date"),
         F.max("last_date").alias("last_order_date"),
     )
@@ -175,8 +166,8 @@ def mart_customer_performance(
         *customers.columns,
         *counts,
         "total_revenue",
-        safe_ratio(F.col("total_revenue"), F.col("completed_orders"), 2).alias("avg_order_value"),
-        safe_ratio(F.col("cancelled_orders"), F.col("total_orders"), 4).alias("cancellation_rate"),
+        safe_ratio("total_revenue", "completed_orders", 2).alias("avg_order_value"),
+        safe_ratio("cancelled_orders", "total_orders", 4).alias("cancellation_rate"),
         "first_order_date",
         "last_order_date",
         is_active(F.col("last_order_date"), as_of).alias("is_active_customer"),

@@ -9,15 +9,15 @@ from tillroll.functions.numbers import round_half_up
 
 
 def require_key(df: DataFrame, key: str) -> DataFrame:
-    return df.where(F.col(key).isNotNull())
+    return df.where(f"{key} is not null")
 
 
 def stg_customers(raw_customers: DataFrame) -> DataFrame:
-    return require_key(raw_customers, "customer_id").select(
+    return require_key(raw_customers, "customer_id").selectExpr(
         "customer_id",
-        F.trim("first_name").alias("first_name"),
-        F.trim("last_name").alias("last_name"),
-        F.lower(F.trim("email")).alias("email"),
+        "trim(first_name) as first_name",
+        "trim(last_name) as last_name",
+        "lower(trim(email)) as email",
         "signup_date",
         "region",
         "segment",
@@ -25,14 +25,13 @@ def stg_customers(raw_customers: DataFrame) -> DataFrame:
 
 
 def stg_products(raw_products: DataFrame) -> DataFrame:
-    margin = round_half_up(F.col("price") - F.col("cost"), 2)
     return require_key(raw_products, "product_id").select(
         "product_id",
-        F.trim("product_name").alias("product_name"),
+        F.expr("trim(product_name) as product_name"),
         "category",
         "cost",
         "price",
-        margin.alias("margin"),
+        round_half_up("price - cost", 2).alias("margin"),
     )
 
 
@@ -43,24 +42,23 @@ def stg_orders(raw_orders: DataFrame) -> DataFrame:
 
 
 def stg_order_items(raw_order_items: DataFrame) -> DataFrame:
-    amount = round_half_up(F.col("quantity") * F.col("unit_price"), 2)
     return require_key(raw_order_items, "order_item_id").select(
         "order_item_id",
         "order_id",
         "product_id",
         "quantity",
         "unit_price",
-        amount.alias("line_amount"),
+        round_half_up("quantity * unit_price", 2).alias("line_amount"),
     )
 
 
 def stg_reviews(raw_reviews: DataFrame) -> DataFrame:
-    return require_key(raw_reviews, "review_id").select(
+    return require_key(raw_reviews, "review_id").selectExpr(
         "review_id",
         "order_id",
         "customer_id",
         "product_id",
         "review_date",
         "rating",
-        F.trim("review_text").alias("review_text"),
+        "trim(review_text) as review_text",
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas
+from tillroll.functions.numbers import round_half_up
 from tillroll.functions.vectors import cosine
 from tillroll.operators import (
     checks,
@@ -22,7 +23,7 @@ from tillroll.operators import (
 from tillroll.plans.models import build_gold, build_staging
 from tillroll.session import scratch_path, tune
 from tillroll.sources import landing, tables
-from tillroll.sources.star_views import star_view
+from tillroll.sources.star_views import read_sample, star_view
 from tillroll.streaming.incremental import pending
 
 # The day the reports look back from: the last order day of the sample.
@@ -173,14 +174,14 @@ def _build_embeddings(s: Sample) -> DataFrame:
 
 
 def _cosine_scores(s: Sample) -> DataFrame:
-    vectors = s.spark.read.parquet(f"{s.sf_dir}/embeddings.parquet")
+    vectors = read_sample(s.spark, s.sf_dir, "embeddings")
     asked = s.view("question_vectors").withColumnRenamed("question_id", "label")
-    score = F.round(cosine(F.col("embedding"), F.col("question")) * 1e6) / 1e6
-    return vectors.join(asked, "label").select(
+    scored = vectors.join(asked, "label").select(
         F.col("vec_id").alias("review_id"),
         F.col("label").cast("bigint").alias("question_id"),
-        score.alias("score"),
+        cosine(F.col("embedding"), F.col("question")).alias("cosine"),
     )
+    return scored.select("review_id", "question_id", round_half_up("cosine", 6).alias("score"))
 
 
 def _retrieve_topk(s: Sample) -> DataFrame:

@@ -11,11 +11,24 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The sample tables.
-SAMPLE_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
+# The sample tables that the views use, with their columns.
+SAMPLE_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 
 VIEWS: dict[str, str] = {
     # Padded and mixed-case on purpose, so that trim and lower have work to do.
@@ -47,9 +60,11 @@ VIEWS: dict[str, str] = {
                o_totalprice as order_total
         from orders""",
     # The source has no line key, so its fields are packed into one number (2^33 keeps it in range).
+    # It is never NULL, which lets a query that does not use it leave those fields unread.
     "raw_order_items": """
-        select ((((l_orderkey % 8589934592) * 10 + l_linenumber) * 1024 + l_partkey % 1024) * 1024
-                 + l_suppkey % 1024) * 64 + cast(l_quantity as bigint) % 64 as order_item_id,
+        select coalesce(
+                 ((((l_orderkey % 8589934592) * 10 + l_linenumber) * 1024 + l_partkey % 1024) * 1024
+                   + l_suppkey % 1024) * 64 + cast(l_quantity as bigint) % 64, 0) as order_item_id,
                l_orderkey as order_id, l_partkey as product_id, cast(l_quantity as int) as quantity,
                floor(l_extendedprice / l_quantity * 100 + 0.5) / 100 as unit_price
         from lineitem""",
@@ -105,7 +120,8 @@ def _tables_of(sql: str) -> list[str]:
 
 
 def read_sample(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(SAMPLE_TABLES[name]).parquet(path)
 
 
 def with_inputs(*names: str) -> dict[str, str]:
@@ -116,11 +132,14 @@ def with_inputs(*names: str) -> dict[str, str]:
     return listed
 
 
+def with_clause(selects: dict[str, str]) -> str:
+    listed = ",\n".join(f"{name} as ({sql})" for name, sql in selects.items())
+    return f"with {listed}\n"
+
+
 def star_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the views above over the Parquet tables of a folder."""
     selects = with_inputs(name)
     for table in _tables_of(" ".join(selects.values())):
         read_sample(spark, sf_dir, table).createOrReplaceTempView(table)
-    for view, sql in selects.items():
-        spark.sql(sql).createOrReplaceTempView(view)
-    return spark.table(name)
+    return spark.sql(with_clause(selects) + f"select * from {name}")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,39 +33,46 @@ def read_table(spark: SparkSession, root: str, layer: str | None, name: str) ->
     return spark.read.parquet(table_path(root, layer, name))
 
 
-def _is_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists in whatever file system its scheme names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The stored table, or an empty frame of the schema if nothing was stored yet."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if not _is_missing(error):
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key: of several, the least by the other columns. Rows without a key drop out.
+
+    The rows of a key are merged before they are shuffled, however many there are.
+    """
+    others = [name for name in df.columns if name != key]
+    merged = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*others)).alias("row"))
+    return merged.select(
+        *[F.col(name) if name == key else F.col(f"row.{name}") for name in df.columns]
+    )
 
 
 def append_new(new: DataFrame, path: str, schema: StructType, key: str) -> DataFrame:
     """Append the rows whose key is not stored yet, one per key, and return the stored table.
 
-    Running it again with the same rows adds nothing. Of several new rows with one key the least by
-    the other columns is kept; the rows of a key are merged before they are shuffled.
+    Running it again with the same rows adds nothing.
     """
-    spark = new.sparkSession
-    stored = read_or_empty(spark, path, schema)
-    others = [name for name in schema.fieldNames() if name != key]
-    one_per_key = (
-        new.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(F.struct(*others)).alias("row"))
-        .select(key, *[F.col(f"row.{name}").alias(name) for name in others])
-        .select(*schema.fieldNames())
-    )
-    fresh = one_per_key.join(stored.select(key), key, "left_anti")
+    columns = schema.fieldNames()
+    stored = read_or_empty(new.sparkSession, path, schema)
+    fresh = new.select(*columns).join(stored.select(key), key, "left_anti")
+    return append_rows(one_per_key(fresh, key), path, schema)
+
+
+def append_rows(fresh: DataFrame, path: str, schema: StructType) -> DataFrame:
+    """Append rows whose keys are known to be new, and return the stored table."""
     fresh.select(*schema.fieldNames()).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return fresh.sparkSession.read.schema(schema).parquet(path)
 
 
 def register_layer(spark: SparkSession, root: str, layer: str, names: list[str]) -> None:
