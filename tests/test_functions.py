@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tillroll.functions import dates, numbers, text, vectors
+
+
+@pytest.mark.parametrize(
+    ("value", "rounded"),
+    [(1.005, 1.0), (2.675, 2.68), (0.125, 0.13), (-2.5, -2.5), (-0.125, -0.13), (None, None)],
+)
+def test_round_half_up(spark, value, rounded):
+    df = spark.createDataFrame([(value,)], "x double")
+    assert df.select(numbers.round_half_up("x", 2)).first()[0] == rounded
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=200))
+def test_round_matches_sql_engine(spark, values):
+    halves = values + [v // 1 + 0.5 for v in values] + [v // 1 / 200 for v in values]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(halves)], "i long, x double")
+    ours = [r[1] for r in df.select("i", numbers.round_half_up("x", 2)).orderBy("i").collect()]
+    con = duckdb.connect()
+    theirs = con.execute(
+        "select round(x * 100) / 100 from (select unnest(?::double[]) as x)", [halves]
+    ).fetchall()
+    assert ours == [t[0] for t in theirs]
+
+
+def test_exact_sum_and_mean_do_not_depend_on_order(spark):
+    values = [0.1, 0.2, 0.3, 1e9, -1e9, 7.77] * 50
+    sums = set()
+    for part in (values, values[::-1], sorted(values)):
+        df = spark.createDataFrame([(v,) for v in part], "x double").repartition(5)
+        sums.add(tuple(df.agg(numbers.exact_sum("x"), numbers.exact_mean("x")).first()))
+    assert sums == {(418.5, 1.4)}
+
+
+def test_mean_of_nothing_is_null(spark):
+    df = spark.createDataFrame([], "x double")
+    assert df.agg(numbers.exact_mean("x")).first()[0] is None
+
+
+def test_safe_ratio(spark):
+    df = spark.createDataFrame([(1, 3), (1, 0), (1, None), (None, 2)], "n long, d long")
+    got = [r[0] for r in df.select(numbers.safe_ratio("n", "d", 4)).collect()]
+    assert got == [0.3333, 0.0, 0.0, None]
+
+
+def test_day_of_week_starts_on_sunday(spark):
+    df = spark.createDataFrame([(dt.date(2024, 6, 30),), (dt.date(2024, 7, 6),)], "d date")
+    assert [r[0] for r in df.select(dates.day_of_week(F.col("d"))).collect()] == [0, 6]
+
+
+def test_activity_window(spark):
+    as_of = dt.date(2024, 6, 30)
+    days = [as_of - dt.timedelta(180), as_of - dt.timedelta(181), as_of, None]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = [r[0] for r in df.select(dates.is_active(F.col("d"), as_of)).collect()]
+    assert got == [True, False, True, False]
+
+
+def test_in_domain(spark):
+    df = spark.createDataFrame([("a",), ("z",), (None,)], "v string")
+    got = [r[0] for r in df.select(text.in_domain(F.col("v"), ["a", "b"], "none")).collect()]
+    assert got == ["a", "none", "none"]
+
+
+def test_whole_word(spark):
+    df = spark.createDataFrame(
+        [("too late.",), ("plate",), ("élate",), ("late",), ("late_fee",), (None,)], "t string"
+    )
+    got = [r[0] for r in df.select(text.whole_word(F.col("t"), ["late", "slow"])).collect()]
+    assert got == [True, False, False, True, False, None]
+
+
+@pytest.mark.parametrize(
+    ("raw", "clean"),
+    [
+        ("```sql\nselect 1\n```", "select 1"),
+        ("```\nselect 1```  ", "select 1"),
+        ("  select 1 \n", "select 1"),
+        ("select '```'", "select '```'"),
+        ("", ""),
+    ],
+)
+def test_without_fences(spark, raw, clean):
+    df = spark.createDataFrame([(raw,)], "t string")
+    assert df.select(text.without_fences(F.col("t"))).first()[0] == clean
+
+
+def test_cosine(spark):
+    df = spark.createDataFrame(
+        [([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 1.0]), (None, [1.0, 1.0])],
+        "a array<float>, b array<float>",
+    )
+    got = [r[0] for r in df.select(vectors.cosine(F.col("a"), F.col("b"))).collect()]
+    assert got[0] == pytest.approx(0.70710678118654)
+    assert got[1:] == [None, None]
+
+
+def test_vector_of_wrong_width_is_an_error(spark):
+    df = spark.createDataFrame([([1.0, 2.0],)], "a array<double>")
+    assert df.select(vectors.as_vector(F.col("a"), 2)).first()[0] == [1.0, 2.0]
+    with pytest.raises(Exception, match="expected 3 values, got 2"):
+        df.select(vectors.as_vector(F.col("a"), 3)).collect()

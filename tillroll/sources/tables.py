@@ -65,8 +65,8 @@ def append_new(new: DataFrame, path: str, schema: StructType, key: str) -> DataF
     """
     columns = schema.fieldNames()
     stored = read_or_empty(new.sparkSession, path, schema)
-    fresh = new.select(*columns).join(stored.select(key), key, "left_anti")
-    return append_rows(one_per_key(fresh, key), path, schema)
+    fresh = one_per_key(new.select(*columns), key).join(stored.select(key), key, "left_anti")
+    return append_rows(fresh, path, schema)
 
 
 def append_rows(fresh: DataFrame, path: str, schema: StructType) -> DataFrame:
