@@ -451,13 +451,10 @@ def all_oracles() -> dict[str, str]:
                         where word <> '')
                   group by review_id, text_no, bucket)""",
         ),
-        "cosine_scores": _with(
-            ["question_vectors"], {},
-            """select e.vec_id as review_id, cast(e.label as bigint) as question_id,
-              round(list_cosine_similarity(cast(e.embedding as double[]),
-                                           cast(q.question as double[])) * 1000000) / 1000000 as score
-            from embeddings e join question_vectors q on e.label = q.question_id""",
-        ),
+        "cosine_scores": """select vec_id as review_id,
+              round(list_cosine_similarity(cast(embedding as double[]), cast(question as double[]))
+                    * 1000000) / 1000000 as score
+            from embeddings, (select min_by(embedding, vec_id) as question from embeddings)""",
         "retrieve_topk": _over(
             "retrieved",
             """select cast(question_id as bigint) as question_id, rank, review_id,

@@ -54,8 +54,10 @@ def test_newest_landing_by_date_and_by_file_time(spark, tmp_path, orders):
     assert landing.latest_dt(spark, root, "orders", by="mtime") == "2024-06-01"
     newest = landing.latest_partition(spark, root, "orders")
     assert newest.count() == 2
-    plan = newest._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan
+    assert {f.split("/")[-2] for f in newest.inputFiles()} == {"dt=2024-06-02"}
+    assert rows(newest.select("dt").distinct()) == [(NEXT,)]
+    one_day = landing.read_raw(spark, root, "orders").where(F.col("dt") == DAY)
+    assert "PartitionFilters: [isnotnull(dt" in one_day._jdf.queryExecution().toString()
 
 
 def test_schema_inference_is_an_option(spark, tmp_path, orders):
@@ -132,5 +134,6 @@ def test_object_store_options():
 def test_listing_reads_no_content(spark, tmp_path, orders):
     landing.land_raw(orders.withColumn("pad", F.lit("x" * 1000)), str(tmp_path), "orders", DAY)
     files = spark.read.format("binaryFile").load(str(tmp_path / "orders"))
-    plan = files.agg(F.max("dt"))._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan
+    for newest in (F.max("dt"), F.max_by("dt", F.struct("modificationTime", "dt"))):
+        plan = files.agg(newest)._jdf.queryExecution().executedPlan().toString()
+        assert "content" not in plan[plan.index("ReadSchema") :], plan

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType
 
@@ -73,110 +73,104 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
     return child.where(F.col(fk).isNotNull()).join(keys, fk, "left_anti")
 
 
-def _as_value(df: DataFrame, column: str) -> Column:
-    """The column as text or, for whole numbers and dates, as a number, which groups faster."""
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, DateType):
-        return F.unix_date(column).cast("bigint")
-    return F.col(column).cast("bigint" if isinstance(dtype, IntegralType) else "string")
+def _is_number(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (IntegralType, DateType))
+
+
+def _as_value(df: DataFrame, column: str) -> str:
+    """SQL for the column as text or, for whole numbers and dates, as a number (groups faster)."""
+    if isinstance(df.schema[column].dataType, DateType):
+        return f"cast(unix_date(`{column}`) as bigint)"
+    return f"cast(`{column}` as {'bigint' if _is_number(df, column) else 'string'})"
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)
+
+
+def _long_form(df: DataFrame, entries: Mapping[int, str]) -> DataFrame:
+    """(entry, value) of the given columns, in one pass over the table."""
+    if len(entries) == 1:
+        ((entry, column),) = entries.items()
+        return df.selectExpr(f"{entry} as entry", f"{_as_value(df, column)} as value")
+    pairs = [
+        f"named_struct('entry', {entry}, 'value', {_as_value(df, column)})"
+        for entry, column in entries.items()
+    ]
+    return df.selectExpr(f"inline(array({', '.join(pairs)}))")
 
 
 def _count_values(
     tables: Mapping[str, DataFrame], suite: Sequence[Check], columns: Sequence[tuple[str, str]]
 ) -> DataFrame:
-    """(entry, rows, is_null, orphan): rows per value of each column, entry being its position."""
-    entry_of = {column: position for position, column in enumerate(columns)}
-    values = []
-    for table in dict.fromkeys(table for table, _ in columns):
-        tested = [column for t, column in columns if t == table]
-        pairs = [
-            F.struct(
-                F.lit(entry_of[table, column]).alias("entry"),
-                _as_value(tables[table], column).alias("value"),
-            )
-            for column in tested
-        ]
-        if len(pairs) == 1:
-            values.append(tables[table].select(pairs[0].alias("pair")).select("pair.*"))
-        else:
-            values.append(tables[table].select(F.inline(F.array(*pairs))))
+    """(entry, value, rows, known): rows per value of each column, entry being its position.
+
+    `known` is true for values that have a parent where relationships asks for one.
+    """
+    entry_of = {column: entry for entry, column in enumerate(columns)}
+    values = [
+        _long_form(tables[table], {entry_of[table, c]: c for t, c in columns if t == table})
+        for table in dict.fromkeys(table for table, _ in columns)
+    ]
     counts = _union(values).groupBy("entry", "value").agg(F.count("*").alias("rows"))
-    is_null = F.col("value").isNull()
 
     references = [c for c in suite if c.test == "relationships"]
     if not references:
-        return counts.select("entry", "rows", is_null.alias("is_null"), F.lit(False).alias("orphan"))
-    parents = _union(
-        [
-            tables[c.parent].select(
-                F.lit(entry_of[c.table, c.column]).alias("entry"),
-                _as_value(tables[c.parent], c.parent_key).alias("value"),
-            )
-            for c in references
-        ]
-    ).distinct()
-    matched = counts.join(parents.withColumn("known", F.lit(True)), ["entry", "value"], "left")
-    orphan = ~is_null & F.col("known").isNull()
-    return matched.select("entry", "rows", is_null.alias("is_null"), orphan.alias("orphan"))
+        return counts.withColumn("known", F.lit(True))
+    parents = [
+        _long_form(tables[c.parent], {entry_of[c.table, c.column]: c.parent_key})
+        for c in references
+    ]
+    known = _union(parents).distinct().withColumn("known", F.lit(True))
+    return counts.join(known, ["entry", "value"], "left")
+
+
+def _verdicts(counts: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    def name_of(part: int) -> str:
+        names = ", ".join(f"'{column[part]}'" for column in columns)
+        return f"get(array({names}), entry)"
+
+    return (
+        counts.groupBy("entry")
+        .agg(
+            F.expr("sum(if(value is null, rows, 0)) as not_null"),
+            F.expr("count_if(value is not null and rows > 1) as unique"),
+            F.expr("sum(if(value is not null and known is null, rows, 0)) as relationships"),
+        )
+        .selectExpr(
+            f"{name_of(0)} as table",
+            f"{name_of(1)} as column",
+            "not_null",
+            "unique",
+            "relationships",
+        )
+    )
 
 
 def run_checks(tables: Mapping[str, DataFrame], suite: Sequence[Check] = tuple(SUITE)) -> DataFrame:
     """Report (test, table, column, failures) with one row per check of the suite.
 
     Failures are rows for not_null and relationships, and repeated values for unique. Number and
-    text keys are counted apart, so that a column is compared with parents of its own kind.
+    text columns are counted apart, each against parents of its own kind.
     """
     spark = next(iter(tables.values())).sparkSession
     columns = list(dict.fromkeys((c.table, c.column) for c in suite))
-    textual = {
-        (table, column)
-        for table, column in columns
-        if not isinstance(tables[table].schema[column].dataType, (IntegralType, DateType))
-    }
+    numbers = [(table, c) for table, c in columns if _is_number(tables[table], c)]
+    texts = [column for column in columns if column not in numbers]
     verdicts = []
-    for group in (
-        [c for c in columns if c not in textual],
-        [c for c in columns if c in textual],
-    ):
-        if group:
-            inside = [c for c in suite if (c.table, c.column) in group]
-            verdicts.append(_verdicts(_count_values(tables, inside, group), group))
+    for group in filter(None, (numbers, texts)):
+        inside = [c for c in suite if (c.table, c.column) in group]
+        verdicts.append(_verdicts(_count_values(tables, inside, group), group))
     # The suite is a short list in code; a table without rows has no verdict and no failure.
     listed = spark.createDataFrame(
         [(c.test, c.table, c.column) for c in suite], "test string, table string, column string"
     )
-    failures = (
-        F.when(F.col("test") == "not_null", F.col("not_null"))
-        .when(F.col("test") == "unique", F.col("unique"))
-        .otherwise(F.col("relationships"))
-    )
-    return listed.join(_union(verdicts), ["table", "column"], "left").select(
-        "test", "table", "column", F.coalesce(failures, F.lit(0)).alias("failures")
-    )
-
-
-def _verdicts(counts: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
-    rows = F.col("rows")
-    tables_by_entry = F.array(*[F.lit(table) for table, _ in columns])
-    columns_by_entry = F.array(*[F.lit(column) for _, column in columns])
-    return (
-        counts.groupBy("entry")
-        .agg(
-            F.sum(F.when(F.col("is_null"), rows).otherwise(0)).alias("not_null"),
-            F.count_if(~F.col("is_null") & (rows > 1)).alias("unique"),
-            F.sum(F.when(F.col("orphan"), rows).otherwise(0)).alias("relationships"),
-        )
-        .select(
-            F.get(tables_by_entry, F.col("entry")).alias("table"),
-            F.get(columns_by_entry, F.col("entry")).alias("column"),
-            "not_null",
-            "unique",
-            "relationships",
-        )
+    return listed.join(_union(verdicts), ["table", "column"], "left").selectExpr(
+        "test",
+        "table",
+        "column",
+        "coalesce(case test when 'not_null' then not_null when 'unique' then unique"
+        " else relationships end, 0) as failures",
     )
 
 

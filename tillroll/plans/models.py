@@ -16,6 +16,9 @@ GOLD_TABLES = (
     "dim_customer", "dim_product", "dim_date", "fct_transactions", "mart_customer_performance",
 )
 
+# Columns that reports filter on: stored files are sorted by them.
+SORT_BY = {"fct_transactions": ("order_date",)}
+
 
 def build_staging(raw: Tables) -> dict[str, DataFrame]:
     """Staging relations of the raw entities that are there."""

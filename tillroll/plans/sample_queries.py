@@ -23,7 +23,7 @@ from tillroll.operators import (
 from tillroll.plans.models import build_gold, build_staging
 from tillroll.session import scratch_path, tune
 from tillroll.sources import landing, tables
-from tillroll.sources.star_views import read_sample, star_view
+from tillroll.sources.star_views import star_view
 from tillroll.streaming.incremental import pending
 
 # The day the reports look back from: the last order day of the sample.
@@ -174,14 +174,13 @@ def _build_embeddings(s: Sample) -> DataFrame:
 
 
 def _cosine_scores(s: Sample) -> DataFrame:
-    vectors = read_sample(s.spark, s.sf_dir, "embeddings")
-    asked = s.view("question_vectors").withColumnRenamed("question_id", "label")
-    scored = vectors.join(asked, "label").select(
-        F.col("vec_id").alias("review_id"),
-        F.col("label").cast("bigint").alias("question_id"),
-        cosine(F.col("embedding"), F.col("question")).alias("cosine"),
+    """Every stored vector against one question, which joins no table: it is a scalar subquery."""
+    question = s.index.agg(F.min_by("embedding", "review_id")).scalar()
+    pairs = s.index.select("review_id", "embedding", question.alias("question"))
+    scored = pairs.select(
+        "review_id", cosine(F.col("embedding"), F.col("question")).alias("cosine")
     )
-    return scored.select("review_id", "question_id", round_half_up("cosine", 6).alias("score"))
+    return scored.select("review_id", round_half_up("cosine", 6).alias("score"))
 
 
 def _retrieve_topk(s: Sample) -> DataFrame:
