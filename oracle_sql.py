@@ -467,6 +467,18 @@ def all_oracles() -> dict[str, str]:
                          chr(10) order by rank) as context
             from retrieved group by question_id""",
         ),
+        "review_drafts": _over(
+            "stg_orders stg_order_items stg_products",
+            """select o.order_id,
+              cast(o.order_date + cast(o.order_id % 12 + 3 as int) as date) as review_date,
+              concat(upper(p.product_name[1]), lower(p.product_name[2:]), ' Toy came ',
+                     o.order_id % 12 + 3, ' days late; ', o.order_id % 12 + 3, ' days!') as review_text
+            from stg_orders o
+            join (select order_id, product_id, row_number() over (
+                    partition by order_id order by order_item_id) as n from stg_order_items) i
+              on i.order_id = o.order_id and n = 1
+            join stg_products p on p.product_id = i.product_id""",
+        ),
         "sql_response_clean": _over("clean_sql", "select * from clean_sql"),
         "sql_guard": _over(
             "guarded", "select conv_id, turn, reason = '' as allowed, reason from guarded"

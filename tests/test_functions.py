@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tillroll import session
 from tillroll.functions import dates, numbers, text, vectors
 
 
@@ -110,3 +111,27 @@ def test_vector_of_wrong_width_is_an_error(spark):
     assert df.select(vectors.as_vector(F.col("a"), 2)).first()[0] == [1.0, 2.0]
     with pytest.raises(Exception, match="expected 3 values, got 2"):
         df.select(vectors.as_vector(F.col("a"), 3)).collect()
+
+
+def test_templates(spark):
+    df = spark.createDataFrame([("big RED mug", 4)], "name string, days int")
+    filled = text.fill_template(
+        F.lit("{product}: {days}, {days}."), product=text.capitalized(F.col("name")), days=F.col("days")
+    )
+    assert df.select(filled).first()[0] == "Big red mug: 4, 4."
+    nouns = spark.createDataFrame([("Toys",), ("Glass",), ("Apparel",)], "n string")
+    got = [r[0] for r in nouns.select(text.singular(F.col("n"))).collect()]
+    assert got == ["Toy", "Glas", "Apparel"]
+
+
+def test_shuffles_fit_the_input(spark):
+    before = spark.conf.get(session.INITIAL_PARTITIONS, None)
+    try:
+        session.fit_shuffles(spark, 1)
+        assert spark.conf.get(session.INITIAL_PARTITIONS, None) == before
+        session.fit_shuffles(spark, 100 * 2**40)
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "32768"
+        session.fit_shuffles(spark, 10 * 2**30)
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "32768"
+    finally:
+        spark.conf.unset(session.INITIAL_PARTITIONS)

@@ -63,3 +63,20 @@ def json_object(text: Column, schema: str) -> Column:
 def excerpt_line(review_id: Column, rating: Column, text: Column) -> Column:
     """One line of the prompt that carries retrieved reviews."""
     return F.format_string("[review %d] (rating %d/5): %s", review_id, rating, text)
+
+
+def fill_template(template: Column, **values: Column) -> Column:
+    """Put each value in the place of its `{name}`."""
+    for name, value in values.items():
+        template = F.replace(template, F.lit("{" + name + "}"), value.cast("string"))
+    return template
+
+
+def capitalized(text: Column) -> Column:
+    """First letter upper case, all others lower case."""
+    return F.concat(F.upper(F.substring(text, 1, 1)), F.lower(F.substr(text, F.lit(2))))
+
+
+def singular(noun: Column) -> Column:
+    """The noun without one trailing `s`."""
+    return F.regexp_replace(noun, "s$", "")

@@ -88,16 +88,16 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
-def _long_form(df: DataFrame, entries: Mapping[int, str]) -> DataFrame:
-    """(entry, value) of the given columns, in one pass over the table."""
+def _long_form(df: DataFrame, entries: Mapping[int, str], rows: int) -> DataFrame:
+    """(entry, value, rows) of the given columns, in one pass over the table."""
     if len(entries) == 1:
         ((entry, column),) = entries.items()
-        return df.selectExpr(f"{entry} as entry", f"{_as_value(df, column)} as value")
+        return df.selectExpr(f"{entry} as entry", f"{_as_value(df, column)} as value", f"{rows}L as rows")
     pairs = [
         f"named_struct('entry', {entry}, 'value', {_as_value(df, column)})"
         for entry, column in entries.items()
     ]
-    return df.selectExpr(f"inline(array({', '.join(pairs)}))")
+    return df.selectExpr(f"inline(array({', '.join(pairs)}))").selectExpr("*", f"{rows}L as rows")
 
 
 def _count_values(
@@ -105,24 +105,24 @@ def _count_values(
 ) -> DataFrame:
     """(entry, value, rows, known): rows per value of each column, entry being its position.
 
-    `known` is true for values that have a parent where relationships asks for one.
+    `known` is true for values that have a parent where relationships asks for one. Parent keys are
+    grouped together with the child's values, as rows that count nothing, which takes no join.
     """
     entry_of = {column: entry for entry, column in enumerate(columns)}
     values = [
-        _long_form(tables[table], {entry_of[table, c]: c for t, c in columns if t == table})
+        _long_form(tables[table], {entry_of[table, c]: c for t, c in columns if t == table}, rows=1)
         for table in dict.fromkeys(table for table, _ in columns)
     ]
-    counts = _union(values).groupBy("entry", "value").agg(F.count("*").alias("rows"))
-
-    references = [c for c in suite if c.test == "relationships"]
-    if not references:
-        return counts.withColumn("known", F.lit(True))
     parents = [
-        _long_form(tables[c.parent], {entry_of[c.table, c.column]: c.parent_key})
-        for c in references
+        _long_form(tables[c.parent], {entry_of[c.table, c.column]: c.parent_key}, rows=0)
+        for c in suite
+        if c.test == "relationships"
     ]
-    known = _union(parents).distinct().withColumn("known", F.lit(True))
-    return counts.join(known, ["entry", "value"], "left")
+    return (
+        _union(values + parents)
+        .groupBy("entry", "value")
+        .agg(F.sum("rows").alias("rows"), F.expr("min(rows) = 0 as known"))
+    )
 
 
 def _verdicts(counts: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
@@ -135,7 +135,7 @@ def _verdicts(counts: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFram
         .agg(
             F.expr("sum(if(value is null, rows, 0)) as not_null"),
             F.expr("count_if(value is not null and rows > 1) as unique"),
-            F.expr("sum(if(value is not null and known is null, rows, 0)) as relationships"),
+            F.expr("sum(if(value is not null and not known, rows, 0)) as relationships"),
         )
         .selectExpr(
             f"{name_of(0)} as table",

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas
 from tillroll.functions.numbers import round_half_up
+from tillroll.functions.text import capitalized, fill_template, singular
 from tillroll.functions.vectors import cosine
 from tillroll.operators import (
     checks,
@@ -21,7 +23,7 @@ from tillroll.operators import (
     retrieval,
 )
 from tillroll.plans.models import build_gold, build_staging
-from tillroll.session import scratch_path, tune
+from tillroll.session import fit_shuffles, scratch_path, tune
 from tillroll.sources import landing, tables
 from tillroll.sources.star_views import star_view
 from tillroll.streaming.incremental import pending
@@ -32,11 +34,17 @@ AS_OF = dt.date(2001, 8, 1)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+@lru_cache
+def _input_bytes(spark: SparkSession, sf_dir: str) -> int:
+    return tables.path_bytes(spark, sf_dir)
+
+
 class Sample:
     """Lazy access to the relations over one folder of sample tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
+        fit_shuffles(spark, _input_bytes(spark, sf_dir))
         self.sf_dir = sf_dir
         self._raw: dict[str, DataFrame] = {}
         self._models: dict[str, DataFrame] = {}
@@ -200,6 +208,22 @@ def _rag_context(s: Sample) -> DataFrame:
     )
 
 
+def _review_drafts(s: Sample) -> DataFrame:
+    """Template texts filled per order, dated some days after it."""
+    orders = lines.order_first_product(s.stg("orders"), s.stg("order_items"), s.dim_product)
+    days = F.col("order_id") % 12 + 3
+    draft = fill_template(
+        F.lit("{product} came {days} days late; {days} days!"),
+        product=F.concat(capitalized(F.col("product_name")), F.lit(" "), singular(F.lit("Toys"))),
+        days=days,
+    )
+    return orders.select(
+        "order_id",
+        F.date_add("order_date", days.cast("int")).alias("review_date"),
+        draft.alias("review_text"),
+    )
+
+
 def _sql_response_clean(s: Sample) -> DataFrame:
     return guarded_sql.clean_sql(s.view("model_sql"), "raw_sql").withColumnRenamed("raw_sql", "sql")
 
@@ -314,6 +338,7 @@ _BY_SAMPLE: dict[str, Callable[[Sample], DataFrame]] = {
     "cosine_scores": _cosine_scores,
     "retrieve_topk": _retrieve_topk,
     "rag_context": _rag_context,
+    "review_drafts": _review_drafts,
     "sql_response_clean": _sql_response_clean,
     "sql_guard": _sql_guard,
     "guarded_sql_revenue": _guarded_sql_revenue,

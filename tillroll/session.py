@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Run-time settings. Partition counts and memory stay with whoever starts the cluster.
+# Run-time settings. Memory and cores stay with whoever starts the cluster.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -26,6 +26,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# A shuffle of a whole input is cut so that a partition stands for this much of it, within a bound
+# that the driver's book-keeping can carry. AQE merges the partitions that turn out small.
+INPUT_BYTES_PER_PARTITION = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 32_768
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the number of shuffle partitions to suit the input; it is never lowered."""
+    wanted = min(MAX_SHUFFLE_PARTITIONS, input_bytes // INPUT_BYTES_PER_PARTITION + 1)
+    current = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(
+        "spark.sql.shuffle.partitions"
+    )
+    if wanted > int(current):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+
+
 def object_store_conf(
     endpoint: str, access_key: str, secret_key: str, tls: bool = False
 ) -> dict[str, str]:

@@ -43,10 +43,21 @@ def read_table(spark: SparkSession, root: str, layer: str | None, name: str) ->
     return spark.read.parquet(table_path(root, layer, name))
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists in whatever file system its scheme names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    files, hadoop_path = _file_system(spark, path)
+    return files.exists(hadoop_path)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes in all files under the path, from the file system's own count."""
+    files, hadoop_path = _file_system(spark, path)
+    return files.getContentSummary(hadoop_path).getLength()
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
