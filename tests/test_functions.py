@@ -126,12 +126,16 @@ def test_templates(spark):
 
 def test_shuffles_fit_the_input(spark):
     before = spark.conf.get(session.INITIAL_PARTITIONS, None)
+    read_before = spark.conf.get(session.READ_BYTES)
     try:
-        session.fit_shuffles(spark, 1)
+        session.fit_partitions(spark, 1)
         assert spark.conf.get(session.INITIAL_PARTITIONS, None) == before
-        session.fit_shuffles(spark, 100 * 2**40)
+        assert spark.conf.get(session.READ_BYTES) == read_before
+        session.fit_partitions(spark, 100 * 2**40)
         assert spark.conf.get(session.INITIAL_PARTITIONS) == "32768"
-        session.fit_shuffles(spark, 10 * 2**30)
+        assert spark.conf.get(session.READ_BYTES) == f"{2**30}b"
+        session.fit_partitions(spark, 10 * 2**30)
         assert spark.conf.get(session.INITIAL_PARTITIONS) == "32768"
     finally:
         spark.conf.unset(session.INITIAL_PARTITIONS)
+        spark.conf.unset(session.READ_BYTES)

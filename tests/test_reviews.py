@@ -165,9 +165,22 @@ def test_retrieval_equals_brute_force(spark, monkeypatch, per_pass):
     assert sorted(tuple(r) for r in got.collect()) == brute_force(questions, index, reviews, 7)
 
 
+def test_copies_of_one_vector_are_ranked_by_id(spark):
+    index = spark.range(30_000, numPartitions=3).selectExpr(
+        "29999 - id as review_id",
+        "if(id % 3 = 0, array(1f, 1f), array(cast(id as float), -1f)) as embedding",
+    )
+    reviews = spark.range(30_000).selectExpr("id as review_id", "1 as rating", "'t' as review_text")
+    questions = spark.createDataFrame([(0, [2.0, 2.0])], "question_id long, question array<float>")
+    got = retrieval.retrieve(questions, index, reviews, 4).orderBy("rank")
+    assert [(r["review_id"], r["score"]) for r in got.collect()] == [
+        (2, 1.0), (5, 1.0), (8, 1.0), (11, 1.0),
+    ]
+
+
 def test_vectors_without_length_come_last(spark):
     index = spark.createDataFrame(
-        [(1, [0.0, 0.0]), (2, [-1.0, 0.0]), (3, None)], schemas.REVIEW_EMBEDDINGS.fields[0:0] or "review_id long, embedding array<float>"
+        [(1, [0.0, 0.0]), (2, [-1.0, 0.0]), (3, None)], "review_id long, embedding array<float>"
     )
     reviews = spark.createDataFrame([(i, 1, "t") for i in (1, 2, 3)], "review_id long, rating int, review_text string")
     questions = spark.createDataFrame([(0, [1.0, 0.0])], "question_id long, question array<float>")

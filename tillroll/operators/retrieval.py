@@ -129,14 +129,52 @@ def _pages(questions: DataFrame):
         page = rest.orderBy("question_id").limit(QUESTIONS_PER_PASS).collect() if full else []
 
 
+def _best_of_batches(scored: DataFrame, k: int) -> DataFrame:
+    """(position, review_id, score) of the k best vectors per question in every Arrow batch.
+
+    Whatever is not among the k best of its batch cannot be among the k best of all, so the pairs of
+    vectors and questions are never written out. Order: score, then the lower review id; NULL last.
+    """
+
+    def best(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            if not len(ids):
+                continue
+            scores = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            scores = np.where(np.isnan(scores), -np.inf, scores).reshape(len(ids), -1)
+            chosen = []
+            for column in scores.T:
+                reachable = np.arange(len(ids))
+                if len(ids) > k:
+                    kth = np.partition(column, len(ids) - k)[len(ids) - k]
+                    reachable = np.flatnonzero(column >= kth)
+                order = np.lexsort((ids[reachable], -column[reachable]))[:k]
+                chosen.append(reachable[order])
+            position = np.repeat(np.arange(len(chosen), dtype=np.int32), [len(c) for c in chosen])
+            rows = np.concatenate(chosen)
+            score = scores[rows, position]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(position), pa.array(ids[rows]), pa.array(score, mask=np.isinf(score))],
+                names=["position", "review_id", "score"],
+            )
+
+    return scored.mapInArrow(best, "position int, review_id bigint, score double")
+
+
 def _best_ids(asked: Sequence[Row], index: DataFrame, reviews: DataFrame, k: int) -> DataFrame:
     # The vectors are scored before the join, so that a few numbers per vector are shuffled and not
     # the vector itself. Only vectors of known reviews may take a rank.
     known = score_all(index, [row["question"] for row in asked]).join(
         reviews.select("review_id"), "review_id", "left_semi"
     )
-    pairs = known.select("review_id", F.posexplode("scores").alias("position", "score"))
-    best = top_k(pairs, "score", k, partition="position", ties=["review_id"])
+    best = top_k(
+        _best_of_batches(known.select("review_id", "scores"), k),
+        "score", k, partition="position", ties=["review_id"],
+    )
     ids = F.array(*[F.lit(row["question_id"]) for row in asked])
     return best.select(F.get(ids, F.col("position")).alias("question_id"), "review_id", "score")
 

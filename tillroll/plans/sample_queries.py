@@ -23,7 +23,7 @@ from tillroll.operators import (
     retrieval,
 )
 from tillroll.plans.models import build_gold, build_staging
-from tillroll.session import fit_shuffles, scratch_path, tune
+from tillroll.session import fit_partitions, scratch_path, tune
 from tillroll.sources import landing, tables
 from tillroll.sources.star_views import star_view
 from tillroll.streaming.incremental import pending
@@ -44,7 +44,7 @@ class Sample:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
-        fit_shuffles(spark, _input_bytes(spark, sf_dir))
+        fit_partitions(spark, _input_bytes(spark, sf_dir))
         self.sf_dir = sf_dir
         self._raw: dict[str, DataFrame] = {}
         self._models: dict[str, DataFrame] = {}

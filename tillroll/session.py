@@ -32,15 +32,24 @@ INPUT_BYTES_PER_PARTITION = 256 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 32_768
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
+# Reading tasks take larger pieces of a larger input, up to a gigabyte, to stay near this number.
+READ_TASKS = 100_000
+LARGEST_READ = 1024 * 1024 * 1024
+READ_FLOOR = 128 * 1024 * 1024
+READ_BYTES = "spark.sql.files.maxPartitionBytes"
 
-def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Raise the number of shuffle partitions to suit the input; it is never lowered."""
-    wanted = min(MAX_SHUFFLE_PARTITIONS, input_bytes // INPUT_BYTES_PER_PARTITION + 1)
+
+def fit_partitions(spark: SparkSession, input_bytes: int) -> None:
+    """Raise shuffle partitions and read sizes to suit the input; they are never lowered."""
+    shuffles = min(MAX_SHUFFLE_PARTITIONS, input_bytes // INPUT_BYTES_PER_PARTITION + 1)
     current = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(
         "spark.sql.shuffle.partitions"
     )
-    if wanted > int(current):
-        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    if shuffles > int(current):
+        spark.conf.set(INITIAL_PARTITIONS, str(shuffles))
+    read_bytes = min(LARGEST_READ, input_bytes // READ_TASKS)
+    if read_bytes > READ_FLOOR and spark.conf.get(READ_BYTES) in (f"{READ_FLOOR}b", str(READ_FLOOR)):
+        spark.conf.set(READ_BYTES, f"{read_bytes}b")
 
 
 def object_store_conf(
