@@ -1,4 +1,4 @@
-"""Time the headline queries: best of three runs each, the full result collected as Arrow.
+"""Time the headline queries: best of five runs each, the full result collected as Arrow.
 
 BENCH_SF_DIR names the folder of sample tables, BENCH_CPUS the number of local threads. Prints one
 line of JSON.
@@ -34,7 +34,7 @@ HEADLINES = (
     "pending_embeddings",
     "retrieve_topk",
 )
-RUNS = 3
+RUNS = 5
 
 
 def main() -> None:

@@ -36,7 +36,8 @@ def whole_word(lowered: Column, words: Sequence[str]) -> Column:
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """The text without white space at either end, line breaks included."""
+    return F.btrim(text, F.lit(" \t\n\r\x0b\f"))
 
 
 def without_fences(text: Column) -> Column:
