@@ -50,15 +50,14 @@ def starts_with_select(sql: Column) -> Column:
     return sql.rlike(r"(?is)^\s*select")
 
 
-def json_object(text: Column, schema: str) -> Column:
-    """Parse the text from its first `{` to its last `}` as one JSON object; NULL if it is not one.
+def json_objects(text: Column, schema: str) -> Column:
+    """The JSON objects between the first `{` and the last `}` of the text, comma-separated.
 
-    The text is parsed as the only element of an array, so that anything after a complete object
-    makes it invalid instead of being ignored.
+    They are parsed as the elements of one array: NULL if that is not valid, so that anything else
+    after a complete object is not just ignored.
     """
     body = F.regexp_extract(text, r"(?s)\{.*\}", 0)
-    parsed = F.from_json(F.concat(F.lit("["), body, F.lit("]")), f"array<{schema}>")
-    return F.when(F.size(parsed) == 1, F.try_element_at(parsed, F.lit(1)))
+    return F.from_json(F.concat(F.lit("["), body, F.lit("]")), f"array<{schema}>")
 
 
 def excerpt_line(review_id: Column, rating: Column, text: Column) -> Column:

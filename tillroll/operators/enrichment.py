@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.text import in_domain, json_object, whole_word
+from tillroll.functions.text import in_domain, json_objects, whole_word
 
 # The issue types, and the answer that stands for "nothing recognised".
 ISSUE_TYPES = (
@@ -71,9 +71,8 @@ def parse_enrichment(answers: DataFrame, raw_col: str = "raw") -> DataFrame:
     Text around the JSON object is allowed. What cannot be parsed, is missing or is null takes its
     default; only the issue type is held against its list.
     """
-    parsed = answers.select(
-        "review_id", json_object(F.col(raw_col), MODEL_ANSWER).alias("answer")
-    )
+    found = answers.select("review_id", json_objects(F.col(raw_col), MODEL_ANSWER).alias("found"))
+    parsed = found.selectExpr("review_id", "if(size(found) = 1, found[0], null) as answer")
     return parsed.select(
         "review_id",
         F.coalesce("answer.sentiment", F.lit(DEFAULTS["sentiment"])).alias("sentiment"),
