@@ -40,7 +40,8 @@ def test_suite_agrees_with_single_checks(tables):
         Check("not_null", "days", "day"),
         Check("unique", "days", "day"),
     ]
-    got = {(r["test"], r["table"], r["column"]): r["failures"] for r in checks.run_checks(tables, suite).collect()}
+    report = checks.run_checks(tables, suite).collect()
+    got = {(r["test"], r["table"], r["column"]): r["failures"] for r in report}
     assert got == {
         ("unique", "child", "id"): 1,
         ("not_null", "child", "id"): 2,

@@ -154,7 +154,8 @@ def test_retrieval_equals_brute_force(spark, monkeypatch, per_pass):
     rng = np.random.default_rng(1)
     index = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(60)]
     index += [(60, [0.0] * 4), (61, None)]
-    reviews = [(i, 1 + i % 5, f"text {i}") for i in range(0, 62, 2)] + [(4, 1, "second text"), (61, 1, "no vector")]
+    reviews = [(i, 1 + i % 5, f"text {i}") for i in range(0, 62, 2)]
+    reviews += [(4, 1, "second text"), (61, 1, "no vector")]
     questions = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(5)]
     got = retrieval.retrieve(
         spark.createDataFrame(questions, "question_id long, question array<float>"),
@@ -182,7 +183,7 @@ def test_vectors_without_length_come_last(spark):
     index = spark.createDataFrame(
         [(1, [0.0, 0.0]), (2, [-1.0, 0.0]), (3, None)], "review_id long, embedding array<float>"
     )
-    reviews = spark.createDataFrame([(i, 1, "t") for i in (1, 2, 3)], "review_id long, rating int, review_text string")
+    reviews = spark.range(1, 4).selectExpr("id as review_id", "1 as rating", "'t' as review_text")
     questions = spark.createDataFrame([(0, [1.0, 0.0])], "question_id long, question array<float>")
     got = retrieval.retrieve(questions, index, reviews, 5)
     assert [(r["review_id"], r["score"]) for r in got.orderBy("rank").collect()] == [
@@ -214,3 +215,9 @@ def test_prompt_lines(spark):
         (0, "[review 7] (rating 2/5): broke\nsoon\n[review 8] (rating 1/5): late"),
         (1, "[review 7] (rating 2/5): x"),
     ]
+
+
+def test_top_k_of_one_list(spark):
+    df = spark.createDataFrame([(1, 0.5), (2, None), (3, 0.9), (0, 0.5)], "id long, score double")
+    assert [r["id"] for r in retrieval.top_k(df, "score", 3, ties=["id"]).collect()] == [3, 0, 1]
+    assert [r["id"] for r in retrieval.top_k(df, "score", 9, ties=["id"]).collect()] == [3, 0, 1, 2]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll import schemas
-from tillroll.operators import checks, kpis, marts, staging
+from tillroll.operators import checks, kpis, marts, retrieval, staging
 
 N = 200_000
 
@@ -88,14 +88,10 @@ def test_orphans_of_a_hot_key_are_split(spark, fct):
 
 
 def test_no_vector_is_shuffled(spark, small_thresholds):
-    from tillroll.operators import retrieval
-
-    index = spark.range(5000).select(
-        F.col("id").alias("review_id"), F.array(F.rand(1).cast("float"), F.rand(2).cast("float")).alias("embedding")
-    )
-    reviews = spark.range(5000).select(
-        F.col("id").alias("review_id"), F.lit(1).alias("rating"), F.lit("text").alias("review_text")
+    index = spark.range(5000).selectExpr(
+        "id as review_id", "array(cast(rand(1) as float), cast(rand(2) as float)) as embedding"
     )
+    reviews = spark.range(5000).selectExpr("id as review_id", "1 as rating", "'t' as review_text")
     questions = spark.createDataFrame([(0, [1.0, 0.5])], "question_id long, question array<float>")
     found = retrieval.retrieve(questions, index, reviews)
     plan = executed(found)

@@ -46,8 +46,12 @@ def test_newest_landing_by_date_and_by_file_time(spark, tmp_path, orders):
     root = str(tmp_path)
     assert landing.latest_dt(spark, root, "orders") is None
     assert landing.latest_partition(spark, root, "orders") is None
+    (tmp_path / "orders").mkdir()
+    assert landing.latest_dt(spark, root, "orders") is None
     landing.land_raw(orders, root, "orders", NEXT)
     landing.land_raw(orders.limit(1), root, "orders", DAY)
+    (tmp_path / "orders" / "dt=__HIVE_DEFAULT_PARTITION__").mkdir()
+    assert landing.landed_days(spark, root, "orders") == ["2024-06-01", "2024-06-02"]
     for path in (tmp_path / "orders" / "dt=2024-06-02").iterdir():
         os.utime(path, (1_000_000, 1_000_000))
     assert landing.latest_dt(spark, root, "orders") == "2024-06-02"
@@ -103,7 +107,12 @@ def test_append_is_idempotent_and_keeps_one_row_per_key(spark, tmp_path):
     schema = schemas.REVIEW_ENRICHMENT
     assert tables.read_or_empty(spark, path, schema).count() == 0
     first = spark.createDataFrame(
-        [(1, "negative", "none", "low"), (2, "b", "none", "low"), (2, "a", "x", "low"), (None, "a", "b", "c")],
+        [
+            (1, "negative", "none", "low"),
+            (2, "b", "none", "low"),
+            (2, "a", "x", "low"),
+            (None, "a", "b", "c"),
+        ],
         schema,
     )
     want = [(1, "negative", "none", "low"), (2, "a", "x", "low")]
@@ -137,3 +146,9 @@ def test_listing_reads_no_content(spark, tmp_path, orders):
     for newest in (F.max("dt"), F.max_by("dt", F.struct("modificationTime", "dt"))):
         plan = files.agg(newest)._jdf.queryExecution().executedPlan().toString()
         assert "content" not in plan[plan.index("ReadSchema") :], plan
+
+
+def test_landing_without_a_day_is_of_today(spark, tmp_path, orders):
+    landing.land_raw(orders, str(tmp_path), "orders")
+    today = spark.sql("select cast(current_date() as string)").first()[0]
+    assert landing.landed_days(spark, str(tmp_path), "orders") == [today]

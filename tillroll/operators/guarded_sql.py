@@ -37,9 +37,10 @@ def guard_sql(df: DataFrame, column: str) -> DataFrame:
 
 
 def readonly_session(spark: SparkSession, gold_paths: Mapping[str, str]) -> SparkSession:
-    """A session that sees the given gold tables as views and nothing of the caller's session.
+    """A session with the given gold tables as views, without the caller's own temporary views.
 
-    The views read committed Parquet. Reading files by path in SQL is switched off.
+    The views read committed Parquet. Reading files by path in SQL is switched off. Tables of the
+    shared catalog stay visible, for reading.
     """
     session = spark.newSession()
     for name, path in gold_paths.items():

@@ -60,6 +60,12 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(hadoop_path).getLength()
 
 
+def matching_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files and folders that match the pattern."""
+    files, hadoop_pattern = _file_system(spark, pattern)
+    return [status.getPath().getName() for status in files.globStatus(hadoop_pattern) or []]
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The stored table, or an empty frame of the schema if nothing was stored yet."""
     if path_exists(spark, path):
