@@ -207,10 +207,10 @@ class Utf8Stream:
 class ColumnEncoder:
     """Token ids of a text column: each distinct piece of text is encoded once and looked up after that."""
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[list[int]]]):
+    def __init__(self, encode_pieces: Callable[[list[bytes]], list[list[int]]]):
         self.encode_pieces = encode_pieces
-        self.known: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
@@ -218,7 +218,9 @@ class ColumnEncoder:
         if not len(found):
             return np.zeros(0, np.uint32), counts
         coded = found.dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
+        _, places, data = coded.dictionary.buffers()
+        raw, places = data.to_pybytes(), np.frombuffer(places, np.int32)[: len(coded.dictionary) + 1].tolist()
+        pieces = [raw[a:b] for a, b in zip(places, places[1:])]
         if len(self.known) > MAX_PIECES:  # what is in use comes back from the earlier half
             self.earlier, self.known = self.known, {}
         ids = list(map(self.known.get, pieces))
@@ -247,7 +249,7 @@ def _transducer(path: str) -> Transducer:
 @functools.cache
 def _rank_encoder(path: str) -> ColumnEncoder:
     transducer = _transducer(path)
-    return ColumnEncoder(lambda pieces: [transducer.encode(p.encode()) for p in pieces])
+    return ColumnEncoder(lambda pieces: [transducer.encode(p) for p in pieces])
 
 
 @functools.cache
