@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import pretokens
-from tillroll.llm.common import ragged, text_pieces
+from tillroll.llm.common import ragged, schema_with, text_pieces
 
 # What a worker keeps at most, and works out anew beyond that: pairs of tokens, and encoded pieces of text.
 MAX_PAIRS = 1_000_000
@@ -288,7 +288,7 @@ def encode(df: DataFrame, ranks_path: str, keep: list[str], text_col: str = "tex
                 rows = [c.slice(first, len(piece)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*rows, lists, pa.array(counts)], [*keep, "token_ids", "n_tokens"])
 
-    schema = df.select(*keep).schema.add("token_ids", "array<int>").add("n_tokens", "long")
+    schema = schema_with(df, keep, "token_ids array<int>, n_tokens long")
     return df.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 
@@ -303,7 +303,7 @@ def decode(df: DataFrame, ranks_path: str, keep: list[str], ids_col: str = "toke
             ]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], [*keep, "text"])
 
-    schema = df.select(*keep).schema.add("text", "string")
+    schema = schema_with(df, keep, "text string")
     return df.select(*keep, F.col(ids_col).alias("__ids")).mapInArrow(run, schema)
 
 
@@ -331,7 +331,5 @@ def round_trip(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col:
                     [id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    schema = df.select(id_col).schema
-    for name, kind in (("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")):
-        schema = schema.add(name, kind)
+    schema = schema_with(df, [id_col], "n_tokens long, ids_sha256 string, decoded_sha256 string")
     return df.select(id_col, F.col(text_col).alias("__text")).mapInArrow(run, schema)

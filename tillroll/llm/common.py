@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tillroll.session import scratch_path
 
@@ -30,6 +31,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def schema_with(df: DataFrame, keep: list[str], more: str) -> StructType:
+    """Schema of the columns `keep`, then the fields written in `more`."""
+    return StructType(df.select(*keep).schema.fields + StructType.fromDDL(more).fields)
+
+
 def text_pieces(texts: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """(first row, texts) over a column, cut between rows so that a piece holds about `piece_bytes`.
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import ASCII_SPACE, text_pieces, words_of
+from tillroll.llm.common import ASCII_SPACE, schema_with, text_pieces, words_of
 
 # Base rule: too few words, or too many of them in repeated windows of three.
 LEAST_WORDS, WINDOW, WINDOW_PERCENT = 50, 3, 50
@@ -177,9 +177,7 @@ def measure(df: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame
                 rows += [pa.array(found[m].astype(np.int64)) for m in MEASURES]
                 yield pa.RecordBatch.from_arrays(rows, [*keep, *MEASURES])
 
-    schema = df.select(*keep).schema
-    for name in MEASURES:
-        schema = schema.add(name, "long")
+    schema = schema_with(df, keep, ", ".join(f"{name} long" for name in MEASURES))
     return df.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, sharding, url_filters
+from tillroll.llm import bpe, quality, secrets, sharding, token_files, toxicity, url_filters
 from tillroll.llm.common import table
 
 # Parameters of the registered queries.
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 RANKS = "byte_bpe_50k.tiktoken"
+TOKENIZER, VOCABULARY, END_ID = "byte_bpe_50k.json", 50_257, 2
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,10 +22,47 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents.select("doc_id"), F.col("doc_id"), SHARDS)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents, model, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "offending",
+    )
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = secrets.find(documents, secrets.fit(documents), ["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"] != "model")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    folder = token_files.write_documents(documents, public_tokenizers.path(TOKENIZER), VOCABULARY, END_ID)
+    return token_files.read(spark, folder)
+
+
 def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """(host, bad) of the pages whose address carries the number of a labelled document."""
     number = F.regexp_extract(url_filters.path_of(F.col("url")), "^/[^/]*/([0-9]{1,18})", 1)
@@ -45,7 +83,11 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op4_toxicity": op4_toxicity,
+    "op6_secrets": op6_secrets,
+    "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
+    "op9_token_files": op9_token_files,
     "op10_url_filters": op10_url_filters,
 }
 
