@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, quality, secrets, sharding, token_files, toxicity, url_filters
+from tillroll.llm import ann, bpe, quality, secrets, sharding, token_files, toxicity, url_filters
 from tillroll.llm.common import table
 
 # Parameters of the registered queries.
@@ -22,6 +22,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents.select("doc_id"), F.col("doc_id"), SHARDS)
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
@@ -83,6 +87,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_ann": op2_ann,
     "op4_toxicity": op4_toxicity,
     "op6_secrets": op6_secrets,
     "op7_quality": op7_quality,

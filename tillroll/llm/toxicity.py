@@ -1,8 +1,8 @@
 """Toxic spans and scores from a linear-chain conditional random field over words.
 
-Labels stand on documents only, so training tokens are labelled from them: a word that a bounded sample of
-training documents shows mostly in toxic ones marks its tokens there as toxic; all tokens of clean documents
-are clean. The field has two states; a word's features are its form without outer signs, its beginnings
+Labels stand on documents only, so training tokens are labelled from them: a word whose form, beginning or
+end a bounded sample of training documents shows mostly in toxic ones is a toxic token there; all tokens of
+clean documents are clean. The field has two states; a word's features are its form without outer signs, its beginnings
 and ends, and its case. Forward and backward messages give each token's probability of being toxic. A
 document's score is a logistic function of their sum and their largest, fitted on the same sample.
 
@@ -13,6 +13,7 @@ scored alike, each for itself. Without labels of both classes nothing is learnt
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,10 +27,11 @@ from tillroll.llm.common import schema_with, text_pieces, words_of
 # Labelled documents of either class that training reads, at most; those whose hashed ids are least.
 SAMPLE = 1500
 FOLDS = 5
-# A word counts as toxic from so many sampled toxic documents and so much higher a share there.
-LEAST_DOCS, LEAST_RATIO = 4, 6.0
+# A form, beginning or end of words counts as toxic from so much higher a share of the toxic documents, and
+# so many standard deviations above chance.
+LEAST_RATIO, LEAST_SDS = 6.0, 4.5
 # Training windows: words around a place, and windows per document at most.
-SPAN, WINDOWS = 24, 4
+SPAN, WINDOWS = 20, 3
 BUCKETS = 1 << 16
 MAX_WORDS = 300_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -45,11 +47,25 @@ def core(word: str) -> str:
     return OUTER.sub("", word).lower()
 
 
-def features(word: str) -> list[int]:
-    """Hashed features of one word."""
+def stems(word: str) -> list[str]:
+    """The word's form, its beginnings and its ends, as keys."""
     own = core(word)
-    names = [f"w={own}", f"a={own[:4]}", f"b={own[:6]}", f"z={own[-4:]}", f"s={word[:1].isupper()}{word[1:2].isupper()}", "bias"]
-    return [xxhash.xxh32_intdigest(n) % BUCKETS for n in names]
+    if not own:
+        return []
+    keys = [f"={own}"]
+    keys += [f"^{own[:n]}" for n in range(3, min(9, len(own)))]
+    keys += [f"{own[-n:]}$" for n in range(3, min(7, len(own)))]
+    return keys
+
+
+N_FEATURES = 12
+
+
+def features(word: str) -> list[int]:
+    """Hashed features of one word, padded to one length."""
+    names = ["bias", f"case={word[:1].isupper()}{word[1:2].isupper()}", *stems(word)[: N_FEATURES - 2]]
+    found = [xxhash.xxh32_intdigest(n) % (BUCKETS - 1) + 1 for n in names]
+    return found + [0] * (N_FEATURES - len(found))
 
 
 @dataclass
@@ -108,7 +124,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train_field(words: np.ndarray, tags: np.ndarray, lengths: np.ndarray, steps: int = 60) -> Model:
+def train_field(words: np.ndarray, tags: np.ndarray, lengths: np.ndarray, steps: int = 40) -> Model:
     """Maximum likelihood by Adam. words: examples x SPAN x features; tags: examples x SPAN (0 beyond)."""
     n, span, _ = words.shape
     inside = np.arange(span)[None] < lengths[:, None]
@@ -138,6 +154,7 @@ def train_field(words: np.ndarray, tags: np.ndarray, lengths: np.ndarray, steps:
         toxic = np.exp(forward[:, :, 1] + backward[:, :, 1] - total[:, None])
         error = (tags - toxic) * inside
         on_weights = np.bincount(words.ravel(), np.repeat(error.ravel(), words.shape[2]), minlength=BUCKETS)
+        on_weights[0] = 0.0  # padding
         for i, (gradient, prior) in enumerate(((on_weights, 0.02), (on_moves, 0.02))):
             gradient = (gradient - prior * params[i]) / n
             mean, square = slots[i]
@@ -171,27 +188,33 @@ def training_documents(documents: DataFrame, labels: DataFrame, sample: int = SA
     return joined.select(h.alias("h"), F.coalesce("__text", F.lit("")).alias("text"), F.col("__toxic").cast("int").alias("toxic"))
 
 
-def _word_rows(batches):
+def _stem_counts(batches):
+    """(stem, toxic documents, clean documents), summed up over a batch."""
     for batch in batches:
-        rows = [sorted({core(w) for w in WORD.findall(t)} - {""}) for t in batch["text"].to_pylist()]
-        counts = [len(r) for r in rows]
+        sides = (Counter(), Counter())
+        for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
+            sides[toxic].update({key for word in set(WORD.findall(text)) for key in stems(word)})
+        keys = list(sides[0].keys() | sides[1].keys())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([w for r in rows for w in r], pa.string()), pa.array(np.repeat(batch["toxic"].to_numpy(), counts))],
-            ["word", "toxic"],
+            [pa.array(keys, pa.string()), *(pa.array([side[k] for k in keys], pa.int64()) for side in sides[::-1])],
+            ["stem", "t", "c"],
         )
 
 
-def toxic_words(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """Words that tell toxic documents from clean ones."""
-    words = sample.select("text", "toxic").mapInArrow(_word_rows, "word string, toxic int")
-    counted = words.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+def toxic_stems(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
+    """Forms, beginnings and ends of words that tell toxic documents from clean ones."""
+    counted = sample.select("text", "toxic").mapInArrow(_stem_counts, "stem string, t long, c long")
+    sums = counted.groupBy("stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     ratio = ((F.col("t") + 0.5) / (n_toxic + 1)) / ((F.col("c") + 0.5) / (n_clean + 1))
-    found = counted.where((F.col("t") >= LEAST_DOCS) & (ratio >= LEAST_RATIO)).orderBy(F.desc("t"), "word").limit(1000)
-    return [r["word"] for r in found.collect()]
+    share = n_toxic / (n_toxic + n_clean)
+    both = F.col("t") + F.col("c")
+    above = (F.col("t") - share * both) / F.sqrt(share * (1 - share) * both)
+    found = sums.where((ratio >= LEAST_RATIO) & (above >= LEAST_SDS)).orderBy(F.desc(above), "stem").limit(2000)
+    return [r["stem"] for r in found.collect()]
 
 
 def _windows(sample: DataFrame, lexicon: list[str]) -> DataFrame:
-    """(h, place, words, tags): windows around toxic words of toxic documents, and spread over clean ones."""
+    """(h, place, words, tags): windows around toxic stems of toxic documents, and spread over clean ones."""
     listed = frozenset(lexicon)
 
     def run(batches):
@@ -199,7 +222,7 @@ def _windows(sample: DataFrame, lexicon: list[str]) -> DataFrame:
             rows = []
             for h, text, toxic in zip(*(batch[c].to_pylist() for c in ("h", "text", "toxic"))):
                 words = WORD.findall(text)
-                tags = [int(bool(toxic) and core(w) in listed) for w in words]
+                tags = [int(bool(toxic) and not listed.isdisjoint(stems(w))) for w in words]
                 hits = [i for i, t in enumerate(tags) if t]
                 places = hits if toxic else range(0, len(words), max(SPAN, len(words) // WINDOWS))
                 for place in list(places)[:WINDOWS]:
@@ -236,12 +259,12 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model
     sizes = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return None
-    lexicon = toxic_words(chosen, sizes[1], sizes[0])
+    lexicon = toxic_stems(chosen, sizes[1], sizes[0])
     rows = sorted(_windows(chosen, lexicon).collect(), key=lambda r: (r["h"], r["place"], r["words"]))
     if not rows:
         return None
     cached: dict[str, list[int]] = {}
-    words = np.zeros((len(rows), SPAN, len(features(""))), np.int64)
+    words = np.zeros((len(rows), SPAN, N_FEATURES), np.int64)
     tags = np.zeros((len(rows), SPAN), np.int64)
     for i, row in enumerate(rows):
         for j, word in enumerate(row["words"]):
