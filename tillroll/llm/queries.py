@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, bpe, quality, secrets, sharding, token_files, toxicity, url_filters
+from tillroll.llm import ann, bpe, mixing, quality, secrets, sharding, token_files, toxicity, url_filters
 from tillroll.llm.common import table
 
 # Parameters of the registered queries.
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 RANKS = "byte_bpe_50k.tiktoken"
+MIX = {"clean": 0.90, "low": 0.06, "toxic": 0.04}
 TOKENIZER, VOCABULARY, END_ID = "byte_bpe_50k.json", 50_257, 2
 
 
@@ -39,6 +40,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    mixed = mixing.mix(documents, labels, MIX, ["doc_id"])
+    shares = [F.col("p")[i].alias(f"p_{name}") for i, name in enumerate(mixing.DOMAINS)]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     found = secrets.find(documents, secrets.fit(documents), ["doc_id"])
@@ -89,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_ann": op2_ann,
     "op4_toxicity": op4_toxicity,
+    "op5_mixing": op5_mixing,
     "op6_secrets": op6_secrets,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
