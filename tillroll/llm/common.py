@@ -27,7 +27,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows of `df`, written once to the shared scratch folder and read back: a cut in the lineage
     that survives the loss of executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
