@@ -28,8 +28,9 @@ from tillroll.llm.common import stored
 # The trees are built from at most so many vectors, those whose hashes are least.
 SAMPLE = 16_384
 TREES = 6
-# Vectors in a leaf, as far as the sample allows; a leaf's sample is no smaller than LEAST_SAMPLE.
-LEAF, LEAST_SAMPLE = 100, 16
+# Vectors in a leaf, as far as the sample allows; a leaf's sample is no smaller than LEAST_SAMPLE. Small
+# tables get smaller leaves, down to that size, until a tree has 2 ** SHALLOW of them.
+LEAF, LEAST_SAMPLE, SHALLOW = 400, 16, 5
 # Share of all leaves that a query may open: high, as in 64 dimensions without much structure recall is
 # bought by looking. Measured recall at 20 is in the README.
 SEARCH_SHARE = 0.25
@@ -82,7 +83,7 @@ class Forest:
 def build_forest(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, seed: int = 5) -> Forest:
     rng = np.random.default_rng(seed)
     deepest = max(0, int(np.log2(max(1, len(sample) / LEAST_SAMPLE))))
-    depth = min(deepest, max(0, round(np.log2(max(1, total / leaf)))))
+    depth = min(deepest, max(SHALLOW, round(np.log2(max(1, total / leaf)))))
     splits = (1 << depth) - 1
     normals = np.zeros((trees, splits, sample.shape[1]))
     limits = np.zeros((trees, splits))
@@ -132,7 +133,7 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the `k` nearest found for every row that `queries` marks."""
     rows = vectors.select(
-        F.col(id_col).cast("long").alias("id"), F.transform(vector_col, lambda x: x.cast("double")).alias("v"), queries.alias("asks")
+        F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), queries.alias("asks")
     ).where(F.col("id").isNotNull() & _usable(F.col("v")))
     length = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     schema = "query_id long, rank int, vec_id long, score double"
@@ -150,30 +151,47 @@ def nearest(
     asked = stored(asked.join(classes.select("v", "class"), "v").select("id", "class"), "vector-queries")
     total = classes.count()
     few = classes.select("v").orderBy(F.xxhash64("v")).limit(sample)
-    forest = build_forest(np.array([r["v"] for r in few.collect()], np.float64), total, trees, leaf)
+    known = np.array([r["v"] for r in few.collect()], np.float64)  # bounded by `sample`
+    forest = build_forest(known, total, trees, leaf)
     budget = max(1, round(share * trees * forest.leaves))
+    shared = vectors.sparkSession.sparkContext.broadcast((forest, known.astype(np.float32), forest.leaf_of(known)))
 
     def index(batches):
         for batch in batches:
-            ids, found = batch["class"].to_numpy(), forest.leaf_of(_matrix(batch["v"]))
-            at = np.repeat(np.arange(len(ids)), found.shape[1])
+            found = shared.value[0].leaf_of(_matrix(batch["v"]))
+            at = np.repeat(np.arange(len(found)), found.shape[1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.ravel()), batch["class"].take(pa.array(at)), batch["v"].take(pa.array(at))], ["cell", "class", "v"]
             )
 
     def ask(batches):
+        """Opened leaves of the queries, and a score that the k best in them reach: the sample's own vectors
+        in those leaves show it."""
+        forest, known, leaves_of_known = shared.value
         for batch in batches:
-            opened = [forest.open_leaves(q, budget) for q in _matrix(batch["v"])]
-            at = np.repeat(np.arange(len(opened)), [len(o) for o in opened])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(opened).astype(np.int64) if opened else np.zeros(0, np.int64)),
-                 batch["class"].take(pa.array(at)), batch["v"].take(pa.array(at))], ["cell", "class", "v"],
-            )
-
-    shape = "cell long, class long, v array<double>"
+            for low in range(0, batch.num_rows, 64):
+                own = batch.slice(low, 64)
+                q = _matrix(own["v"])
+                scores = q @ known.T.astype(np.float64)
+                opened = [forest.open_leaves(x, budget) for x in q]
+                floor = np.full(len(q), -np.inf)
+                for i, leaves in enumerate(opened):
+                    is_open = np.zeros(trees * forest.leaves, bool)
+                    is_open[leaves] = True
+                    inside = scores[i, is_open[leaves_of_known].any(axis=1)]
+                    if len(inside) > k:  # the query itself may be in the sample, so one more is counted
+                        floor[i] = np.partition(inside, -k - 1)[-k - 1] - 1e-5
+                at = np.repeat(np.arange(len(opened)), [len(o) for o in opened])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(opened).astype(np.int64)), own["class"].take(pa.array(at)),
+                     own["v"].take(pa.array(at)), pa.array(floor[at])], ["cell", "class", "v", "floor"],
+                )
+
+    kind = rows.schema["v"].dataType.simpleString()
+    shape = f"cell long, class long, v {kind}"
     indexed = stored(classes.select("class", "v").mapInArrow(index, shape), "vector-leaves")
     asking = classes.join(asked.select("class").distinct(), "class", "left_semi").select("class", "v")
-    probes = stored(asking.repartition(F.col("class")).mapInArrow(ask, shape), "vector-probes")
+    probes = stored(asking.repartition(F.col("class")).mapInArrow(ask, f"{shape}, floor double"), "vector-probes")
 
     # Large leaves are cut into blocks: sizes of all cells, at most trees x leaves rows.
     def sizes(df: DataFrame, block: int) -> DataFrame:
@@ -182,12 +200,12 @@ def nearest(
     parts_v, parts_q = sizes(indexed, BLOCK_VECTORS), sizes(probes, BLOCK_QUERIES)
     both = F.broadcast(parts_v.withColumnRenamed("parts", "pv").join(parts_q.withColumnRenamed("parts", "pq"), "cell"))
 
-    def blocks(df: DataFrame, own: str, other: str) -> DataFrame:
+    def blocks(df: DataFrame, own: str, other: str, *more: str) -> DataFrame:
         dealt = df.join(both, "cell").withColumn("mine", F.pmod(F.xxhash64("class"), F.col(own)).cast("int"))
         every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        named = dealt.select("cell", "class", "v", "mine", every.alias("theirs"))
+        named = dealt.select("cell", "class", "v", *more, "mine", every.alias("theirs"))
         first, second = ("mine", "theirs") if own == "pv" else ("theirs", "mine")
-        return named.select("cell", F.col(first).alias("bv"), F.col(second).alias("bq"), "class", "v")
+        return named.select("cell", F.col(first).alias("bv"), F.col(second).alias("bq"), "class", "v", *more)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         none = pa.table({"query": pa.array([], pa.int64()), "class": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
@@ -196,16 +214,15 @@ def nearest(
         of_query, q = right["class"].to_numpy(), _matrix(right["v"])
         of_vector, v = left["class"].to_numpy(), _matrix(left["v"])
         rough = q @ v.T
+        limit = right["floor"].to_numpy()
         if len(of_vector) > k + 1:
-            limit = np.partition(rough, len(of_vector) - k - 1, axis=1)[:, len(of_vector) - k - 1]
-            a, b = np.nonzero(rough >= limit[:, None] - 1e-9)
-        else:
-            a, b = (x.ravel() for x in np.indices(rough.shape))
+            limit = np.maximum(limit, np.partition(rough, -k - 1, axis=1)[:, -k - 1] - 1e-9)
+        a, b = np.nonzero(rough >= limit[:, None])
         return pa.table({"query": of_query[a], "class": of_vector[b], "score": exact_scores(q[a], v[b])})
 
     pairs = (
         blocks(indexed, "pv", "pq").groupBy("cell", "bv", "bq")
-        .cogroup(blocks(probes, "pq", "pv").groupBy("cell", "bv", "bq"))
+        .cogroup(blocks(probes, "pq", "pv", "floor").groupBy("cell", "bv", "bq"))
         .applyInArrow(score, "query long, class long, score double")
     )
     pairs = pairs.groupBy("query", "class").agg(F.max("score").alias("score"))
