@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.bpe import ColumnEncoder
-from tillroll.llm.common import stored, text_pieces
+from tillroll.llm.common import text_pieces
 from tillroll.session import scratch_path
 
 MAGIC, VERSION = 0x534B4F54, 1
 BLOCK_IDS = 65_536
-# A shard is one task's work.
-SHARD_IDS = 8_000_000
+# Text of a shard, which is one task's work.
+SHARD_BYTES = 32_000_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -167,78 +167,57 @@ def _library_encoder(tokenizer_path: str) -> ColumnEncoder:
     return ColumnEncoder(encode)
 
 
-def tokenize(df: DataFrame, tokenizer_path: str, end_id: int, width: int, id_col: str, text_col: str) -> DataFrame:
-    """`key`, `row` (a number of the stored row), `n_tokens` and `ids`, the end id included, of every row."""
-    kind = "<u2" if width <= 16 else "<u4"
-
-    def run(batches):
-        encoder = _library_encoder(tokenizer_path)
-        for batch in batches:
-            keys, rows, texts = batch.columns
-            for first, piece in text_pieces(texts):
-                ids, counts = encoder.encode(piece)
-                ends = np.cumsum(counts)
-                data = np.insert(ids, ends, end_id).astype(kind).tobytes()
-                sizes = np.concatenate(([0], np.cumsum(counts + 1))) * np.dtype(kind).itemsize
-                packed = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), len(piece), [None, pa.py_buffer(sizes.astype(np.int64).tobytes()), pa.py_buffer(data)]
-                )
-                own = slice(first, first + len(piece))
-                yield pa.RecordBatch.from_arrays(
-                    [keys[own], rows[own], pa.array(counts + 1), packed.cast(pa.binary())],
-                    ["key", "row", "n_tokens", "ids"],
-                )
+def write(
+    df: DataFrame, tokenizer_path: str, end_id: int, width: int, path: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Tokenize all texts and write them to shard files under `path`; returns the manifest.
 
+    The texts are dealt to the tasks by ranges of (id, place in the input), so that also one id with most
+    rows is spread, and become tokens where they are written: only texts are shuffled, and nothing else is
+    stored.
+    """
     numbered = df.select(
         F.col(id_col).cast("long").alias("key"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text")
     )
-    return numbered.mapInArrow(run, "key long, row long, n_tokens long, ids binary")
-
-
-def write(tokens: DataFrame, path: str, width: int) -> DataFrame:
-    """Write what `tokenize` made, stored before, to shard files under `path`; returns the manifest.
-
-    Ranges of (key, row) are dealt to the tasks by size, so that also one key with most rows is spread.
-    """
-    kind = "<u2" if width <= 16 else "<u4"
-    total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
-    shards = max(1, -(-total // SHARD_IDS))
+    total = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    shards = max(1, -(-total // SHARD_BYTES))
 
     def run(batches):
+        encoder = _library_encoder(tokenizer_path)
         writer = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys, rows, counts, ids = batch.columns
+            keys, rows, texts = batch.columns
             if writer is None:
                 system, folder = fs.FileSystem.from_uri(path)
                 system.create_dir(folder, recursive=True)
                 name = f"shard-{uuid.uuid4().hex}.tok"
                 sink = system.open_output_stream(f"{folder}/{name}")
                 writer = ShardWriter(sink, width)
-                first = (keys[0], rows[0])
+                first = (keys[0].as_py(), rows[0].as_py())
             nulls = keys.is_null().to_numpy(zero_copy_only=False)
-            offsets = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
-            flat = np.frombuffer(ids.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind)
-            writer.add(
-                keys.fill_null(0).to_numpy(zero_copy_only=False), nulls, counts.to_numpy(zero_copy_only=False), flat
-            )
+            known = keys.fill_null(0).to_numpy(zero_copy_only=False)
+            for low, piece in text_pieces(texts):
+                ids, counts = encoder.encode(piece)
+                own = slice(low, low + len(piece))
+                writer.add(known[own], nulls[own], counts + 1, np.insert(ids, np.cumsum(counts), end_id))
         if writer is not None:
             writer.close()
             sink.close()
             docs = sum(map(len, writer.keys))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name]), pa.array([first[0].as_py()], pa.int64()), pa.array([first[1].as_py()], pa.int64()),
+                [pa.array([name]), pa.array([first[0]], pa.int64()), pa.array([first[1]], pa.int64()),
                  pa.array([docs], pa.int64()), pa.array([writer.n_ids], pa.int64())],
                 ["file", "first_key", "first_row", "n_docs", "n_ids"],
             )
 
-    dealt = tokens.repartitionByRange(shards, F.col("key").asc_nulls_first(), "row")
-    ordered = dealt.sortWithinPartitions(F.col("key").asc_nulls_first(), "row").select("key", "row", "n_tokens", "ids")
+    dealt = numbered.repartitionByRange(shards, F.col("key").asc_nulls_first(), "row")
+    ordered = dealt.sortWithinPartitions(F.col("key").asc_nulls_first(), "row")
     listed = ordered.mapInArrow(run, "file string, first_key long, first_row long, n_docs long, n_ids long")
     manifest = f"{path.rstrip('/')}/manifest"
     listed.write.parquet(manifest)
-    return tokens.sparkSession.read.schema(listed.schema).parquet(manifest)
+    return df.sparkSession.read.schema(listed.schema).parquet(manifest)
 
 
 def _documents(reader: ShardReader) -> Iterator[tuple[int, np.ndarray]]:
@@ -275,8 +254,6 @@ def write_documents(
     id_col: str = "doc_id", text_col: str = "text",
 ) -> str:
     """Tokenize and write a whole table; returns the folder."""
-    width = bits_for(max(vocabulary, end_id + 1))
     path = path or scratch_path(df.sparkSession, "token-files")
-    tokens = stored(tokenize(df, tokenizer_path, end_id, width, id_col, text_col), "tokens")
-    write(tokens, path, width)
+    write(df, tokenizer_path, end_id, bits_for(max(vocabulary, end_id + 1)), path, id_col, text_col)
     return path
