@@ -5,7 +5,7 @@
    of rows that share that id, too, one.
 3. secrets: found spans are replaced in the text, and `n_chars` is counted anew.
 4. mixing: domains that are larger than their target are thinned by rates of at most one. Targets are set at
-   what the clean domain has, so clean documents stay.
+   what the clean domain has, and documents that are more likely clean than not stay whatever their rate.
 5. tokens: the rest is encoded; the result has `token_ids` and `n_tokens` in place of the text.
 
 Stages 1 to 4 return the columns of `documents` as they came, further columns included.
@@ -54,7 +54,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs, table(spark, sf_dir, "labels"), MIX, ["doc_id"], most=1.0)
-    gone = mixed.where(~mixing.chosen(F.col("doc_id"), F.col("rate"))).select(F.col("doc_id").alias("__gone"))
+    thinned = ~mixing.chosen(F.col("doc_id"), F.col("rate")) & (F.col("p")[0] < 0.5)
+    gone = mixed.where(thinned).select(F.col("doc_id").alias("__gone"))
     gone = stored(gone.distinct(), "thinned")
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
 

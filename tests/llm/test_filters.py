@@ -1,0 +1,250 @@
+"""Quality rules, secrets, toxicity and URL filters against plain versions of themselves."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+from helpers import WORD, documents, edge_texts, empty_documents, found, prose
+from pyspark.sql import functions as F
+
+from tillroll.llm import quality, secrets, toxicity, url_filters
+from tillroll.llm.queries import page_outcomes
+
+
+def plain_measures(text: str) -> dict[str, int]:
+    words = WORD.findall(text)
+    n = len(words)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    windows: dict[tuple, list[int]] = {}
+    for i in range(n - 2):
+        windows.setdefault(tuple(words[i : i + 3]), []).append(i)
+    repeated = {i + k for at in windows.values() if len(at) > 1 for i in at for k in range(3)}
+    covered, longest, repeats = set(), 0, set()
+    for i in range(n):
+        for j in range(n):
+            size = 0
+            while i != j and max(i, j) + size < n and words[i + size] == words[j + size]:
+                size += 1
+            if size >= quality.REPEAT_WORDS:
+                covered |= set(range(i, i + size))
+                longest = max(longest, size)
+                if i == 0 or j == 0 or words[i - 1] != words[j - 1]:
+                    repeats.add(tuple(words[i : i + size]))
+    return {
+        "n_words": n, "word_chars": sum(map(len, words)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(repeated),
+        "covered_words": len(covered), "longest_repeat": longest, "n_repeats": len(repeats),
+    }
+
+
+def test_measures_equal_brute_force():
+    rng = random.Random(2)
+    texts = []
+    for _ in range(150):
+        letters = ["a", "b", "é", "#x", "c"][: rng.randint(1, 5)]
+        spaces = [" ", "\n", "\t", " ", "  "]
+        texts.append("".join(rng.choice(letters) + rng.choice(spaces) for _ in range(rng.choice([0, 1, 3, 10, 40, 70]))))
+    got = quality.measures(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert {k: int(v[i]) for k, v in got.items()} == plain_measures(text)
+
+
+def test_suffix_array_is_sorted():
+    rng = np.random.default_rng(1)
+    for size in (1, 2, 50, 400):
+        symbols = rng.integers(0, 3, size)
+        order, lcp = quality.suffix_array(symbols)
+        suffixes = [tuple(symbols[i:]) for i in order]
+        assert suffixes == sorted(suffixes)
+        for r in range(1, size):
+            same = 0
+            for a, b in zip(suffixes[r - 1], suffixes[r]):
+                if a != b:
+                    break
+                same += 1
+            assert lcp[r] == same
+
+
+def test_quality_verdicts(spark):
+    block = prose(7, 60)
+    texts = [prose(1, 300), block + " " + prose(2, 40) + " " + block, "one two " * 40, "short text", None, ""]
+    rows = {r["doc_id"]: r for r in quality.judge(documents(spark, texts, clashing=True), ["doc_id", "key"]).collect()}
+    assert [rows[i]["kept"] for i in range(6)] == [True, False, False, False, False, False]
+    assert not rows[1]["base_failed"] or rows[1]["n_repeat_words"] * 2 > rows[1]["n_words"]
+    assert rows[4]["n_words"] == 0 and rows[4]["base_failed"]
+    assert quality.judge(empty_documents(spark), ["doc_id"]).count() == 0
+    assert quality.judge(documents(spark), ["doc_id"]).count() == len(edge_texts()) + 2
+
+
+KEYS = ["password", "passwd", "secret", "token", "api_?key"]
+EITHER_CASE = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in k) for k in KEYS)
+ASSIGN = re.compile(rf"""({EITHER_CASE})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def plain_spans(text: str):
+    spans = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    spans += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(spans, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(4)
+    parts = ["password", "Token", "api_key", "APIKEY", "ſecret", "secret", "=", ":", " ", '"', "'", "abc", "AKIA",
+             "A1B2C3D4", "0123456789abcdef", ".", "é", "-", "\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    for text, (_, spans) in zip(texts, secrets._spans(pa.array(texts), None)):
+        assert spans == plain_spans(text)
+
+
+def keys_and_words(n: int):
+    rng = random.Random(9)
+    hidden = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(n)]
+    plain = ["".join(rng.choice("aeioutrnsl") for _ in range(20)) for _ in range(n)]
+    return hidden, plain
+
+
+def test_network_learns_and_its_gradient_is_right():
+    hidden, plain = keys_and_words(200)
+    windows = [secrets.window(f"some words {k} and more", 11, 11 + len(k)) for pair in zip(hidden, plain) for k in pair]
+    labels = np.array([1, 0] * 200)
+    network = secrets.train(windows, labels)
+    scores = network.probabilities(windows)
+    assert ((scores >= network.threshold) == labels).mean() > 0.97
+    rng = np.random.default_rng(0)
+    fresh = secrets.Network.fresh(rng)
+    codes = secrets._codes(windows[:6])
+
+    def loss():
+        p = 1 / (1 + np.exp(-fresh.logits(codes)))
+        return -np.where(labels[:6] == 1, np.log(p), np.log(1 - p)).mean()
+
+    for weight, gradient in zip((fresh.embedding, fresh.filters, fresh.offsets, fresh.output), fresh.gradients(codes, labels[:6])):
+        at = np.unravel_index(np.abs(gradient).argmax(), gradient.shape)
+        weight[at] += 1e-5
+        up = loss()
+        weight[at] -= 2e-5
+        down = loss()
+        weight[at] += 1e-5
+        assert abs((up - down) / 2e-5 - gradient[at]) < 1e-4
+    assert secrets.train([], np.zeros(0)) is None
+
+
+def test_secrets_over_a_table(spark):
+    hidden, plain = keys_and_words(60)
+    texts = [f"here it is {k} and {w} é" for k, w in zip(hidden, plain)] + edge_texts()
+    docs = documents(spark, texts, clashing=True)
+    network = secrets.fit(docs)
+    base = secrets.find(docs, None, ["doc_id", "text"])
+    for row in base.collect():
+        assert [tuple(s) for s in row["spans"]] == plain_spans(row["text"] or "")
+    more = {r["doc_id"]: {tuple(s) for s in r["spans"]} for r in secrets.find(docs, network, ["doc_id"]).collect()}
+    for row in base.collect():
+        assert {tuple(s) for s in row["spans"]} <= more[row["doc_id"]]
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs, network).collect()}
+    assert all(key not in clean[i] for i, key in enumerate(hidden)) and clean[60 + 3] is None
+    assert secrets.fit(empty_documents(spark)) is None and secrets.find(empty_documents(spark), None, ["doc_id"]).count() == 0
+
+
+def toxic_corpus(spark, n=400):
+    texts, toxic = [], []
+    for i in range(n):
+        words = prose(i, 60).split()
+        bad = i % 3 == 0
+        if bad:
+            for k in range(3):
+                words[5 + 15 * k] = f"vile{random.Random(i * 7 + k).choice(['ness', 'ly', 'st', 'dom'])},"
+        texts.append(" ".join(words))
+        toxic.append(int(bad))
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)] + [(None, 1, 1), (0, 1, None)], "doc_id long, quality int, toxic int")
+    return texts + edge_texts(), labels, np.array(toxic)
+
+
+def test_toxicity_learns_spans_and_scores(spark):
+    texts, labels, toxic = toxic_corpus(spark)
+    docs = documents(spark, texts, clashing=True)
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs, model, ["doc_id", "text"]).withColumn("held", toxicity.held_out(F.col("doc_id")))
+    rows = {r["doc_id"]: r for r in scored.collect()}
+    held = [i for i in range(len(toxic)) if rows[i]["held"]]
+    assert np.mean([(rows[i]["score"] >= 0.5) == toxic[i] for i in held]) > 0.95
+    for i in held:
+        for place in rows[i]["offending"]:
+            assert rows[i]["text"][place["start"] : place["stop"]].startswith("vile")
+    assert all(0 <= r["score"] <= 1 for r in rows.values()) and rows[len(toxic) + 3]["score"] < 0.5
+    assert toxicity.fit(empty_documents(spark), labels) is None
+    assert toxicity.score(empty_documents(spark), model, ["doc_id"]).count() == 0
+
+
+def test_labels_of_the_held_out_fold_do_not_matter(spark):
+    texts, labels, _ = toxic_corpus(spark, 150)
+    docs = documents(spark, texts)
+    turned = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one, two = toxicity.fit(docs, labels), toxicity.fit(docs, turned)
+    assert np.allclose(one.weights, two.weights) and np.allclose(one.document, two.document)
+
+
+def test_marginals_equal_summing_over_all_paths():
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(np.zeros(4), rng.normal(size=(2, 2)))
+    counts = np.array([3, 0, 5, 1])
+    scores = rng.normal(size=9)
+    got = model.marginals(scores, counts)
+    at = 0
+    for count in counts:
+        own = scores[at : at + count]
+        weights = np.zeros(count)
+        total = 0.0
+        for path in range(2**count):
+            states = [(path >> t) & 1 for t in range(count)]
+            energy = sum(s * x for s, x in zip(states, own)) + sum(model.moves[a, b] for a, b in zip(states, states[1:]))
+            weights += np.exp(energy) * np.array(states)
+            total += np.exp(energy)
+        assert np.allclose(got[at : at + count], weights / total)
+        at += count
+
+
+URLS = [
+    ("http://Example.COM/en/1", "example.com", "/en/1", "example.com/en/", "block"),
+    ("https://www.example.com/en/2?x=/fr/#t", "www.example.com", "/en/2", "www.example.com/en/", "allow"),
+    ("https://a.www.example.com/en/", "a.www.example.com", "/en/", "www.example.com/en/", "allow"),
+    ("http://example.com/de/en/", "example.com", "/de/en/", "com/", "allow"),
+    ("http://example.com", "example.com", "", None, None),
+    ("http://xcom/en/", "xcom", "/en/", None, None),
+    ("http://b.example.net/es/3#f?", "b.example.net", "/es/3", "net/es/", "block"),
+    ("http://b.example.net?/es/", "b.example.net", "", None, None),
+    ("http://b.example.net/de/http://x/", "b.example.net", "/de/http://x/", None, None),
+    ("no scheme", "", "", None, None),
+    ("", "", "", None, None),
+    (None, "", "", None, None),
+    ("://É.org/a", "É.org", "/a", None, None),
+]
+
+
+def test_url_rules(spark):
+    pages = spark.createDataFrame([(i, u[0], "h", "r") for i, u in enumerate(URLS)] + [(0, URLS[0][0], "h", "r")], "page_id long, url string, host string, rule string")
+    none = spark.createDataFrame([], "host string, bad int")
+    rows = url_filters.judge(pages, none).orderBy("page_id").collect()
+    assert len(rows) == len(URLS) + 1
+    for row in rows:
+        _, host, path, rule, verdict = URLS[row["page_id"]]
+        assert (row["host"], row["path"], row["rule"], row["verdict"]) == (host, path, rule, verdict or "allow")
+
+
+def test_reputation_shrinks_and_blocks(spark):
+    outcomes = [("bad.a.org", 1)] * 60 + [("good.a.org", 0)] * 200 + [("few.a.org", 1)] * 2 + [("x.b.org", 0)] * 50 + [(None, 1), ("good.a.org", None)]
+    hosts, domains, suffixes, top = url_filters.reputation(spark.createDataFrame(outcomes, "host string, bad int"))
+    rates = {r["host"]: r["mean"] for r in hosts.collect()}
+    assert rates["bad.a.org"] > 0.8 > rates["few.a.org"] > rates["good.a.org"]
+    pages = spark.createDataFrame([(1, "http://bad.a.org/x"), (2, "http://few.a.org/x"), (3, "http://new.org/x")], "page_id long, url string")
+    verdicts = {r["page_id"]: r["verdict"] for r in url_filters.judge(pages, spark.createDataFrame(outcomes, "host string, bad int")).collect()}
+    assert verdicts == {1: "block", 2: "allow", 3: "allow"}
+
+
+def test_outcomes_come_from_the_documents_in_the_address(spark):
+    pages = spark.createDataFrame([(1, "http://h.org/en/7?x"), (2, "http://h.org/en/9"), (3, "http://h.org/"), (4, None)], "page_id long, url string")
+    labels = spark.createDataFrame([(7, 0, 0), (9, 1, 0)], "doc_id long, quality int, toxic int")
+    assert found(page_outcomes(pages, labels)) == [("h.org", 0), ("h.org", 1)]

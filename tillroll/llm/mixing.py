@@ -105,8 +105,9 @@ def _rate(misses: list[list[float]], most: float | None) -> Column:
 def fit_rates(members: DataFrame, targets: dict[str, float], most: float | None = None, steps: int = STEPS) -> list[list[float]]:
     """Misses of every step, from which `_rate` makes the rates.
 
-    `targets` are weights of the domains. They are met at the tokens that the table has; where rates are
-    bounded by `most`, at as many as the scarcest domain allows.
+    `targets` are weights of the domains. They are met at the tokens that the table has. Where rates are
+    bounded by `most`, the total is what the first domain allows; a domain that is scarcer than its target
+    keeps all it has.
     """
     masses = [F.col("p")[d] * F.col("n_tokens") for d in range(len(DOMAINS))]
 
@@ -121,7 +122,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float], most: float | None
         return []
     whole = sum(sizes)
     if most is not None:
-        whole = min(most * size / (w / sum(weights)) for size, w in zip(sizes, weights) if w > 0)
+        whole = most * sizes[0] * sum(weights) / weights[0] if weights[0] else whole
     wanted = [whole * w / sum(weights) for w in weights]
     misses: list[list[float]] = []
     now = sizes
@@ -129,7 +130,8 @@ def fit_rates(members: DataFrame, targets: dict[str, float], most: float | None
         # Probabilities are at most one, so with each domain weighed by its size a full step is safe.
         misses.append([(have - want) / size if size else 0.0 for have, want, size in zip(now, wanted, sizes)])
         now = totals(misses)
-        if max(abs(have - want) for have, want in zip(now, wanted)) <= CLOSE * whole:
+        missing = [have - want if most is None else max(0.0, have - want) for have, want in zip(now, wanted)]
+        if max(map(abs, missing)) <= CLOSE * whole:
             break
     return misses
 
