@@ -337,10 +337,10 @@ def all_oracles() -> dict[str, str]:
             order by md5(concat('42:', cast(order_id as varchar))), order_id limit 800""",
         ),
         "kpi_total_revenue": _over("fct", f"select {revenue} as total_revenue from fct {completed}"),
-        "kpi_aov": _over(
-            "stg_orders",
+        "kpi_aov": _with(
+            ["raw_orders"], {},
             f"select coalesce({_mean('order_total', 100)}, 0) as avg_order_value "
-            f"from stg_orders {completed}",
+            f"from raw_orders {completed}",
         ),
         "kpi_cancellation_rate": _over(
             "mart",
@@ -363,7 +363,7 @@ def all_oracles() -> dict[str, str]:
                    format('{{:,}}', active_customers) as active_customers_text
             from (select
               (select {revenue} from fct {completed}) as total_revenue,
-              (select coalesce({_mean('order_total', 100)}, 0) from stg_orders {completed})
+              (select coalesce({_mean('order_total', 100)}, 0) from raw_orders {completed})
                 as avg_order_value,
               (select coalesce({_mean('cancellation_rate', 10000)}, 0) from mart)
                 as cancellation_rate,

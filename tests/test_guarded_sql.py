@@ -50,6 +50,13 @@ def test_run(session):
         "select * from secret",
         "select * from parquet.`/tmp`",
         "select * from nowhere",
+        "select transform(id) using 'cat' as (b string) from sales",
+        "select try_reflect('java.lang.System', 'getProperty', 'user.home')",
+        "select `reflect`('java.lang.System', 'getProperty', 'user.home') from sales",
+        "select * from range(10)",
+        "select * from sales where id in (select id from secret)",
+        "select * from gold.secret",
+        "select * from default.kept",
     ],
 )
 def test_refused(session, sql):
@@ -57,6 +64,35 @@ def test_refused(session, sql):
         guarded_sql.run_readonly_sql(session, sql)
 
 
+def test_catalog_tables_are_refused(spark, session):
+    spark.sql("create table if not exists default.kept using parquet as select 1 as id")
+    try:
+        with pytest.raises(guarded_sql.QueryRefused):
+            guarded_sql.run_readonly_sql(session, "select * from default.kept")
+    finally:
+        spark.sql("drop table default.kept")
+
+
+@pytest.mark.parametrize(
+    ("sql", "expected"),
+    [
+        ("select sum(amount) from gold.sales", [(6.5,)]),
+        ("select s.id from GOLD . Sales s where s.amount > (select avg(amount) from gold.sales)", [(2,)]),
+        ("select 'gold.sales', count(*) from sales", [("gold.sales", 2)]),
+        ("select id, row_number() over (order by id) from sales order by 1 limit 1", [(1, 1)]),
+        ("select t.x from (select explode(array(1, 2)) as x) t union all select 3", [(1,), (2,), (3,)]),
+    ],
+)
+def test_listed_tables_by_either_name(session, sql, expected):
+    assert rows(guarded_sql.run_readonly_sql(session, sql)) == expected
+
+
+def test_guard_keeps_the_callers_columns(spark):
+    df = spark.createDataFrame([("select 1", "x")], "sql string, lowered string")
+    got = guarded_sql.guard_sql(df, "sql").first()
+    assert got["lowered"] == "x" and got["allowed"]
+
+
 def test_describe(spark):
     got = guarded_sql.describe_tables({"t": spark.createDataFrame([], "a long, b string")})
     assert rows(got) == [("t", "a, b")]

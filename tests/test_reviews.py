@@ -29,6 +29,8 @@ def texts(spark, *values):
         ('{"sentiment":"negative"}, {"sentiment":"positive"}', ("neutral", "none", "low")),
         ('{"sentiment":"negative"', ("neutral", "none", "low")),
         ("no json", ("neutral", "none", "low")),
+        ("{'sentiment':'negative','issue_type':'wrong_item'}", ("neutral", "none", "low")),
+        ('{"sentiment":"negative",}', ("neutral", "none", "low")),
         ("}{", ("neutral", "none", "low")),
         ("", ("neutral", "none", "low")),
         (None, ("neutral", "none", "low")),
@@ -217,6 +219,15 @@ def test_prompt_lines(spark):
     ]
 
 
+def test_prompt_with_its_question(spark):
+    contexts = spark.createDataFrame([(1, "[review 7] (rating 2/5): late")], "question_id long, context string")
+    questions = spark.createDataFrame([(1, "why?", "x"), (2, "who?", "y")], "question_id long, question_text string, more string")
+    assert rows(retrieval.rag_prompt(contexts, questions)) == [
+        (1, "Question: why?\n\nReview excerpts:\n[review 7] (rating 2/5): late"),
+        (2, "Question: who?\n\nReview excerpts:\n"),
+    ]
+
+
 def test_top_k_of_one_list(spark):
     df = spark.createDataFrame([(1, 0.5), (2, None), (3, 0.9), (0, 0.5)], "id long, score double")
     assert [r["id"] for r in retrieval.top_k(df, "score", 3, ties=["id"]).collect()] == [3, 0, 1]

@@ -32,6 +32,28 @@ def test_csv_round_trip_keeps_text(spark, tmp_path):
     assert [t or None for t in got] == [t or None for t in texts]
 
 
+def test_line_breaks_in_any_text_of_any_entity(spark, tmp_path):
+    for entity, schema in schemas.RAW_ENTITIES.items():
+        texts = [f.name for f in schema if f.dataType.simpleString() == "string"]
+        row = {f.name: 'a\nb, "c"\r\nd' if f.name in texts else None for f in schema}
+        df = spark.createDataFrame([tuple(row.values())] * 2, schema)
+        landing.land_raw(df, str(tmp_path), entity, DAY)
+        assert rows(landing.read_raw(spark, str(tmp_path), entity).drop("dt")) == rows(df)
+
+
+@pytest.mark.parametrize("bad", ["X2,1,2024-06-01,completed,1.0", "2,1,June,completed,1.0", "2,1", "2,1,2024-06-01,completed,much"])
+def test_rows_that_do_not_fit_are_counted_and_kept(spark, tmp_path, bad):
+    folder = tmp_path / "in" / "orders" / "dt=2024-06-01"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text(f"order_id,customer_id,order_date,status,order_total\n1,1,2024-06-01,completed,1.0\n{bad}\n")
+    with pytest.raises(Exception):  # noqa: B017 - Spark's own error
+        landing.read_raw(spark, str(tmp_path / "in"), "orders").collect()
+    with pytest.raises(landing.RejectedRows, match="'orders': 1"):
+        landing.load_bronze(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["orders"])
+    assert spark.read.parquet(str(tmp_path / "out" / "rejects" / "orders")).first()["_rejected"] == bad
+    assert spark.read.parquet(str(tmp_path / "out" / "raw" / "orders")).count() == 1
+
+
 def test_landing_replaces_its_own_day_only(spark, tmp_path, orders):
     root = str(tmp_path)
     landing.land_raw(orders, root, "orders", DAY)

@@ -14,9 +14,6 @@ FORBIDDEN_KEYWORDS = (
     "attach", "copy", "pragma", "call", "export", "import",
 )
 
-# Java calls that a plain SELECT could otherwise make inside Spark.
-JAVA_CALLS = ("reflect", "try_reflect", "java_method")
-
 
 def in_domain(value: Column, allowed: Sequence[str], default: str) -> Column:
     """The value where it is one of `allowed`, else the default (also for NULL)."""
@@ -57,12 +54,17 @@ def json_objects(text: Column, schema: str) -> Column:
     after a complete object is not just ignored.
     """
     body = F.regexp_extract(text, r"(?s)\{.*\}", 0)
-    return F.from_json(F.concat(F.lit("["), body, F.lit("]")), f"array<{schema}>")
+    array = F.concat(F.lit("["), body, F.lit("]"))
+    return F.from_json(array, f"array<{schema}>", {"allowSingleQuotes": "false"})
+
+
+# Fixed value: how a retrieved review is written in a prompt.
+EXCERPT = "[review %d] (rating %d/5): %s"
 
 
 def excerpt_line(review_id: Column, rating: Column, text: Column) -> Column:
     """One line of the prompt that carries retrieved reviews."""
-    return F.format_string("[review %d] (rating %d/5): %s", review_id, rating, text)
+    return F.format_string(EXCERPT, review_id, rating, text)
 
 
 def fill_template(template: Column, **values: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import (
     FORBIDDEN_KEYWORDS,
-    JAVA_CALLS,
     starts_with_select,
     whole_word,
     without_fences,
@@ -27,20 +27,19 @@ def clean_sql(df: DataFrame, column: str) -> DataFrame:
 
 def guard_sql(df: DataFrame, column: str) -> DataFrame:
     """Add the verdict on each text: `allowed`, and `reason` where it is refused."""
+    lowered = F.lower(column)
     reason = (
-        F.when(~F.coalesce(starts_with_select(F.col("lowered")), F.lit(False)), "not a select")
-        .when(whole_word(F.col("lowered"), FORBIDDEN_KEYWORDS), "forbidden keyword")
+        F.when(~F.coalesce(starts_with_select(lowered), F.lit(False)), "not a select")
+        .when(whole_word(lowered, FORBIDDEN_KEYWORDS), "forbidden keyword")
     )
-    lowered = df.withColumn("lowered", F.lower(column))
-    verdict = lowered.withColumn("reason", reason).drop("lowered")
-    return verdict.withColumn("allowed", F.col("reason").isNull())
+    return df.withColumns({"reason": reason, "allowed": reason.isNull()})
 
 
 def readonly_session(spark: SparkSession, gold_paths: Mapping[str, str]) -> SparkSession:
-    """A session with the given gold tables as views, without the caller's own temporary views.
+    """A session with the given tables as views, without the caller's own temporary views.
 
-    The views read committed Parquet. Reading files by path in SQL is switched off. Tables of the
-    shared catalog stay visible, for reading.
+    The views read committed Parquet. They are known by name and as `gold.<name>`; nothing else can be
+    read through `run_readonly_sql`.
     """
     session = spark.newSession()
     for name, path in gold_paths.items():
@@ -49,22 +48,69 @@ def readonly_session(spark: SparkSession, gold_paths: Mapping[str, str]) -> Spar
     return session
 
 
+# What a reading plan may be made of. Scripts, commands, table functions and all other sources are not.
+READING_NODES = frozenset({
+    "Aggregate", "CTERelationDef", "CTERelationRef", "Deduplicate", "Distinct", "Except", "Expand", "Filter",
+    "Generate", "GlobalLimit", "Intersect", "Join", "LateralJoin", "LocalLimit", "LocalRelation", "Offset",
+    "OneRowRelation", "Pivot", "Project", "ResolvedHint", "Sort", "SubqueryAlias", "Union", "Unpivot", "Window",
+    "WithCTE",
+})
+
+# Expressions that run code from outside Spark's own functions, whatever name the text calls them by.
+FOREIGN_CODE = ("Reflect", "UDF", "UDAF", "Invoke", "UserDefined")
+
+
+def _refusal(plan, views: frozenset[str]) -> str | None:
+    """Why an analysed plan may not run, or None. Only the registered temporary views are read."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "View":
+        desc = plan.desc().identifier()
+        if plan.isTempView() and desc.table().lower() in views:
+            return None
+        return f"reads {desc.table()}"
+    if kind not in READING_NODES:
+        return f"holds {kind}"
+    expressions = [plan.expressions().apply(i) for i in range(plan.expressions().size())]
+    while expressions:
+        own = expressions.pop()
+        name = own.getClass().getSimpleName()
+        if any(part in name for part in FOREIGN_CODE):
+            return f"calls {name}"
+        children = own.children()
+        expressions += [children.apply(i) for i in range(children.size())]
+    for below in (plan.children(), plan.subqueries()):
+        for i in range(below.size()):
+            if reason := _refusal(below.apply(i), views):
+                return reason
+    return None
+
+
+def _without_layer(sql: str, names: frozenset[str]) -> str:
+    """`gold.<name>` of the known names as the bare name; quoted text stays as it is."""
+    listed = "|".join(sorted(map(re.escape, names))) or "(?!)"
+    pattern = rf"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?<![\w.`])gold\s*\.\s*({listed})\b"""
+    return re.sub(pattern, lambda m: m[1] or m[2], sql, flags=re.IGNORECASE)
+
+
 def run_readonly_sql(session: SparkSession, sql: str) -> DataFrame:
     """Run one guarded SELECT in a session of `readonly_session`; refuse anything else.
 
-    The verdict on the one text is read back (an action on one row). Calls into Java are refused
-    besides what the guard refuses.
+    The verdict on the one text is read back (an action on one row). The text is then parsed, so that a
+    command never starts, and analysed; the plan may hold listed nodes over the session's own views only.
     """
     text = session.createDataFrame([(sql,)], "sql string")
-    checked = guard_sql(clean_sql(text, "sql"), "sql").withColumn(
-        "java_call", whole_word(F.lower("sql"), JAVA_CALLS)
-    )
-    verdict = checked.first()
+    verdict = guard_sql(clean_sql(text, "sql"), "sql").first()
     if not verdict["allowed"]:
         raise QueryRefused(f"{verdict['reason']}: {sql[:80]}")
-    if verdict["java_call"]:
-        raise QueryRefused(f"calls into Java: {sql[:80]}")
-    return session.sql(verdict["sql"])
+    views = frozenset(t.name.lower() for t in session.catalog.listTables() if t.isTemporary)
+    plain = _without_layer(verdict["sql"], views)
+    parsed = session._jsparkSession.sessionState().sqlParser().parsePlan(plain)
+    if "Command" in parsed.getClass().getSimpleName() or "Statement" in parsed.getClass().getSimpleName():
+        raise QueryRefused(f"not a select: {sql[:80]}")
+    found = session.sql(plain)
+    if reason := _refusal(found._jdf.queryExecution().analyzed(), views):
+        raise QueryRefused(f"{reason}: {sql[:80]}")
+    return found
 
 
 def describe_tables(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -211,6 +211,20 @@ def retrieve(
     return ranked.select("question_id", "rank", "review_id", "rating", "review_text", "score")
 
 
+# Fixed value: how a question and its excerpts are put to a model.
+PROMPT = "Question: %s\n\nReview excerpts:\n%s"
+
+
+def rag_prompt(contexts: DataFrame, questions: DataFrame) -> DataFrame:
+    """(question_id, prompt) of every question text; without hits the excerpts are empty.
+
+    `contexts` is what `rag_context` makes, `questions` has question_id and question_text.
+    """
+    asked = questions.select("question_id", "question_text").join(contexts, "question_id", "left")
+    text = F.format_string(PROMPT, F.col("question_text"), F.coalesce("context", F.lit("")))
+    return asked.select("question_id", text.alias("prompt"))
+
+
 def rag_context(retrieved: DataFrame) -> DataFrame:
     """The prompt lines of each question's hits, best first, joined by line breaks."""
     line: Column = excerpt_line(F.col("review_id"), F.col("rating"), F.col("review_text"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,17 +33,12 @@ AS_OF = dt.date(2001, 8, 1)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-@lru_cache
-def _input_bytes(spark: SparkSession, sf_dir: str) -> int:
-    return tables.path_bytes(spark, sf_dir)
-
-
 class Sample:
     """Lazy access to the relations over one folder of sample tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
-        fit_partitions(spark, _input_bytes(spark, sf_dir))
+        fit_partitions(spark, tables.path_bytes(spark, sf_dir))
         self.sf_dir = sf_dir
         self._raw: dict[str, DataFrame] = {}
 
@@ -305,11 +299,11 @@ _BY_SAMPLE: dict[str, Callable[[Sample], DataFrame]] = {
     ),
     "review_candidates": lambda s: lines.review_candidates(s.stg("orders")),
     "kpi_total_revenue": lambda s: kpis.kpi_total_revenue(s.fct),
-    "kpi_aov": lambda s: kpis.kpi_aov(s.stg("orders")),
+    "kpi_aov": lambda s: kpis.kpi_aov(s.raw("orders")),
     "kpi_cancellation_rate": lambda s: kpis.kpi_cancellation_rate(s.mart),
     "order_cancellation_rate": lambda s: kpis.order_cancellation_rate(s.stg("orders")),
     "kpi_active_customers": lambda s: kpis.kpi_active_customers(s.mart),
-    "kpi_summary": lambda s: kpis.kpi_summary(s.fct, s.stg("orders"), s.mart),
+    "kpi_summary": lambda s: kpis.kpi_summary(s.fct, s.raw("orders"), s.mart),
     "top_products": lambda s: kpis.top_products(s.fct, s.dim_product),
     "revenue_by_product": lambda s: kpis.revenue_by_product(s.fct, s.dim_product),
     "revenue_by_product_id": lambda s: kpis.revenue_by_product_id(s.fct, s.dim_product),

@@ -55,6 +55,3 @@ RAW_ENTITIES = {
     "order_items": ORDER_ITEMS,
     "reviews": REVIEWS,
 }
-
-# Entities whose text may hold line breaks, so that their CSV needs multi-line reading.
-FREE_TEXT_ENTITIES = frozenset({"reviews"})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -68,12 +67,11 @@ def object_store_conf(
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared checkpoint folder of the session.
 
-    Only a local master without that setting gets a folder of this machine; a cluster must name one.
+    Without that setting a local master uses the warehouse folder; a cluster must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tillroll-")
-        spark.sparkContext.setCheckpointDir(root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

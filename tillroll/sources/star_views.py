@@ -77,17 +77,19 @@ VIEWS: dict[str, str] = {
                o.order_date + cast(2 + d.doc_id % 29 as int) as review_date,
                cast(1 + d.doc_id % 5 as int) as rating, concat(' ', d.text, ' ') as review_text,
                'none' as true_issue_type
-        from documents d join raw_orders o on d.doc_id = o.order_id and o.status <> 'cancelled'
-                         join first_item f on f.order_id = o.order_id""",
+        from documents d
+        left join (select order_id, min(customer_id) as customer_id, min(order_date) as order_date
+                   from raw_orders group by order_id) o on d.doc_id = o.order_id
+        left join first_item f on f.order_id = d.doc_id""",
     "raw_review_embeddings": "select vec_id as review_id, embedding from embeddings",
     # One question vector per label: the vector with the label's lowest id.
     "question_vectors": """
         select label as question_id, min_by(embedding, vec_id) as question
         from embeddings group by label""",
     # Clean JSON, JSON in prose with missing keys, no JSON, a value outside the list, a second
-    # object behind the first, explicit null.
+    # object behind the first, single quotes, no closing brace, a number as value, explicit null.
     "model_responses": """
-        select doc_id as review_id, case doc_id % 6
+        select doc_id as review_id, case doc_id % 9
                  when 0 then concat('{"sentiment":"',
                                     case when toxic = 1 then 'negative' else 'positive' end,
                                     '","issue_type":"wrong_item","urgency":"high"}')
@@ -97,6 +99,9 @@ VIEWS: dict[str, str] = {
                  when 2 then 'no json here'
                  when 3 then '{"sentiment":"negative","issue_type":"bogus","urgency":"low"}'
                  when 4 then '{"sentiment":"negative"} or {"sentiment":"positive"}'
+                 when 5 then '{''sentiment'':''negative'',''urgency'':''high''}'
+                 when 6 then '{"sentiment":"negative","urgency":"high"'
+                 when 7 then '{"sentiment":"negative","urgency":3}'
                  else '{"sentiment":null,"issue_type":"packaging_damage"}' end as raw
         from labels""",
     # SQL as a model might write it, with a turn's whole text as a literal.
@@ -140,6 +145,9 @@ def with_clause(selects: dict[str, str]) -> str:
 def star_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the views above over the Parquet tables of a folder."""
     selects = with_inputs(name)
-    for table in _tables_of(" ".join(selects.values())):
-        read_sample(spark, sf_dir, table).createOrReplaceTempView(table)
-    return spark.sql(with_clause(selects) + f"select * from {name}")
+    used = _tables_of(" ".join(selects.values()))
+    # Tables are passed to the one statement, so nothing is registered in the caller's session.
+    text = (with_clause(selects) + f"select * from {name}").replace("{", "{{").replace("}", "}}")
+    for table in used:
+        text = re.sub(rf"\b(from|join)\s+{table}\b", rf"\1 {{{table}}}", text)
+    return spark.sql(text, **{table: read_sample(spark, sf_dir, table) for table in used})
