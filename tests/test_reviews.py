@@ -149,9 +149,12 @@ def brute_force(questions, index, reviews, k):
     return sorted(found)
 
 
+@pytest.mark.parametrize("orphans", [3, 100])
 @pytest.mark.parametrize("per_pass", [2, 128])
-def test_retrieval_equals_brute_force(spark, monkeypatch, per_pass):
+def test_retrieval_equals_brute_force(spark, monkeypatch, per_pass, orphans):
     monkeypatch.setattr(retrieval, "QUESTIONS_PER_PASS", per_pass)
+    monkeypatch.setattr(retrieval, "ORPHANS", orphans)
+    monkeypatch.setattr(retrieval, "CELLS", 40)
     monkeypatch.setattr(retrieval, "BROADCAST_HITS", 10 if per_pass == 2 else 100_000)
     rng = np.random.default_rng(1)
     index = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(60)]
@@ -201,6 +204,14 @@ def test_stored_vector_of_wrong_width_is_an_error(spark):
         retrieval.retrieve(questions, index, reviews).collect()
 
 
+def test_repeated_question_ids_are_an_error(spark):
+    questions = spark.createDataFrame([(0, [1.0]), (0, [2.0])], "question_id long, question array<float>")
+    index = spark.createDataFrame([(1, [1.0])], "review_id long, embedding array<float>")
+    reviews = spark.createDataFrame([(1, 1, "t")], "review_id long, rating int, review_text string")
+    with pytest.raises(ValueError, match="more than one question"):
+        retrieval.retrieve(questions, index, reviews)
+
+
 def test_no_questions(spark):
     questions = spark.createDataFrame([], "question_id long, question array<float>")
     index = spark.createDataFrame([(1, [1.0])], "review_id long, embedding array<float>")

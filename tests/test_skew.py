@@ -95,8 +95,8 @@ def test_no_vector_is_shuffled(spark, small_thresholds):
     questions = spark.createDataFrame([(0, [1.0, 0.5])], "question_id long, question array<float>")
     found = retrieval.retrieve(questions, index, reviews)
     plan = executed(found)
-    shuffled = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
-    assert shuffled and not any("embedding" in line for line in shuffled)
+    shuffled = [line for line in plan.split("\n") if "Exchange" in line]
+    assert shuffled and not any("embedding" in line or "scores" in line for line in shuffled)
     assert "WindowGroupLimit" in plan
 
 

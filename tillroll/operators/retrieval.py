@@ -18,8 +18,13 @@ EMBEDDING_WIDTH = 768
 TOP_K = 5
 MAX_RATING = 3
 
-# Question vectors scored in one pass over the index; more of them take further passes.
-QUESTIONS_PER_PASS = 128
+# Question vectors scored in one pass over the index, some tens of megabytes when broadcast; more of them
+# take further passes.
+QUESTIONS_PER_PASS = 4096
+
+# Scores that a task computes at once, and ids without a review that are broadcast.
+CELLS = 2_000_000
+ORPHANS = 100_000
 
 # Hits are three numbers each, so this many of them are a few megabytes.
 BROADCAST_HITS = 100_000
@@ -77,50 +82,12 @@ def top_k(
     return df.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def score_all(index: DataFrame, questions: Sequence[Sequence[float]]) -> DataFrame:
-    """Cosine of every stored vector with each question, as (review_id, scores array).
-
-    One map-only pass over the index: a batch of stored vectors meets all questions in one matrix
-    product. The question matrix travels with the task and has at most QUESTIONS_PER_PASS rows.
-    A missing vector, or one without length, scores NULL.
-    """
-    if not 0 < len(questions) <= QUESTIONS_PER_PASS:
-        raise ValueError(f"1 to {QUESTIONS_PER_PASS} questions fit in one pass")
-    rows = [[float(x) for x in question] for question in questions]
-    width, digits = len(rows[0]), SCORE_DIGITS
-
-    def score(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        asked = np.array(rows, dtype=np.float64)
-        asked_length = np.sqrt((asked * asked).sum(axis=1))
-        for batch in batches:
-            vectors = batch.column(1)
-            stored = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            stored = stored.reshape(len(vectors), width)
-            stored_length = np.sqrt((stored * stored).sum(axis=1))
-            lengths = stored_length[:, None] * asked_length[None, :]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                scores = np.round(stored @ asked.T / lengths, digits)
-            flat = pa.array(scores.reshape(-1), mask=~np.isfinite(scores.reshape(-1)))
-            ends = np.arange(0, scores.size + 1, len(rows), dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)],
-                names=["review_id", "scores"],
-            )
-
-    no_length = F.array_repeat(F.lit(0.0).cast("float"), width)
-    vectors = index.select(
-        "review_id",
-        F.coalesce(as_vector(F.col("embedding"), width), no_length).alias("embedding"),
-    )
-    return vectors.mapInArrow(score, "review_id bigint, scores array<double>")
-
-
 def _pages(questions: DataFrame):
     """The questions in id order, at most QUESTIONS_PER_PASS of them at a time."""
     rest = questions.select("question_id", "question").where(F.col("question_id").isNotNull())
+    repeated = rest.groupBy("question_id").count().where("count > 1").select("question_id").first()
+    if repeated:
+        raise ValueError(f"question id {repeated[0]} stands for more than one question")
     page = rest.orderBy("question_id").limit(QUESTIONS_PER_PASS).collect()
     while page:
         yield page
@@ -129,54 +96,77 @@ def _pages(questions: DataFrame):
         page = rest.orderBy("question_id").limit(QUESTIONS_PER_PASS).collect() if full else []
 
 
-def _best_of_batches(scored: DataFrame, k: int) -> DataFrame:
-    """(position, review_id, score) of the k best vectors per question in every Arrow batch.
+def _known_vectors(index: DataFrame, reviews: DataFrame) -> tuple[DataFrame, list[int]]:
+    """The index, and the ids in it that have no review and so may not take a rank.
 
-    Whatever is not among the k best of its batch cannot be among the k best of all, so the pairs of
-    vectors and questions are never written out. Order: score, then the lower review id; NULL last.
+    They are found on the ids alone, so that no vector is moved. Beyond ORPHANS of them the vectors are
+    joined with the reviews' ids instead, and the list is empty.
     """
+    ids = reviews.select("review_id").where("review_id is not null")
+    orphans = index.select("review_id").distinct().join(ids, "review_id", "left_anti")
+    found = orphans.where("review_id is not null").limit(ORPHANS + 1).collect()
+    if len(found) > ORPHANS:
+        return index.join(ids, "review_id", "left_semi"), []
+    return index.where("review_id is not null"), [row["review_id"] for row in found]
+
+
+def _best_ids(asked: Sequence[Row], index: DataFrame, orphans: Sequence[int], k: int) -> DataFrame:
+    """(question_id, review_id, score) of the k best known vectors per question.
+
+    One map-only pass over the index: stored vectors meet all questions of the page in matrix products of
+    bounded size, and each task keeps its k best per question, so k rows per question and task leave it.
+    Order: score, then the lower review id. A missing vector, or one without length, scores NULL and
+    comes last.
+    """
+    rows = [[float(x) for x in row["question"]] for row in asked]
+    width, digits = len(rows[0]), SCORE_DIGITS
+    shared = index.sparkSession.sparkContext.broadcast((rows, sorted(orphans)))
 
     def best(batches):
         import numpy as np
         import pyarrow as pa
 
+        asked_rows, unknown = (np.array(x, dtype=t) for x, t in zip(shared.value, (np.float64, np.int64)))
+        asked_length = np.sqrt((asked_rows * asked_rows).sum(axis=1))
+        step = max(k + 1, CELLS // len(asked_rows))
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            if not len(ids):
-                continue
-            scores = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            scores = np.where(np.isnan(scores), -np.inf, scores).reshape(len(ids), -1)
-            chosen = []
-            for column in scores.T:
-                reachable = np.arange(len(ids))
+            every = batch.column(0).to_numpy(zero_copy_only=False)
+            stored = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(every), width)
+            known = ~np.isin(every, unknown)
+            every, stored = every[known], stored[known]
+            for low in range(0, len(every), step):
+                ids, part = every[low : low + step], stored[low : low + step].astype(np.float64)
+                lengths = np.sqrt((part * part).sum(axis=1))[:, None] * asked_length[None, :]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    scores = np.round(part @ asked_rows.T / lengths, digits)
+                scores = np.where(np.isfinite(scores), scores, -np.inf)
                 if len(ids) > k:
-                    kth = np.partition(column, len(ids) - k)[len(ids) - k]
-                    reachable = np.flatnonzero(column >= kth)
-                order = np.lexsort((ids[reachable], -column[reachable]))[:k]
-                chosen.append(reachable[order])
-            position = np.repeat(np.arange(len(chosen), dtype=np.int32), [len(c) for c in chosen])
-            rows = np.concatenate(chosen)
-            score = scores[rows, position]
+                    at, question = np.nonzero(scores >= np.partition(scores, len(ids) - k, axis=0)[len(ids) - k])
+                else:
+                    at, question = (x.ravel() for x in np.indices(scores.shape))
+                fresh = (question, ids[at], scores[at, question])
+                question, found, score = (np.concatenate(pair) for pair in zip(held, fresh))
+                order = np.lexsort((found, -score, question))
+                question = question[order]
+                first = np.searchsorted(question, question, side="left")
+                keep = order[np.arange(len(order)) - first < k]
+                held = (np.concatenate((held[0], fresh[0]))[keep], found[keep], score[keep])
+        if len(held[0]):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(position), pa.array(ids[rows]), pa.array(score, mask=np.isinf(score))],
+                [pa.array(held[0], pa.int32()), pa.array(held[1]), pa.array(held[2], mask=np.isinf(held[2]))],
                 names=["position", "review_id", "score"],
             )
 
-    return scored.mapInArrow(best, "position int, review_id bigint, score double")
-
-
-def _best_ids(asked: Sequence[Row], index: DataFrame, reviews: DataFrame, k: int) -> DataFrame:
-    # The vectors are scored before the join, so that a few numbers per vector are shuffled and not
-    # the vector itself. Only vectors of known reviews may take a rank.
-    known = score_all(index, [row["question"] for row in asked]).join(
-        reviews.select("review_id"), "review_id", "left_semi"
+    no_length = F.array_repeat(F.lit(0.0).cast("float"), width)
+    vectors = index.select(
+        "review_id",
+        F.coalesce(as_vector(F.col("embedding"), width), no_length).alias("embedding"),
     )
-    best = top_k(
-        _best_of_batches(known.select("review_id", "scores"), k),
-        "score", k, partition="position", ties=["review_id"],
-    )
+    of_tasks = vectors.mapInArrow(best, "position int, review_id bigint, score double")
+    ranked = top_k(of_tasks, "score", k, partition="position", ties=["review_id"])
     ids = F.array(*[F.lit(row["question_id"]) for row in asked])
-    return best.select(F.get(ids, F.col("position")).alias("question_id"), "review_id", "score")
+    return ranked.select(F.get(ids, F.col("position")).alias("question_id"), "review_id", "score")
 
 
 def attach_reviews(hits: DataFrame, reviews: DataFrame, n_hits: int) -> DataFrame:
@@ -191,14 +181,17 @@ def retrieve(
 ) -> DataFrame:
     """The k most similar reviews per question: (question_id, rank, review_id, rating, text, score).
 
-    `questions` holds (question_id, question vector) with distinct ids. The vectors are an argument
+    `questions` holds (question_id, question vector); an id that stands twice is an error. The vectors are an argument
     of the search and are read at once (an action), a bounded page at a time; each page takes one
     pass over the index. The search is exact; equal scores are ranked by review id.
     """
     n_questions, passes = 0, []
+    known, orphans = None, []
     for asked in _pages(questions):
+        if known is None:
+            known, orphans = _known_vectors(index, reviews)
         n_questions += len(asked)
-        passes.append(_best_ids(asked, index, reviews, k))
+        passes.append(_best_ids(asked, known, orphans, k))
     if not passes:
         id_type = questions.schema["question_id"].dataType.simpleString()
         schema = f"question_id {id_type}, review_id bigint, score double"
