@@ -16,17 +16,17 @@ ISSUE_TYPES = (
 )
 DEFAULTS = {"sentiment": "neutral", "issue_type": "none", "urgency": "low"}
 
-# Words of the built-in rules. The first issue type with a hit wins.
+# Words of the built-in rules: a general lexicon of retail complaints. The first issue type with a hit wins.
 ISSUE_WORDS = {
-    "packaging_damage": ("damaged", "crushed", "dented", "scratches", "packaging", "torn"),
-    "wrong_item": ("wrong item", "wrong product", "different item", "not match", "instead of"),
-    "customer_service": ("support", "customer service", "unhelpful", "rude", "no reply"),
-    "shipping_delay": ("late", "delay", "delayed", "slow", "shipping", "waited"),
-    "product_quality": ("broke", "broken", "cheap", "defective", "malfunctioning", "poor quality"),
+    "packaging_damage": ("damaged", "damage", "crushed", "dented", "dent", "torn", "leaking", "packaging"),
+    "wrong_item": ("wrong item", "wrong product", "wrong size", "wrong color", "mixed up", "not what i ordered"),
+    "customer_service": ("customer service", "support", "helpdesk", "unhelpful", "rude", "impolite", "no reply"),
+    "shipping_delay": ("late", "delay", "delayed", "overdue", "slow", "shipping", "waited", "waiting"),
+    "product_quality": ("broke", "broken", "defective", "faulty", "flimsy", "cheap", "poor quality", "useless"),
 }
-NEGATIVE_WORDS = ("disappointed", "terrible", "awful", "worse", "worst", "worthless", "bad")
-POSITIVE_WORDS = ("happy", "great", "excellent", "love", "recommend", "exceeded", "perfect")
-URGENT_WORDS = ("urgent", "immediately", "refund", "unsafe", "never responded", "lawyer")
+NEGATIVE_WORDS = ("disappointed", "disappointing", "terrible", "awful", "horrible", "worst", "worthless", "bad")
+POSITIVE_WORDS = ("happy", "great", "good", "excellent", "love", "recommend", "perfect", "satisfied")
+URGENT_WORDS = ("urgent", "immediately", "asap", "refund", "unsafe", "dangerous", "lawyer")
 
 MODEL_ANSWER = "struct<sentiment: string, issue_type: string, urgency: string>"
 
