@@ -34,6 +34,8 @@ LEAST_RATIO, LEAST_SDS = 6.0, 4.5
 SPAN, WINDOWS = 20, 3
 BUCKETS = 1 << 16
 MAX_WORDS = 300_000
+# Text scored at a time: messages take a step per word of the longest text, whatever the number of texts.
+PIECE = 16_000_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 OUTER = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -76,16 +78,19 @@ class Model:
     moves: np.ndarray  # log weights: from state, to state
     document: np.ndarray = field(default_factory=lambda: np.zeros(3))
     known: dict[str, float] = field(default_factory=dict, repr=False)
+    earlier: dict[str, float] = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "known": {}}
+        return {**self.__dict__, "known": {}, "earlier": {}}
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > MAX_WORDS:
-            self.known.clear()
-        for word in words:
-            if word not in self.known:
-                self.known[word] = float(self.weights[features(word)].sum())
+        if len(self.known) > MAX_WORDS:  # words in use come back from the earlier half
+            self.earlier, self.known = self.known, {}
+        lacking = [w for w in words if w not in self.known]
+        new = [w for w in lacking if w not in self.earlier]
+        scores = self.weights[np.array([features(w) for w in new], np.int64).reshape(-1, N_FEATURES)].sum(axis=1)
+        found = dict(zip(new, scores.tolist()))
+        self.known.update((w, found[w] if w in found else self.earlier[w]) for w in lacking)
         return np.fromiter(map(self.known.__getitem__, words), float, len(words))
 
     def marginals(self, scores: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -305,7 +310,7 @@ def score(df: DataFrame, model: Model | None, keep: list[str], text_col: str = "
     def run(batches):
         for batch in batches:
             *kept, texts = batch.columns
-            for first, piece in text_pieces(texts):
+            for first, piece in text_pieces(texts, PIECE):
                 places: list[list] = [[] for _ in range(len(piece))]
                 if model is None:
                     scores = np.zeros(len(piece))
