@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Fixed values of the job: (verdict, host, path).
@@ -93,22 +95,27 @@ def _beta(children: DataFrame, parent: str) -> DataFrame:
     return sums.select(parent, F.coalesce(strength, F.lit(MOST_STRENGTH)).alias("strength"))
 
 
-def reputation(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Posterior of hosts, domains, suffixes and everything from labelled outcomes (`host`, `bad` 0/1).
+def reputation(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, tuple[float, float]]:
+    """Posterior of hosts, domains and suffixes from labelled outcomes (`host`, `bad` 0/1), each with its key,
+    `mean` and `weight` (outcomes and prior together); and mean and weight of all pages.
 
-    Each has its key, `mean` and `weight` (outcomes and prior together). Rows without an outcome are left
-    out; without any, all tables but the last are empty and that has a mean of 0.
+    Rows without an outcome are left out; without any, the tables are empty and the mean of all is 0. The
+    outcomes are counted once, to one stored row per host; all levels stand on that.
     """
-    hosts = (
+    hosts = stored(
         outcomes.where(F.col("bad").isNotNull())
         .groupBy("host")
         .agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-        .select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad")
+        .select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad"),
+        "host-outcomes",
     )
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    everything = suffixes.withColumn("every", F.lit(1)).groupBy("every").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    top = everything.select("every", (F.col("bad") / F.col("n")).alias("mean"), F.col("n").cast("double").alias("weight"))
+    tops = suffixes.withColumn("every", F.lit("all"))
+    every = tops.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    top = (every["bad"] / every["n"], float(every["n"])) if every["n"] else (0.0, 0.0)
+    strength = _beta(tops, "every").select("strength").first()
+    strength = strength[0] if strength else MOST_STRENGTH
 
     def shrunk(children: DataFrame, key: str, parent: str, above: DataFrame, prior: DataFrame) -> DataFrame:
         own = children.join(prior, parent).join(above.select(parent, F.col("mean").alias("__above")), parent)
@@ -116,8 +123,9 @@ def reputation(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Da
         mean = (F.col("bad") + F.col("strength") * F.col("__above")) / weight
         return own.select(key, *({"domain", "suffix"} & set(children.columns) - {key}), mean.alias("mean"), weight.alias("weight"))
 
-    tops = suffixes.withColumn("every", F.lit(1))
-    suffix_rates = shrunk(tops, "suffix", "every", top, _beta(tops, "every"))
+    weight = F.col("n") + F.lit(strength)
+    mean = (F.col("bad") + F.lit(strength) * F.lit(top[0])) / weight
+    suffix_rates = suffixes.select("suffix", mean.alias("mean"), weight.alias("weight"))
     domain_rates = shrunk(domains, "domain", "suffix", suffix_rates, _beta(domains, "suffix"))
     host_rates = shrunk(hosts, "host", "domain", domain_rates, _beta(hosts, "domain"))
     return host_rates, domain_rates, suffix_rates, top
@@ -141,11 +149,9 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float = LIM
         hosts = hosts.join(
             rates.select(key, bound(F.col("mean"), F.col("weight")).alias(f"of_{key}")), key, "left"
         )
-    hosts = hosts.withColumn("every", F.lit(1)).join(
-        F.broadcast(top.select("every", bound(F.col("mean"), F.col("weight")).alias("of_every"))), "every", "left"
-    )
+    of_every = bound(F.lit(top[0]), F.lit(top[1]))
     known = hosts.select(
-        F.col("host").alias("__host"), F.coalesce("of_host", "of_domain", "of_suffix", "of_every", F.lit(0.0)).alias("bound")
+        F.col("host").alias("__host"), F.coalesce("of_host", "of_domain", "of_suffix", of_every).alias("bound")
     )
     verdict = F.coalesce(F.col("__fit.verdict"), F.when(F.col("bound") > limit, "block").otherwise("allow"))
     return seen.join(known, F.col("host") == F.col("__host"), "left").select(
