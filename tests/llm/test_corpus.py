@@ -60,7 +60,7 @@ def near_copies(seed: int, n: int, words: int, changes: int) -> list[str]:
     return texts
 
 
-@pytest.mark.parametrize("block", [1500, 7])
+@pytest.mark.parametrize("block", [1_500_000, 900])
 def test_groups_equal_comparing_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     texts = near_copies(1, 60, 90, 7) + near_copies(2, 30, 200, 12) + near_copies(3, 12, 12, 1)

@@ -8,10 +8,11 @@ a Jaccard similarity of at least 0.75. The steps:
    once, and what occurs again goes into bitmaps of a fixed size. Rare ones are put before common ones, then
    by hash. Two sets that link must share a shingle among the first quarter of each; only shingles that occur
    again matter there, so most sets have none.
-3. Sets with such a shingle in common meet in a tile. First each meets one leader of the tile; those that
-   link are joined. Then tiles that still hold several groups are compared in full, in blocks: sizes first,
-   then bitmap signatures, whose differing bits bound the overlap from above; what may still link across
-   groups is checked by intersecting the sorted shingles.
+3. First each set meets one leader per shingle; those that link are joined. Then sets of different groups that
+   still share such a shingle, directly or through others, meet in tiles of bounded size. In a tile each set
+   is held against those of its own size band and the next: by size, then by bitmap signatures, whose
+   differing bits bound the overlap from above, then by intersecting the sorted shingles. A pair whose groups
+   have been joined meanwhile is passed over, so a tile gives no more links than it has sets.
 
 Pairs of one group are thus not looked at again, while no link between two groups is lost: the components
 are exact. The order of shingles and the bitmaps decide the work, never the result. The hash of a set or
@@ -38,9 +39,8 @@ SHINGLE = 5
 PART_SHINGLES = 4_000_000
 TABLE_BITS = 27
 COMMON = 16
-# Sets of a tile that are compared at once.
-BLOCK = 1500
-LEADERS = 3
+# Shingles of a block of sets; a tile holds two blocks.
+BLOCK = 1_500_000
 
 _STEPS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
@@ -189,7 +189,7 @@ def prefix(grams: np.ndarray, again: np.ndarray, common: np.ndarray) -> np.ndarr
 
 def signature(grams: np.ndarray) -> bytes:
     """Bitmap of the set; its width follows from the size band."""
-    bits = max(64, 4 << (len(grams).bit_length() - 1))
+    bits = max(64, 8 << (len(grams).bit_length() - 1))
     marks = np.zeros(bits, np.uint8)
     marks[(grams & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(marks, bitorder="little").tobytes()
@@ -257,27 +257,33 @@ def _grouped(links_so_far: DataFrame, postings: DataFrame) -> DataFrame:
 
 def _mixed(postings: DataFrame) -> DataFrame:
     """Postings of the shingles that still hold more than one group."""
-    several = postings.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("c"))
-    return postings.join(several.where("l < h").select("token", "c"), "token")
+    several = postings.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h"))
+    return postings.join(several.where("l < h").select("token"), "token")
 
 
 def _tiles(mixed: DataFrame, near: DataFrame) -> DataFrame:
-    """Distinct pairs of different groups that sizes and signatures leave; long lists are cut into blocks."""
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    dealt = mixed.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    """Links (a, b) that join groups, from all pairs of different groups that share a shingle."""
+    least = mixed.groupBy("token").agg(F.min("key").alias("b"))
+    edges = mixed.join(least, "token").select(F.col("key").alias("a"), "b").distinct()
+    clusters = components(edges).select("key", F.col("label").alias("cluster"))
+    sets = stored(mixed.select("key", "n", F.col("label")).distinct().join(clusters, "key"), "tile-sets")
+    # Large clusters are cut into blocks, by the shingles that they hold; every two blocks make a tile.
+    sizes = sets.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = sets.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = met.select(
-        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "n", "label"
-    ).join(near.select("key", "bits"), "key")
+        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "n", "label"
+    ).join(near.select("key", "bits", "grams"), "key")
 
     def compare(tile: pa.Table) -> pa.Table:
-        key, n, label, own = (tile[c].to_numpy() for c in ("key", "n", "label", "own"))
+        key, n, label, own = (tile[c].to_numpy().copy() for c in ("key", "n", "label", "own"))
+        _, label = np.unique(label, return_inverse=True)
         raw = tile["bits"].to_pylist()
+        grams = [np.frombuffer(g, np.uint64) for g in tile["grams"].to_pylist()]
         two = bool((own != own[0]).any())
         band = np.array([int(x).bit_length() for x in n])
-        a_found, b_found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        found: list[tuple[int, int]] = []
         for low in np.unique(band):
-            # A set meets those of its own size band and of the next one.
             rows = np.flatnonzero((band == low) | (band == low + 1))
             size = min(len(raw[r]) for r in rows)
             bits = np.stack([_folded(raw[r], size) for r in rows])
@@ -288,14 +294,17 @@ def _tiles(mixed: DataFrame, near: DataFrame) -> DataFrame:
                 fits &= (band[rows] > low) | (key[rows] > key[r])
                 if two:
                     fits &= own[rows] != own[r]
-                with_r = np.flatnonzero(fits)
-                if len(with_r):
-                    good = with_r[may_link(n[r], bits[at], n[rows[with_r]], bits[with_r])]
-                    a_found.append(np.minimum(key[rows[good]], key[r]))
-                    b_found.append(np.maximum(key[rows[good]], key[r]))
-        return pa.table({"a": np.concatenate(a_found), "b": np.concatenate(b_found)})
+                left = np.flatnonzero(fits)
+                if len(left):
+                    left = left[may_link(n[r], bits[at], n[rows[left]], bits[left])]
+                for x in rows[left]:
+                    if label[x] != label[r] and links(grams[r], grams[x]):
+                        label[label == label[x]] = label[r]
+                        found.append((int(key[r]), int(key[x])))
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.groupBy("token", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return stored(rows.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long"), "links")
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -345,18 +354,12 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     near = stored(texts.mapInArrow(fetch, "key long, n long, bits binary, grams binary").dropDuplicates(["key"]), "near-sets")
 
-    found = None
-    for turn in range(LEADERS):
-        # One leader per shingle: the same for all in the first turn, then another for each.
-        now = postings.withColumn("label", F.col("key")) if found is None else stored(_grouped(found, postings), "postings")
-        now = _mixed(now)
-        order = F.struct(F.xxhash64("key") if turn == 0 else F.xxhash64("key", "token", F.lit(turn)), "key")
-        lead = now.groupBy("token").agg(F.min_by(F.struct("key", "label"), order).alias("lead"))
-        pairs = now.join(lead, "token").where(F.col("lead.label") != F.col("label"))
-        pairs = pairs.select(F.least("key", "lead.key").alias("a"), F.greatest("key", "lead.key").alias("b")).distinct()
-        new = _verified(pairs, near)
-        found = new if found is None else found.unionByName(new)
-    rest = _verified(_tiles(_mixed(stored(_grouped(found, postings), "postings")), near), near)
+    every = _mixed(postings.withColumn("label", F.col("key")))
+    lead = every.groupBy("token").agg(F.min_by("key", F.struct(F.xxhash64("key"), "key")).alias("lead"))
+    pairs = every.join(lead, "token").where(F.col("lead") != F.col("key"))
+    pairs = pairs.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
+    found = _verified(pairs, near)
+    rest = _tiles(stored(_mixed(_grouped(found, postings)), "postings"), near)
     labels = components(found.unionByName(rest))
 
     by_key = members.where("n > 0").groupBy("key").agg(F.min("id").alias("low")).join(labels, "key", "left")
