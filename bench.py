@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -33,6 +34,10 @@ HEADLINES = (
     "parse_enrichment",
     "pending_embeddings",
     "retrieve_topk",
+    "bronze_load",
+    "enrich_reviews_rules",
+    "build_embeddings",
+    "sql_guard",
 )
 RUNS = 5
 
@@ -46,6 +51,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", str(2 * cpus))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillroll-bench-"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
