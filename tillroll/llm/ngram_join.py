@@ -41,6 +41,8 @@ TABLE_BITS = 27
 COMMON = 16
 # Shingles of a block of sets; a tile holds two blocks.
 BLOCK = 1_500_000
+# Shingles that a worker holds at once, besides those of one piece of text.
+CHUNK = 1_000_000
 
 _STEPS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
@@ -96,6 +98,19 @@ def _distinct_sets(batch: pa.RecordBatch):
                 yield key, grams
 
 
+def _chunks(batch: pa.RecordBatch):
+    """The distinct sets of a batch in lists of bounded size, to keep workers small."""
+    held, size = [], 0
+    for key, grams in _distinct_sets(batch):
+        held.append((key, grams))
+        size += len(grams)
+        if size >= CHUNK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def membership(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, n, key) of every row."""
 
@@ -127,11 +142,8 @@ def repeated(texts: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
     parts = max(1, -(-total // PART_SHINGLES))
 
     def send(batches):
-        for batch in batches:
-            sets = [grams for _, grams in _distinct_sets(batch)]
-            if not sets:
-                continue
-            grams, counts = np.unique(np.concatenate(sets), return_counts=True)
+        for sets in (chunk for batch in batches for chunk in _chunks(batch)):
+            grams, counts = np.unique(np.concatenate([grams for _, grams in sets]), return_counts=True)
             part = (grams & np.uint64(0xFFFFFFFF)) % np.uint64(parts)
             order = np.argsort(part, kind="stable")
             edges = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
@@ -341,9 +353,9 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     asked = df.sparkSession.sparkContext.broadcast(wanted)
 
     def fetch(batches):
-        for batch in batches:
+        for sets in (chunk for batch in batches for chunk in _chunks(batch)):
             found = []
-            for key, grams in _distinct_sets(batch):
+            for key, grams in sets:
                 # As xxhash64("key") in Spark: seed 42 over the eight bytes.
                 at = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42) >> (64 - TABLE_BITS)
                 if asked.value[at >> 3] >> (at & 7) & 1:
