@@ -149,6 +149,47 @@ def test_secrets_over_a_table(spark):
     assert secrets.fit(empty_documents(spark)) is None and secrets.find(empty_documents(spark), None, ["doc_id"]).count() == 0
 
 
+class Seeing:
+    """In the network's place: finds what holds a mark."""
+
+    threshold = 0.5
+
+    def probabilities(self, windows):
+        inside = [w[secrets.BEFORE : secrets.BEFORE + secrets.INSIDE] for w in windows]
+        return np.array([float("KEY9" in w) for w in inside])
+
+
+def test_the_network_reads_whole_candidates():
+    for lead in range(130):
+        run = ("path/" * 40)[:lead] + "KEY9" + "q" * 40
+        for own in (run, run[:-40]):
+            if len(own) >= 16:
+                assert secrets._spans(pa.array([f"a {own} b"]), Seeing())[0][1] == [("model", 2, 2 + len(own))]
+    for size in range(1, 200):
+        covered = {at + i for at in secrets.places(7, 7 + size) for i in range(secrets.INSIDE) if at + i < 7 + size}
+        assert covered == set(range(7, 7 + size))
+
+
+def test_parts_beside_base_spans_are_scored():
+    access, hidden = "AKIA" + "Q7" * 10, "0123456789abcdef" * 2
+    text = f"see {access}/KEY9 and KEY9/{hidden}-no/{hidden}+KEY9"
+    spans = secrets._spans(pa.array([text]), Seeing())[0][1]
+    assert [text[a:b] for kind, a, b in spans if kind == "model"] == ["/KEY9", "KEY9/", "+KEY9"]
+    assert [s for s in spans if s[0] != "model"] == plain_spans(text)
+
+
+def test_training_sees_secrets_anywhere_in_a_candidate():
+    hidden = "0123456789abcdef" * 2
+    for lead in range(0, 90):
+        text = "z" * lead + "/" + hidden + "/" + "z" * 50
+        (_, base, runs) = next(secrets._scan(pa.array([text])))
+        own = list(secrets.labelled(text, base, runs))
+        assert [label for _, label in own].count(1) == 1
+        inside = [w[secrets.BEFORE : secrets.BEFORE + secrets.INSIDE] for w, label in own if label]
+        assert sum(c in "0123456789abcdef" for c in inside[0]) >= 24
+        assert not any(c.isdigit() for w, label in own if not label for c in w[secrets.BEFORE : secrets.BEFORE + secrets.INSIDE])
+
+
 def toxic_corpus(spark, n=400):
     texts, toxic = [], []
     for i in range(n):
