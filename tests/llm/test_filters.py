@@ -190,6 +190,36 @@ def test_training_sees_secrets_anywhere_in_a_candidate():
         assert not any(c.isdigit() for w, label in own if not label for c in w[secrets.BEFORE : secrets.BEFORE + secrets.INSIDE])
 
 
+def test_copies_are_one_example(spark):
+    hidden, plain = keys_and_words(60)
+    texts = [f"here it is {k} and {w} so" for k, w in zip(hidden, plain)]
+    copied = texts + [texts[0]] * 300
+    rows = secrets.labelled_windows(documents(spark, copied)).collect()
+    windows, labels, held = secrets.distinct([r["window"] for r in rows], np.array([r["label"] for r in rows]))
+    assert len(set(windows)) == len(windows) and labels.sum() == 60 and held[labels == 1].sum() == 15
+    once, often = (secrets.fit(documents(spark, t)) for t in (texts, copied))
+    assert once.threshold == often.threshold and (once.filters == often.filters).all()
+    few = secrets.labelled_windows(documents(spark, copied).repartition(3), sample=20).collect()
+    least = sorted((secrets._hash(w) - (1 << 63), w) for w, label in zip(windows, labels) if label)[:20]
+    assert sorted({(r["h"], r["window"]) for r in few if r["label"]})[:20] == least
+
+
+def test_threshold_keeps_the_recall():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 100, 200, 750):
+        scores = rng.random(n) * 0.6
+        threshold = secrets.recall_threshold(scores)
+        assert (scores >= threshold).mean() >= 0.99 and (scores > threshold).mean() < 0.99
+    # Secrets that look like everything else: labels at random, so that scores lie about 0.5 and below.
+    letters = "abcdefghij0123456789"
+    windows = ["".join(rng.choice(list(letters), secrets.WINDOW)) for _ in range(1200)]
+    labels = (rng.random(1200) < 0.2).astype(int)
+    network = secrets.train(windows, labels)
+    own, marks, held = secrets.distinct(windows, labels)
+    scores = network.probabilities([w for w, h, m in zip(own, held, marks) if h and m])
+    assert network.threshold < 0.5 and (scores >= network.threshold).mean() >= 0.99
+
+
 def toxic_corpus(spark, n=400):
     texts, toxic = [], []
     for i in range(n):
