@@ -1,8 +1,8 @@
 """From raw documents to token ids: each stage works on all that the one before it kept.
 
 1. quality: texts that the base rule or the repetition rule rejects go.
-2. near_duplicates: of each group of texts linked at a similarity of 0.75, the one of smallest id stays;
-   of rows that share that id, too, one.
+2. near_duplicates: of each group of texts linked at a similarity of 0.75, one row stays: that of smallest id,
+   then of smallest set key. Rows are told apart by id and text; null ids come last.
 3. secrets: found spans are replaced in the text, and `n_chars` is counted anew.
 4. mixing: domains that are larger than their target are thinned by rates of at most one. Targets are set at
    what the clean domain has, and documents that are more likely clean than not stay whatever their rate.
@@ -33,15 +33,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.groups(docs)
-    gone = stored(found.where("id is not null and id != component_id").select("id").distinct(), "duplicates")
-    kept = docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
-    # Rows that repeat an id: copies of one row go too; other texts under the same id stay.
-    twice = stored(docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__twice")), "repeated-ids")
+    first = stored(ngram_join.firsts(docs), "first-rows")
+
+    def those(of: DataFrame) -> DataFrame:
+        own = docs["doc_id"].cast("long").eqNullSafe(of["id"]) & (ngram_join.text_mark(docs["text"]) == of["mark"])
+        return docs.join(of, own, "left_semi")
+
+    # Rows alike in id and text: one of them.
+    twice = first.where("n_rows > 1")
     if twice.isEmpty():
-        return kept
-    single = kept.join(twice, kept["doc_id"].eqNullSafe(twice["__twice"]), "left_anti")
-    return single.unionByName(kept.join(twice, kept["doc_id"].eqNullSafe(twice["__twice"]), "left_semi").dropDuplicates(["doc_id", "text"]))
+        return those(first)
+    return those(first.where("n_rows = 1")).unionByName(those(twice).dropDuplicates(["doc_id", "text"]))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -211,6 +211,22 @@ def test_pipeline_stages(spark, folder):
     assert coded.count() == mixed.count() and "token_ids" in coded.columns
 
 
+def test_near_duplicates_are_decided_by_row(spark, tmp_path):
+    a, b, c, d, e = (prose(600 + i, 90, 10_000) for i in range(5))
+
+    def near(text, word):
+        return text.rsplit(" ", 1)[0] + f" {word}"
+
+    rows = [(1, a), (7, near(a, "x")), (7, b), (9, c), (9, near(c, "y")), (9, near(c, "z")), (None, d), (None, near(d, "x")),
+            (None, near(b, "x")), (None, e), (None, e), (11, near(e, "x")), (12, ""), (13, None), (1, a), (14, a.upper())]
+    docs = spark.createDataFrame([(i, t, "en", "src0", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates_stage(spark, docs, "").collect()]
+    kept = sorted(((i, t) for i, t in got if i is not None and i != 9), key=repr)
+    assert kept == sorted([(1, a), (7, b), (11, near(e, "x")), (12, ""), (13, None)], key=repr)
+    assert [t[:40] for i, t in got if i == 9] == [c[:40]]
+    assert [t[:40] for i, t in got if i is None] == [d[:40]]
+
+
 def test_pipeline_runs_and_takes_empty_tables(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 30
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)

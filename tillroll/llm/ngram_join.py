@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import stored, text_pieces, words_of
@@ -111,21 +111,26 @@ def _chunks(batch: pa.RecordBatch):
         yield held
 
 
+def text_mark(text: Column) -> Column:
+    """Stands for the text among those of one id."""
+    return F.xxhash64(text)
+
+
 def membership(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, key) of every row."""
+    """(id, n, key, mark) of every row; the mark is `text_mark` of its text."""
 
     def run(batches):
         for batch in batches:
-            ids, texts = batch.columns
+            ids, marks, texts = batch.columns
             for first, piece in text_pieces(texts):
                 sets = shingle_sets(piece)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, len(piece)), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([set_key(s) for s in sets], pa.int64())], ["id", "n", "key"],
+                     pa.array([set_key(s) for s in sets], pa.int64()), marks.slice(first, len(piece))], ["id", "n", "key", "mark"],
                 )
 
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return texts.mapInArrow(run, "id long, n long, key long")
+    texts = df.select(F.col(id_col).cast("long").alias("id"), text_mark(F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
+    return texts.mapInArrow(run, "id long, n long, key long, mark long")
 
 
 def _slots(grams: np.ndarray) -> np.ndarray:
@@ -319,13 +324,11 @@ def _tiles(mixed: DataFrame, near: DataFrame) -> DataFrame:
     return stored(rows.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long"), "links")
 
 
-def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row: the smallest id reachable by links, its own included."""
-    texts = df.select(F.col(text_col).alias("text"))
-    members = stored(membership(df, id_col, text_col), "shingle-members")
+def set_labels(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(key, label) of the sets that link with another one; `members` is the membership of `texts`."""
     total = members.agg(F.sum("n")).first()[0] or 0
     again, common = repeated(texts, total)
-    tables = df.sparkSession.sparkContext.broadcast((again, common))  # of fixed size
+    tables = texts.sparkSession.sparkContext.broadcast((again, common))  # of fixed size
 
     def post(batches):
         for batch in batches:
@@ -350,7 +353,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     marks = postings.select(slot.alias("slot")).groupBy(F.shiftright("slot", 15).alias("at"))
     for row in marks.agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(32767)).alias("bits")).collect():
         wanted[row["at"] * 4096 : (row["at"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
-    asked = df.sparkSession.sparkContext.broadcast(wanted)
+    asked = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def fetch(batches):
         for sets in (chunk for batch in batches for chunk in _chunks(batch)):
@@ -372,8 +375,13 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     pairs = pairs.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
     found = _verified(pairs, near)
     rest = _tiles(stored(_mixed(_grouped(found, postings)), "postings"), near)
-    labels = components(found.unionByName(rest))
+    return components(found.unionByName(rest))
+
 
+def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of every row: the smallest id reachable by links, its own included."""
+    members = stored(membership(df, id_col, text_col), "shingle-members")
+    labels = set_labels(df.select(F.col(text_col).alias("text")), members)
     by_key = members.where("n > 0").groupBy("key").agg(F.min("id").alias("low")).join(labels, "key", "left")
     by_key = stored(by_key.select("key", "low", F.coalesce("label", "key").alias("label")), "set-groups")
     lowest = by_key.groupBy("label").agg(F.min("low").alias("component"))
@@ -381,3 +389,16 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return members.join(named, "key", "left").select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")
     )
+
+
+def firsts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, mark, n_rows) of one row of each group, with the number of rows that are alike in both: the row of
+    smallest id, then of smallest key; null ids come last. Texts without words are groups of their own."""
+    members = stored(membership(df, id_col, text_col), "shingle-members")
+    labels = set_labels(df.select(F.col(text_col).alias("text")), members)
+    alike = members.groupBy("n", "key", "id", "mark").agg(F.count("*").alias("n_rows"))
+    row = F.struct(F.col("id").isNull().alias("last"), "id", "key", "mark", "n_rows")
+    by_key = alike.where("n > 0").groupBy("key").agg(F.min(row).alias("row"))
+    joined = by_key.join(labels, "key", "left").select(F.coalesce("label", "key").alias("label"), "row")
+    chosen = joined.groupBy("label").agg(F.min("row").alias("row")).select("row.id", "row.mark", "row.n_rows")
+    return chosen.unionByName(alike.where("n = 0").select("id", "mark", "n_rows"))
