@@ -72,6 +72,20 @@ def test_groups_equal_comparing_all_pairs(spark, monkeypatch, block):
     assert ngram_join.groups(docs).count() == docs.count()
 
 
+@pytest.mark.parametrize("block", [250_000, 700])
+def test_all_links_are_counted(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "COUNT_BLOCK", block)
+    texts = near_copies(1, 40, 90, 9) + near_copies(2, 20, 200, 12) + near_copies(4, 2, 90, 3) + ["", prose(77, 60, 10_000)]
+    shared = [f"s{i}" for i in range(10)]  # a chain: the ends do not link
+    texts += [" ".join(shared + ["x"]), " ".join(shared), " ".join(["y"] + shared)]
+    docs = documents(spark, texts)
+    sets = {plain_set(r["text"]) for r in docs.collect()} - {frozenset()}
+    expected = {a: sum(a != b and 100 * len(a & b) >= 75 * len(a | b) for b in sets) for a in sets} | {frozenset(): 0}
+    got = {(r["id"], r["n_links"]) for r in ngram_join.groups(docs).collect()}
+    assert got == {(r["doc_id"], expected[plain_set(r["text"])]) for r in docs.collect()}
+    assert 0 in expected.values() and max(expected.values()) > 2
+
+
 def test_links_at_the_border(spark):
     shared = [f"s{i}" for i in range(10)]
     # 6 shared shingles; 8 in the union link (0.75), 9 do not.

@@ -14,8 +14,11 @@ a Jaccard similarity of at least 0.75. The steps:
    differing bits bound the overlap from above, then by intersecting the sorted shingles. A pair whose groups
    have been joined meanwhile is passed over, so a tile gives no more links than it has sets.
 
-Pairs of one group are thus not looked at again, while no link between two groups is lost: the components
-are exact. The order of shingles and the bitmaps decide the work, never the result. The hash of a set or
+4. Every link lies within a group, so then all pairs of a group are verified, in tiles of bounded size again,
+   and the links of each set are counted there. A group of two sets has one link.
+
+Groups are found without looking at all their pairs, while no link between two groups is lost: the components
+and the numbers of links are exact. The order of shingles and the bitmaps decide the work, never the result. The hash of a set or
 shingle stands for it; with 64 bits, chance agreement is of no account below some billions of texts.
 
 Texts without words (null, empty) have no shingles and link with nothing; with fewer words than a shingle
@@ -31,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stored, text_pieces, words_of
+from tillroll.llm.common import ragged, stored, text_pieces, words_of
 from tillroll.llm.components import components
 
 SHINGLE = 5
@@ -41,6 +44,8 @@ TABLE_BITS = 27
 COMMON = 16
 # Shingles of a block of sets; a tile holds two blocks.
 BLOCK = 1_500_000
+# Shingles of a block of one group whose links are counted.
+COUNT_BLOCK = 250_000
 # Shingles that a worker holds at once, besides those of one piece of text.
 CHUNK = 1_000_000
 
@@ -324,8 +329,48 @@ def _tiles(mixed: DataFrame, near: DataFrame) -> DataFrame:
     return stored(rows.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long"), "links")
 
 
-def set_labels(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """(key, label) of the sets that link with another one; `members` is the membership of `texts`."""
+def link_counts(labels: DataFrame, near: DataFrame) -> DataFrame:
+    """(key, n_links) of the sets in `labels`: with how many other sets each of them links."""
+    sizes = labels.join(near.select("key", "n"), "key").groupBy("label").agg(
+        F.count("*").alias("sets"), F.ceil(F.sum("n") / COUNT_BLOCK).cast("int").alias("blocks")
+    )
+    dealt = labels.join(sizes, "label")
+    several = dealt.where("sets > 2").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    met = several.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = met.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key")
+    rows = rows.join(near.select("key", "grams"), "key")
+
+    def count(tile: pa.Table) -> pa.Table:
+        i, j, own = tile["i"][0].as_py(), tile["j"][0].as_py(), tile["own"].to_numpy()
+        grams = [np.frombuffer(g, np.uint64) for g in tile["grams"].to_pylist()]
+        size = np.fromiter(map(len, grams), np.int64, len(grams))
+        found, ids = np.unique(np.concatenate(grams), return_inverse=True)
+        begin = np.cumsum(size) - size
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        n = np.zeros(len(grams), np.int64)
+        if len(right):
+            flat = ids[ragged(begin[right], size[right])]
+            at = np.cumsum(size[right]) - size[right]
+            held = np.zeros(len(found), bool)
+            for r in left:
+                mine = ids[begin[r] : begin[r] + size[r]]
+                held[mine] = True
+                both = np.add.reduceat(held[flat], at, dtype=np.int64)
+                held[mine] = False
+                linked = 7 * both >= 3 * (size[r] + size[right])
+                n[r] += linked.sum() - (i == j)  # not with itself
+                if i != j:
+                    n[right] += linked
+        return pa.table({"key": tile["key"].combine_chunks(), "n_links": pa.array(n)})
+
+    counted = rows.groupBy("label", "i", "j").applyInArrow(count, "key long, n_links long")
+    counted = counted.groupBy("key").agg(F.sum("n_links").alias("n_links"))
+    return counted.unionByName(dealt.where("sets = 2").select("key", F.lit(1).cast("long").alias("n_links")))
+
+
+def set_labels(texts: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, label) of the sets that link with another one, and the sets that may, with their shingles;
+    `members` is the membership of `texts`."""
     total = members.agg(F.sum("n")).first()[0] or 0
     again, common = repeated(texts, total)
     tables = texts.sparkSession.sparkContext.broadcast((again, common))  # of fixed size
@@ -375,19 +420,23 @@ def set_labels(texts: DataFrame, members: DataFrame) -> DataFrame:
     pairs = pairs.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
     found = _verified(pairs, near)
     rest = _tiles(stored(_mixed(_grouped(found, postings)), "postings"), near)
-    return components(found.unionByName(rest))
+    return components(found.unionByName(rest)), near
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row: the smallest id reachable by links, its own included."""
+    """(id, n_shingles, component_id, n_links) of every row: the smallest id reachable by links, its own
+    included, and the number of other sets that its set links with; copies are one set."""
     members = stored(membership(df, id_col, text_col), "shingle-members")
-    labels = set_labels(df.select(F.col(text_col).alias("text")), members)
+    labels, near = set_labels(df.select(F.col(text_col).alias("text")), members)
     by_key = members.where("n > 0").groupBy("key").agg(F.min("id").alias("low")).join(labels, "key", "left")
     by_key = stored(by_key.select("key", "low", F.coalesce("label", "key").alias("label")), "set-groups")
     lowest = by_key.groupBy("label").agg(F.min("low").alias("component"))
-    named = by_key.join(lowest, "label").select("key", "component")
+    named = by_key.join(lowest, "label").join(link_counts(labels, near), "key", "left").select("key", "component", "n_links")
     return members.join(named, "key", "left").select(
-        "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")
+        "id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
 
 
@@ -395,7 +444,7 @@ def firsts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """(id, mark, n_rows) of one row of each group, with the number of rows that are alike in both: the row of
     smallest id, then of smallest key; null ids come last. Texts without words are groups of their own."""
     members = stored(membership(df, id_col, text_col), "shingle-members")
-    labels = set_labels(df.select(F.col(text_col).alias("text")), members)
+    labels, _ = set_labels(df.select(F.col(text_col).alias("text")), members)
     alike = members.groupBy("n", "key", "id", "mark").agg(F.count("*").alias("n_rows"))
     row = F.struct(F.col("id").isNull().alias("last"), "id", "key", "mark", "n_rows")
     by_key = alike.where("n > 0").groupBy("key").agg(F.min(row).alias("row"))
