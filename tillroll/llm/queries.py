@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, bpe, mixing, ngram_join, quality, secrets, sharding, token_files, toxicity, url_filters
+from tillroll.llm import ann, bpe, exact_dedup, mixing, ngram_join, quality, secrets, sharding, token_files, toxicity, url_filters
 from tillroll.llm.common import table
 
 # Parameters of the registered queries.
@@ -97,6 +97,13 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, outcomes).drop("bound")
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_ann": op2_ann,
@@ -108,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_token_files": op9_token_files,
     "op10_url_filters": op10_url_filters,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 
@@ -144,6 +152,11 @@ def _rule_cases(column: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op13_exact_dedup": """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))
+""",
     "op10_url_filters": rf"""
 with rests as (
   select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
