@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, bpe, exact_dedup, mixing, ngram_join, quality, secrets, sharding, token_files, toxicity, url_filters
+from tillroll.llm import ann, bpe, exact_dedup, merkle, mixing, ngram_join, quality, secrets, sharding, token_files, toxicity, url_filters
 from tillroll.llm.common import table
 
 # Parameters of the registered queries.
@@ -97,6 +97,31 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, outcomes).drop("bound")
 
 
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    fields = {name: F.col(name) for name in LEAF_FIELDS}
+    lowered = F.translate("text", url_filters.UPPER, url_filters.LOWER)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    seen = F.when(tampered, merkle.leaf_digest((fields | {"text": lowered}).values()))
+    leaves = documents.select(
+        F.col("lang").alias("tree"),
+        merkle.leaf_digest(fields.values()).alias("digest"),
+        F.struct("doc_id", seen.alias("seen")).alias("own"),
+    )
+    found = merkle.manifest(leaves).select(
+        F.col("own.doc_id").alias("doc_id"),
+        merkle.hex_text(F.col("digest")).alias("leaf"),
+        merkle.hex_text(F.col("subroot")).alias("subroot"),
+        merkle.hex_text(F.col("root")).alias("root"),
+        merkle.proof_digest(F.col("witness")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("own.seen", "digest"), F.col("witness")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.dedup(table(spark, sf_dir, "documents"))
     return found.select(
@@ -115,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_token_files": op9_token_files,
     "op10_url_filters": op10_url_filters,
+    "op11_merkle": op11_merkle,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -151,7 +177,70 @@ def _rule_cases(column: str) -> str:
     ) + " end"
 
 
+# Levels that the SQL of op11 writes out: enough for 8**7 documents of one language.
+SQL_LEVELS = 7
+SQL_CRC = """xor(list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ascii(x)::bigint),
+    lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295::bigint),
+    4294967295::bigint)"""
+
+
+def _sql_field(name: str) -> str:
+    text = f"cast({name} as varchar)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _sql_tree(start: str, part: str, tag: str) -> str:
+    """CTEs of one kind of tree: `{tag}0` holds (part, node, h); afterwards `{tag}_root` has each tree's root and
+    `{tag}_path` every leaf's siblings of all levels."""
+    ctes = [f"{tag}0 as ({start})"]
+    for k in range(SQL_LEVELS):
+        runs = f"partition by {part}, node // 8 order by node rows between unbounded preceding and"
+        ctes.append(f"""{tag}{k}_full as (select *, max(node) over (partition by {part}) as last,
+  coalesce(string_agg(h, '') over ({runs} 1 preceding), '') as left_,
+  coalesce(string_agg(h, '') over (partition by {part}, node // 8 order by node rows between 1 following and unbounded following), '') as right_
+  from {tag}{k})""")
+        ctes.append(f"""{tag}{k + 1} as (select {part}, node // 8 as node,
+  case when max(last) = 0 then min(h) else sha256(string_agg(h, '' order by node)) end as h
+  from {tag}{k}_full group by {part}, node // 8)""")
+    ctes.append(f"{tag}_root as (select {part}, h as root from {tag}{SQL_LEVELS})")
+    return ",\n".join(ctes)
+
+
+def _sql_climb(tag: str, part: str, own: str, levels: str) -> tuple[str, str, str]:
+    """Joins, the siblings of all levels end to end, and the root that `own` leads to."""
+    joins, path, fold = "", [], own
+    for k in range(SQL_LEVELS):
+        joins += f" join {tag}{k}_full {tag}f{k} on {tag}f{k}.{part} is not distinct from {levels}.{part} and {tag}f{k}.node = {levels}.{tag}_node // {8**k}"
+        path.append(f"{tag}f{k}.left_ || {tag}f{k}.right_")
+        fold = f"case when {tag}f{k}.last = 0 then {fold} else sha256({tag}f{k}.left_ || {fold} || {tag}f{k}.right_) end"
+    return joins, " || ".join(path), fold
+
+
+def _merkle_sql() -> str:
+    leaf = "sha256(" + " || ".join(map(_sql_field, LEAF_FIELDS)) + ")"
+    seen = "sha256(" + " || ".join(_sql_field(n) for n in LEAF_FIELDS[:-1]) + " || " + _sql_field(
+        f"translate(text, '{url_filters.UPPER}', '{url_filters.LOWER}')") + ")"
+    up_joins, up_path, up_fold = _sql_climb("d", "lang", "l.seen", "l")
+    top_joins, top_path, top_fold = _sql_climb("r", "one", "s.folded", "s")
+    return f"""
+with hashed as (
+  select doc_id, lang, {leaf} as leaf, case when {SQL_CRC} % 3 = 0 then {seen} else {leaf} end as seen from documents),
+l as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as d_node from hashed),
+{_sql_tree("select lang, d_node as node, leaf as h from l", "lang", "d")},
+names as (select 1 as one, lang, root as subroot, row_number() over (order by lang nulls first) - 1 as r_node from d_root),
+{_sql_tree("select one, r_node as node, subroot as h from names", "one", "r")},
+s as (
+  select l.doc_id, l.leaf, l.lang, n.one, n.r_node, n.subroot, {up_path} as path, {up_fold} as folded
+  from l join names n on n.lang is not distinct from l.lang{up_joins}),
+t as (
+  select s.doc_id, s.leaf, s.subroot, rr.root, sha256(s.path || {top_path}) as proof_sha256, {top_fold} as folded_root
+  from s join r_root rr on rr.one = s.one{top_joins})
+select *, folded_root = root as verified from t
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_merkle": _merkle_sql(),
     "op13_exact_dedup": """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
        doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
