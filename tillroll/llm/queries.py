@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, bpe, exact_dedup, merkle, mixing, ngram_join, quality, secrets, sharding, token_files, toxicity, url_filters
+from tillroll.llm import ann, bpe, exact_dedup, merkle, mixing, ngram_join, periodic, quality, secrets, sharding, token_files, toxicity, url_filters
 from tillroll.llm.common import table
 
 # Parameters of the registered queries.
@@ -122,6 +125,18 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def repeats_of(keys: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The documents that are to repeat, by a checksum of the id: from which word, and with which period."""
+    crc = np.array([zlib.crc32(str(k).encode()) if k is not None else 1 for k in keys.to_pylist()], np.int64)
+    first = crc // 10 % np.maximum(counts, 1)
+    period = 1 + (counts - first) // (3 + crc // 10 % 8)
+    return first, np.where(crc % 10 == 0, period, 0)
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(table(spark, sf_dir, "documents"), ["doc_id"], key_col="doc_id", rewrite=repeats_of)
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.dedup(table(spark, sf_dir, "documents"))
     return found.select(
@@ -141,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_url_filters": op10_url_filters,
     "op11_merkle": op11_merkle,
+    "op12_periodic": op12_periodic,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
