@@ -9,7 +9,10 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 # Columns named like those that the operators use inside.
-CLASHING = ", key string, id string, p string, n string, label string, spans string, slot long"
+CLASHING = (
+    ", key string, id string, p string, n string, label string, spans string, slot long, n_words string, kept string, "
+    "base_failed string, n_tokens string, token_ids string, score string, rate string"
+)
 
 
 def prose(seed: int, n: int, words: int = 400) -> str:
@@ -36,7 +39,7 @@ def documents(spark, texts=None, clashing: bool = False):
     schema = DOCUMENTS
     if clashing:
         schema += CLASHING
-        rows = [r + ("k", "i", "p", "n", "l", "s", 7) for r in rows]
+        rows = [r + ("k", "i", "p", "n", "l", "s", 7, "mine", "mine", "mine", "mine", "mine", "mine", "mine") for r in rows]
     return spark.createDataFrame(rows, schema)
 
 

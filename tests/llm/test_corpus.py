@@ -206,8 +206,9 @@ def folder(spark, tmp_path):
 def test_pipeline_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = corpus_pipeline.quality_stage(spark, docs, folder)
-    verdicts = quality.judge(docs, docs.columns).where("kept").select(docs.columns)
-    assert kept.columns == docs.columns and found(kept) == found(verdicts)
+    ours = docs.select("doc_id", "text")
+    verdicts = quality.judge(ours, ours.columns).where("kept").select(ours.columns)
+    assert kept.columns == docs.columns and found(kept.select(ours.columns)) == found(verdicts)
     single = corpus_pipeline.near_duplicates_stage(spark, kept, folder)
     rows = [(r["doc_id"], r["text"]) for r in kept.collect()]
     groups = plain_groups(rows)
@@ -222,7 +223,30 @@ def test_pipeline_stages(spark, folder):
     assert mixed.columns == docs.columns
     assert {r["doc_id"] for r in clean.collect() if r["doc_id"] is not None and r["doc_id"] < 20} <= {r["doc_id"] for r in mixed.collect()}
     coded = corpus_pipeline.tokens_stage(spark, mixed, folder)
-    assert coded.count() == mixed.count() and "token_ids" in coded.columns
+    assert coded.count() == mixed.count()
+    assert coded.columns == [c for c in docs.columns if c != "text"] + ["token_ids_", "n_tokens_"]
+    own = ["doc_id", "n_words", "kept", "base_failed", "n_tokens", "token_ids", "score", "rate", "p"]
+    assert found(coded.select(own)) == found(mixed.select(own))
+    assert coded.select(own[1:-1]).distinct().collect() == [("mine",) * 7]
+    assert coded.where("n_tokens_ != size(token_ids_)").count() == 0
+    plain = corpus_pipeline.tokens_stage(spark, mixed.drop("n_tokens", "token_ids"), folder)
+    assert plain.columns[-2:] == ["token_ids", "n_tokens"]
+
+
+def test_mixing_decides_each_row(spark, tmp_path):
+    """Clean rows stay that share an id, or have none, with rows that go."""
+    spark.createDataFrame(
+        [(i, 1, 0) for i in range(40)] + [(i, 0, 0) for i in range(60, 85)], "doc_id long, quality int, toxic int"
+    ).write.parquet(str(tmp_path / "labels.parquet"))
+    clean = [prose(i, 80) for i in range(60)]
+    junk = [" ".join(f"BUY{j}!!" for j in range(40 + i)) for i in range(60)]
+    rows = list(enumerate(clean + junk))
+    rows += [(None, prose(700 + i, 80)) for i in range(20)] + [(None, junk[0] + f" BUY{i}!!") for i in range(40)]
+    rows += [(900, prose(800 + i, 80)) for i in range(5)] + [(900, junk[1] + f" BUY{i}!!") for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.mixing_stage(spark, docs, str(tmp_path)).collect()]
+    assert [r for r in rows if "BUY" not in r[1]] == [r for r in rows if r in got and "BUY" not in r[1]]
+    assert sum("BUY" in t for _, t in got) < 20
 
 
 def test_near_duplicates_are_decided_by_row(spark, tmp_path):
@@ -266,4 +290,4 @@ def test_oracles(spark):
 @pytest.mark.skipif(not SAMPLE.exists(), reason="sample tables are not here")
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names

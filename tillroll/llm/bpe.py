@@ -27,9 +27,12 @@ from pyspark.sql import functions as F
 from tillroll.llm import pretokens
 from tillroll.llm.common import ragged, schema_with, text_pieces
 
-# What a worker keeps at most, and works out anew beyond that: pairs of tokens, and encoded pieces of text.
-MAX_PAIRS = 1_000_000
-MAX_PIECES = 500_000
+# What a worker keeps at most, and works out anew beyond that: pairs of tokens, and bytes of encoded pieces of
+# text with what Python needs to hold one.
+MAX_PAIRS = 200_000
+CACHE_BYTES, ENTRY_BYTES = 32_000_000, 200
+# Text that is encoded at once, and the size from which a pre-token is encoded by bounded lookahead.
+ENCODED_AT_ONCE, LONG_PIECE = 1_000_000, 4096
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -211,6 +214,7 @@ class ColumnEncoder:
         self.encode_pieces = encode_pieces
         self.known: dict[bytes, bytes] = {}
         self.earlier: dict[bytes, bytes] = {}
+        self.size = 0
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
@@ -221,8 +225,8 @@ class ColumnEncoder:
         _, places, data = coded.dictionary.buffers()
         raw, places = data.to_pybytes(), np.frombuffer(places, np.int32)[: len(coded.dictionary) + 1].tolist()
         pieces = [raw[a:b] for a, b in zip(places, places[1:])]
-        if len(self.known) > MAX_PIECES:  # what is in use comes back from the earlier half
-            self.earlier, self.known = self.known, {}
+        if self.size > CACHE_BYTES // 2:  # what is in use comes back from the earlier half
+            self.earlier, self.known, self.size = self.known, {}, 0
         ids = list(map(self.known.get, pieces))
         lacking = [i for i, data in enumerate(ids) if data is None]
         for i in lacking:
@@ -230,7 +234,11 @@ class ColumnEncoder:
         new = [i for i in lacking if ids[i] is None]
         for i, own in zip(new, self.encode_pieces([pieces[i] for i in new])):
             ids[i] = struct.pack(f"<{len(own)}I", *own)
-        self.known.update((pieces[i], ids[i]) for i in lacking)
+        for i in lacking:
+            cost = ENTRY_BYTES + len(pieces[i]) + len(ids[i])
+            if cost < CACHE_BYTES // 8:
+                self.known[pieces[i]] = ids[i]
+                self.size += cost
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), np.uint32)
         begins = np.cumsum(lengths) - lengths
@@ -249,7 +257,11 @@ def _transducer(path: str) -> Transducer:
 @functools.cache
 def _rank_encoder(path: str) -> ColumnEncoder:
     transducer = _transducer(path)
-    return ColumnEncoder(lambda pieces: [transducer.encode(p) for p in pieces])
+
+    def encode(piece: bytes) -> list[int]:
+        return transducer.encode(piece) if len(piece) < LONG_PIECE else list(transducer.stream(piece))
+
+    return ColumnEncoder(lambda pieces: [encode(p) for p in pieces])
 
 
 @functools.cache
@@ -274,21 +286,24 @@ def decoded(ids: np.ndarray, path: str, step: int = 65_536) -> Iterator[str]:
     yield stream.close()
 
 
-def encode(df: DataFrame, ranks_path: str, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns `keep`, `token_ids` array<int> and `n_tokens` of every row's whole text."""
+def encode(
+    df: DataFrame, ranks_path: str, keep: list[str], text_col: str = "text",
+    names: tuple[str, str] = ("token_ids", "n_tokens"),
+) -> DataFrame:
+    """The columns `keep`, then the ids, array<int>, and their number, under `names`, of every row's whole text."""
 
     def run(batches):
         encoder = _rank_encoder(ranks_path)
         for batch in batches:
             *kept, texts = batch.columns
-            for first, piece in text_pieces(texts):
+            for first, piece in text_pieces(texts, ENCODED_AT_ONCE):
                 ids, counts = encoder.encode(piece)
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
                 rows = [c.slice(first, len(piece)) for c in kept]
-                yield pa.RecordBatch.from_arrays([*rows, lists, pa.array(counts)], [*keep, "token_ids", "n_tokens"])
+                yield pa.RecordBatch.from_arrays([*rows, lists, pa.array(counts)], [*keep, *names])
 
-    schema = schema_with(df, keep, "token_ids array<int>, n_tokens long")
+    schema = schema_with(df, keep, f"`{names[0]}` array<int>, `{names[1]}` long")
     return df.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 
@@ -315,7 +330,7 @@ def round_trip(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col:
         encoder = _rank_encoder(ranks_path)
         for batch in batches:
             keys, texts = batch.columns
-            for first, piece in text_pieces(texts):
+            for first, piece in text_pieces(texts, ENCODED_AT_ONCE):
                 ids, counts = encoder.encode(piece)
                 ends = np.cumsum(counts)
                 of_ids, of_text = [], []

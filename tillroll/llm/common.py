@@ -55,6 +55,7 @@ def text_pieces(texts: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[tup
         last = max(first + 1, int(np.searchsorted(ends, base + piece_bytes, side="right")))
         yield first, texts.slice(first, last - first)
         first = last
+    pa.default_memory_pool().release_unused()
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -13,10 +13,12 @@ itself. Nothing is looked at across rows, so columns and clashing names do not m
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import ASCII_SPACE, schema_with, text_pieces, words_of
@@ -181,13 +183,35 @@ def measure(df: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame
     return df.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 
+def rules(of: Callable[[str], Column] = F.col) -> tuple[Column, Column]:
+    """Whether the base rule rejects a text, and whether the text is kept, by its figures."""
+    few = of("n_words") < LEAST_WORDS
+    base = few | (100 * of("n_repeat_words") > WINDOW_PERCENT * of("n_words"))
+    spread = of("covered_words") > COVERED_SHARE * of("n_words")
+    long = (of("longest_repeat") > LONGEST_WORDS) & (of("longest_repeat") > LONGEST_SHARE * of("n_words"))
+    return base, ~(base | spread | long)
+
+
 def verdict(measured: DataFrame) -> DataFrame:
     """Adds `base_failed` and `kept`."""
-    few = F.col("n_words") < LEAST_WORDS
-    base = few | (100 * F.col("n_repeat_words") > WINDOW_PERCENT * F.col("n_words"))
-    spread = F.col("covered_words") > COVERED_SHARE * F.col("n_words")
-    long = (F.col("longest_repeat") > LONGEST_WORDS) & (F.col("longest_repeat") > LONGEST_SHARE * F.col("n_words"))
-    return measured.withColumn("base_failed", base).withColumn("kept", ~(base | spread | long))
+    base, kept = rules()
+    return measured.withColumn("base_failed", base).withColumn("kept", kept)
+
+
+def passing(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose text is kept, with their own columns as they are, whatever these are called.
+
+    Texts go to Python once and only figures come back; the rows stay in the JVM.
+    """
+
+    def run(texts: pa.Array) -> pa.Array:
+        found = [measures(piece) for _, piece in text_pieces(texts)]
+        columns = [np.concatenate([f[m] for f in found] or [np.zeros(0, np.int64)]) for m in MEASURES]
+        return pa.StructArray.from_arrays([pa.array(c.astype(np.int64)) for c in columns], list(MEASURES))
+
+    figures = F.arrow_udf(run, ", ".join(f"{name} long" for name in MEASURES))
+    measured = df.withColumn("__figures", figures(F.col(text_col)))
+    return measured.where(rules(F.col("__figures").getField)[1]).drop("__figures")
 
 
 def judge(df: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
