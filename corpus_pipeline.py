@@ -5,10 +5,13 @@
    then of smallest set key. Rows are told apart by id and text; null ids come last.
 3. secrets: found spans are replaced in the text, and `n_chars` is counted anew.
 4. mixing: domains that are larger than their target are thinned by rates of at most one. Targets are set at
-   what the clean domain has, and documents that are more likely clean than not stay whatever their rate.
-5. tokens: the rest is encoded; the result has `token_ids` and `n_tokens` in place of the text.
+   what the clean domain has, and documents that are more likely clean than not stay whatever their rate. Each row
+   is decided for itself; the draw is a hash of id and text, so rows alike in both share it.
+5. tokens: the rest is encoded; the result has `token_ids` and `n_tokens` in place of the text. Where documents
+   have a column of such a name, theirs keeps it, and the new one's name ends in an underscore.
 
-Stages 1 to 4 return the columns of `documents` as they came, further columns included.
+Stages 1 to 4 return the columns of `documents` as they came, further columns included, whatever their names
+(but for names that begin with two underscores).
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ ORACLE_SQL = None
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.judge(docs, docs.columns).where("kept").select(*docs.columns)
+    return quality.passing(docs)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,17 +58,16 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs, table(spark, sf_dir, "labels"), MIX, ["doc_id"], most=1.0)
-    thinned = ~mixing.chosen(F.col("doc_id"), F.col("rate")) & (F.col("p")[0] < 0.5)
-    gone = mixed.where(thinned).select(F.col("doc_id").alias("__gone"))
-    gone = stored(gone.distinct(), "thinned")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "text")
+    mixed = mixing.mix(rows, table(spark, sf_dir, "labels"), MIX, ["__row"], most=1.0)
+    drawn = mixing.chosen(F.struct("__row.doc_id", "__row.text"), F.col("rate"))
+    return mixed.where(drawn | (F.col("p")[0] >= 0.5)).select("__row.*")
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(RANKS)
     keep = [c for c in docs.columns if c != "text"]
-    return bpe.encode(docs, path, keep)
+    ids, number = (name + "_" * (name in keep) for name in ("token_ids", "n_tokens"))
+    return bpe.encode(docs, public_tokenizers.path(RANKS), keep, names=(ids, number))
 
 
 STAGES = [
