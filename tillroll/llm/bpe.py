@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import pretokens
-from tillroll.llm.common import ragged, schema_with, text_pieces
+from tillroll.llm.common import freed_pieces, ragged, schema_with
 
 # What a worker keeps at most, and works out anew beyond that: pairs of tokens, and bytes of encoded pieces of
 # text with what Python needs to hold one.
@@ -296,7 +296,7 @@ def encode(
         encoder = _rank_encoder(ranks_path)
         for batch in batches:
             *kept, texts = batch.columns
-            for first, piece in text_pieces(texts, ENCODED_AT_ONCE):
+            for first, piece in freed_pieces(texts, ENCODED_AT_ONCE):
                 ids, counts = encoder.encode(piece)
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
@@ -330,7 +330,7 @@ def round_trip(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col:
         encoder = _rank_encoder(ranks_path)
         for batch in batches:
             keys, texts = batch.columns
-            for first, piece in text_pieces(texts, ENCODED_AT_ONCE):
+            for first, piece in freed_pieces(texts, ENCODED_AT_ONCE):
                 ids, counts = encoder.encode(piece)
                 ends = np.cumsum(counts)
                 of_ids, of_text = [], []

@@ -55,6 +55,11 @@ def text_pieces(texts: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[tup
         last = max(first + 1, int(np.searchsorted(ends, base + piece_bytes, side="right")))
         yield first, texts.slice(first, last - first)
         first = last
+
+
+def freed_pieces(texts: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """As `text_pieces`; afterwards memory that Arrow holds unused goes back to the system."""
+    yield from text_pieces(texts, piece_bytes)
     pa.default_memory_pool().release_unused()
 
 

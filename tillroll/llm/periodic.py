@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import ragged, schema_with, text_pieces, words_of
+from tillroll.llm.common import freed_pieces, schema_with, words_of
 
 # A run has at least so many words, and so many periods.
 LEAST_WORDS, LEAST_PERIODS = 24, 3
@@ -250,7 +250,7 @@ def _over(df: DataFrame, keep: list[str], text_col: str, key_col: str | None, re
     def run(batches):
         for batch in batches:
             keys, texts, *kept = batch.columns
-            for first, piece in text_pieces(texts):
+            for first, piece in freed_pieces(texts):
                 found = of_piece(_Piece(piece, keys.slice(first, len(piece)), rewrite))
                 yield pa.RecordBatch.from_arrays([c.slice(first, len(piece)) for c in kept] + found, [str(i) for i in range(len(kept) + len(found))])
 

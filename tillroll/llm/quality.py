@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import ASCII_SPACE, schema_with, text_pieces, words_of
+from tillroll.llm.common import ASCII_SPACE, freed_pieces, schema_with, text_pieces, words_of
 
 # Base rule: too few words, or too many of them in repeated windows of three.
 LEAST_WORDS, WINDOW, WINDOW_PERCENT = 50, 3, 50
@@ -205,7 +205,7 @@ def passing(df: DataFrame, text_col: str = "text") -> DataFrame:
     """
 
     def run(texts: pa.Array) -> pa.Array:
-        found = [measures(piece) for _, piece in text_pieces(texts)]
+        found = [measures(piece) for _, piece in freed_pieces(texts)]
         columns = [np.concatenate([f[m] for f in found] or [np.zeros(0, np.int64)]) for m in MEASURES]
         return pa.StructArray.from_arrays([pa.array(c.astype(np.int64)) for c in columns], list(MEASURES))
 
