@@ -15,9 +15,12 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from tillroll.plans.sample_queries import sample_queries  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from tillroll.operators import retrieval  # noqa: E402
+from tillroll.plans.sample_queries import Sample, sample_queries  # noqa: E402
 
 HEADLINES = (
     "fct_transactions",
@@ -40,6 +43,17 @@ HEADLINES = (
     "sql_guard",
 )
 RUNS = 5
+QUESTIONS = 100_000
+
+
+def retrieve_100k_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many questions as QUESTIONS, made of the stored vectors by moving one of their numbers."""
+    s = Sample(spark, sf_dir)
+    copies = -(-QUESTIONS // s.index.count())
+    turned = F.transform("embedding", lambda x, i: x + F.when(i == F.col("copy") % F.size("embedding"), 0.1).otherwise(0.0))
+    asked = s.index.select("review_id", "embedding", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
+    questions = asked.select(F.xxhash64("review_id", "copy").alias("question_id"), turned.cast("array<float>").alias("question"))
+    return retrieval.retrieve(questions, s.index, s.stg("reviews")).select("question_id", "rank", "review_id", "score")
 
 
 def main() -> None:
@@ -57,10 +71,11 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = sample_queries()
+    queries["retrieve_100k_questions"] = retrieve_100k_questions
     seconds: dict[str, float] = {}
-    for name in HEADLINES:
+    for name in (*HEADLINES, "retrieve_100k_questions"):
         times = []
-        for _ in range(RUNS):
+        for _ in range(RUNS if name in HEADLINES else 1):
             start = time.perf_counter()
             queries[name](spark, sf_dir).toArrow()
             times.append(time.perf_counter() - start)

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from tillroll import schemas
@@ -150,12 +151,14 @@ def brute_force(questions, index, reviews, k):
 
 
 @pytest.mark.parametrize("orphans", [3, 100])
-@pytest.mark.parametrize("per_pass", [2, 128])
-def test_retrieval_equals_brute_force(spark, monkeypatch, per_pass, orphans):
-    monkeypatch.setattr(retrieval, "QUESTIONS_PER_PASS", per_pass)
+@pytest.mark.parametrize(("block_rows", "question_bytes"), [(2, 0), (1024, 0), (3, 1 << 20)])
+def test_retrieval_equals_brute_force(spark, monkeypatch, block_rows, question_bytes, orphans):
+    monkeypatch.setattr(retrieval, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(retrieval, "QUESTION_BYTES", question_bytes)
+    monkeypatch.setattr(retrieval, "SLICE_ROWS", 10)
     monkeypatch.setattr(retrieval, "ORPHANS", orphans)
-    monkeypatch.setattr(retrieval, "CELLS", 40)
-    monkeypatch.setattr(retrieval, "BROADCAST_HITS", 10 if per_pass == 2 else 100_000)
+    monkeypatch.setattr(retrieval, "HELD_HITS", 9)
+    monkeypatch.setattr(retrieval, "BROADCAST_HITS", 10 if block_rows == 2 else 100_000)
     rng = np.random.default_rng(1)
     index = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(60)]
     index += [(60, [0.0] * 4), (61, None)]
@@ -171,6 +174,48 @@ def test_retrieval_equals_brute_force(spark, monkeypatch, per_pass, orphans):
     assert sorted(tuple(r) for r in got.collect()) == brute_force(questions, index, reviews, 7)
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_best_hits_merge_in_any_order(seed):
+    rng = np.random.default_rng(seed)
+    asked, vectors = rng.integers(-2, 3, (9, 3)).astype(float), rng.integers(-2, 3, (80, 3)).astype(float)
+    ids = rng.permutation(80).astype(np.int64)
+    whole = retrieval.tile_best(asked, ids, vectors, 6)
+    held, cuts = retrieval.NO_HITS, np.sort(rng.choice(80, 5, replace=False))
+    parts = [p for p in np.split(rng.permutation(80), cuts) if len(p)]
+    for part in parts:  # ties among the copies are common with so few different vectors
+        held = retrieval.merge_best(retrieval.tile_best(asked, ids[part], vectors[part], 6), held, 6)
+    assert [x.tolist() for x in held] == [x.tolist() for x in whole]
+    for q in range(9):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score = np.round(vectors @ asked[q] / np.linalg.norm(vectors, axis=1) / np.linalg.norm(asked[q]), 9)
+        score = np.where(np.isfinite(score), score, -np.inf)
+        expected = sorted(zip(-score, ids.tolist()))[:6]
+        assert whole[1][whole[0] == q].tolist() == [i for _, i in expected]
+
+
+def test_many_questions_stay_distributed(spark, monkeypatch):
+    """More questions than may be broadcast: each finds itself first, and no step collects them."""
+    monkeypatch.setattr(retrieval, "QUESTION_BYTES", 1000)
+    monkeypatch.setattr(retrieval, "SLICE_ROWS", 1500)
+    vectors = spark.range(5000).selectExpr("id", "array(cast(id % 71 as float), cast(id % 73 as float), 1f) as v")
+    index = vectors.select(F.col("id").alias("review_id"), F.col("v").alias("embedding"))
+    reviews = spark.range(5000).selectExpr("id as review_id", "1 as rating", "'t' as review_text")
+    questions = vectors.select(F.col("id").alias("question_id"), F.col("v").alias("question"))
+    collect, sizes = type(questions).collect, []
+
+    def counted(df):
+        rows = collect(df)
+        sizes.append(len(rows))
+        return rows
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(questions), "collect", counted)
+        found = retrieval.retrieve(questions, index, reviews, 2)
+    assert max(sizes) <= 1
+    assert found.where("rank = 1 and question_id = review_id and score = 1").count() == 5000
+    assert found.count() == 10_000
+
+
 def test_copies_of_one_vector_are_ranked_by_id(spark):
     index = spark.range(30_000, numPartitions=3).selectExpr(
         "29999 - id as review_id",
@@ -212,6 +257,15 @@ def test_repeated_question_ids_are_an_error(spark):
         retrieval.retrieve(questions, index, reviews)
 
 
+def test_question_vectors_of_two_widths_are_an_error(spark):
+    index = spark.createDataFrame([(1, [1.0])], "review_id long, embedding array<float>")
+    reviews = spark.createDataFrame([(1, 1, "t")], "review_id long, rating int, review_text string")
+    for vectors in ([[1.0], [1.0, 2.0]], [[1.0], None], [[], []]):
+        questions = spark.createDataFrame(list(enumerate(vectors)), "question_id long, question array<float>")
+        with pytest.raises(ValueError, match="one width"):
+            retrieval.retrieve(questions, index, reviews)
+
+
 def test_no_questions(spark):
     questions = spark.createDataFrame([], "question_id long, question array<float>")
     index = spark.createDataFrame([(1, [1.0])], "review_id long, embedding array<float>")

@@ -96,9 +96,21 @@ def test_no_vector_is_shuffled(spark, small_thresholds):
     found = retrieval.retrieve(questions, index, reviews)
     plan = executed(found)
     shuffled = [line for line in plan.split("\n") if "Exchange" in line]
-    assert shuffled and not any("embedding" in line or "scores" in line for line in shuffled)
+    moved = [line for line in shuffled if "Broadcast" not in line]
+    assert moved and not any("embedding" in line or "vectors" in line or "scores" in line for line in moved)
     assert "WindowGroupLimit" in plan
 
 
+def test_many_questions_shuffle_the_index_once(spark, small_thresholds, monkeypatch):
+    monkeypatch.setattr(retrieval, "QUESTION_BYTES", 100)
+    monkeypatch.setattr(retrieval, "SLICE_ROWS", 1000)
+    index = spark.range(5000).selectExpr("id as review_id", "array(cast(id as float), 1f) as embedding")
+    reviews = spark.range(5000).selectExpr("id as review_id", "1 as rating", "'t' as review_text")
+    questions = spark.range(3000).selectExpr("id as question_id", "array(cast(id as float), 2f) as question")
+    plan = executed(retrieval.retrieve(questions, index, reviews))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert len([line for line in plan.split("\n") if "Exchange hashpartitioning(slice" in line]) <= 2
+
+
 def test_schemas_are_declared():
     assert list(schemas.RAW_ENTITIES) == ["customers", "products", "orders", "order_items", "reviews"]

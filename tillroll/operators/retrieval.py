@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import excerpt_line
@@ -18,12 +19,16 @@ EMBEDDING_WIDTH = 768
 TOP_K = 5
 MAX_RATING = 3
 
-# Question vectors scored in one pass over the index, some tens of megabytes when broadcast; more of them
-# take further passes.
-QUESTIONS_PER_PASS = 4096
+# Questions, and stored vectors, that make one side of a tile: three megabytes of 768 floats each.
+BLOCK_ROWS = 1024
 
-# Scores that a task computes at once, and ids without a review that are broadcast.
-CELLS = 2_000_000
+# Questions are broadcast up to so many bytes of vectors; more of them are sent to slices of the index, one
+# slice for about so many stored vectors.
+QUESTION_BYTES = 64 * 1024 * 1024
+SLICE_ROWS = 262_144
+
+# Hits that a task holds before it passes them on, and ids without a review that are broadcast.
+HELD_HITS = 4_000_000
 ORPHANS = 100_000
 
 # Hits are three numbers each, so this many of them are a few megabytes.
@@ -82,91 +87,138 @@ def top_k(
     return df.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def _pages(questions: DataFrame):
-    """The questions in id order, at most QUESTIONS_PER_PASS of them at a time."""
-    rest = questions.select("question_id", "question").where(F.col("question_id").isNotNull())
-    repeated = rest.groupBy("question_id").count().where("count > 1").select("question_id").first()
+def _known_vectors(index: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The stored vectors that have a review; others may not take a rank.
+
+    Ids without one are found on the ids alone and, up to ORPHANS of them, broadcast, so that no vector is moved.
+    Beyond that the vectors are joined with the reviews' ids.
+    """
+    ids = reviews.select("review_id").where("review_id is not null")
+    orphans = index.select("review_id").where("review_id is not null").distinct().join(ids, "review_id", "left_anti")
+    if orphans.limit(ORPHANS + 1).count() > ORPHANS:
+        return index.join(ids, "review_id", "left_semi")
+    return index.where("review_id is not null").join(F.broadcast(orphans), "review_id", "left_anti")
+
+
+def _question_size(questions: DataFrame) -> tuple[int, int]:
+    """How many questions there are, and how wide their vectors; the frame is checked on the way."""
+    repeated = questions.groupBy("question_id").count().where("count > 1").select("question_id").first()
     if repeated:
         raise ValueError(f"question id {repeated[0]} stands for more than one question")
-    page = rest.orderBy("question_id").limit(QUESTIONS_PER_PASS).collect()
-    while page:
-        yield page
-        rest = rest.where(F.col("question_id") > page[-1]["question_id"])
-        full = len(page) == QUESTIONS_PER_PASS
-        page = rest.orderBy("question_id").limit(QUESTIONS_PER_PASS).collect() if full else []
+    width = F.coalesce(F.size("question"), F.lit(-1))
+    n, least, most = questions.agg(F.count(F.lit(1)), F.min(width), F.max(width)).first()
+    if n and (least != most or least < 1):
+        raise ValueError(f"question vectors must be of one width, not {least} to {most}")
+    return n, most or 0
 
 
-def _known_vectors(index: DataFrame, reviews: DataFrame) -> tuple[DataFrame, list[int]]:
-    """The index, and the ids in it that have no review and so may not take a rank.
-
-    They are found on the ids alone, so that no vector is moved. Beyond ORPHANS of them the vectors are
-    joined with the reviews' ids instead, and the list is empty.
-    """
-    ids = reviews.select("review_id").where("review_id is not null")
-    orphans = index.select("review_id").distinct().join(ids, "review_id", "left_anti")
-    found = orphans.where("review_id is not null").limit(ORPHANS + 1).collect()
-    if len(found) > ORPHANS:
-        return index.join(ids, "review_id", "left_semi"), []
-    return index.where("review_id is not null"), [row["review_id"] for row in found]
+def _question_blocks(questions: DataFrame, n: int, slices: int) -> DataFrame:
+    """(slice, block, asked): blocks of about BLOCK_ROWS questions, one copy for each slice of the index."""
+    blocks = -(-n // BLOCK_ROWS)
+    block = F.pmod(F.xxhash64("question_id"), F.lit(blocks)).alias("block")
+    asked = F.sort_array(F.collect_list(F.struct("question_id", F.col("question").cast("array<float>"))))
+    packed = questions.groupBy(block).agg(asked.alias("asked"))
+    return packed.select(F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), "block", "asked")
 
 
-def _best_ids(asked: Sequence[Row], index: DataFrame, orphans: Sequence[int], k: int) -> DataFrame:
-    """(question_id, review_id, score) of the k best known vectors per question.
+def _vector_blocks(index: DataFrame, width: int, slices: int) -> DataFrame:
+    """(slice, ids, vectors): the stored vectors as they lie, BLOCK_ROWS of them to a row. A missing vector
+    becomes one without length."""
 
-    One map-only pass over the index: stored vectors meet all questions of the page in matrix products of
-    bounded size, and each task keeps its k best per question, so k rows per question and task leave it.
-    Order: score, then the lower review id. A missing vector, or one without length, scores NULL and
-    comes last.
-    """
-    rows = [[float(x) for x in row["question"]] for row in asked]
-    width, digits = len(rows[0]), SCORE_DIGITS
-    shared = index.sparkSession.sparkContext.broadcast((rows, sorted(orphans)))
-
-    def best(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        asked_rows, unknown = (np.array(x, dtype=t) for x, t in zip(shared.value, (np.float64, np.int64)))
-        asked_length = np.sqrt((asked_rows * asked_rows).sum(axis=1))
-        step = max(k + 1, CELLS // len(asked_rows))
-        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    def pack(batches):
         for batch in batches:
-            every = batch.column(0).to_numpy(zero_copy_only=False)
-            stored = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(every), width)
-            known = ~np.isin(every, unknown)
-            every, stored = every[known], stored[known]
-            for low in range(0, len(every), step):
-                ids, part = every[low : low + step], stored[low : low + step].astype(np.float64)
-                lengths = np.sqrt((part * part).sum(axis=1))[:, None] * asked_length[None, :]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    scores = np.round(part @ asked_rows.T / lengths, digits)
-                scores = np.where(np.isfinite(scores), scores, -np.inf)
-                if len(ids) > k:
-                    at, question = np.nonzero(scores >= np.partition(scores, len(ids) - k, axis=0)[len(ids) - k])
-                else:
-                    at, question = (x.ravel() for x in np.indices(scores.shape))
-                fresh = (question, ids[at], scores[at, question])
-                question, found, score = (np.concatenate(pair) for pair in zip(held, fresh))
-                order = np.lexsort((found, -score, question))
-                question = question[order]
-                first = np.searchsorted(question, question, side="left")
-                keep = order[np.arange(len(order)) - first < k]
-                held = (np.concatenate((held[0], fresh[0]))[keep], found[keep], score[keep])
-        if len(held[0]):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(held[0], pa.int32()), pa.array(held[1]), pa.array(held[2], mask=np.isinf(held[2]))],
-                names=["position", "review_id", "score"],
-            )
+            for low in range(0, batch.num_rows, BLOCK_ROWS):
+                ids, vectors = batch.slice(low, BLOCK_ROWS).columns
+                data = vectors.flatten().to_numpy(zero_copy_only=False).astype("<f4").tobytes()
+                own = ids.to_numpy(zero_copy_only=False).astype("<i8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(own[0]) % slices], pa.int32()), pa.array([own.tobytes()]), pa.array([data])],
+                    ["slice", "ids", "vectors"],
+                )
 
     no_length = F.array_repeat(F.lit(0.0).cast("float"), width)
-    vectors = index.select(
-        "review_id",
-        F.coalesce(as_vector(F.col("embedding"), width), no_length).alias("embedding"),
+    vector = F.coalesce(as_vector(F.col("embedding"), width), no_length)
+    return index.select("review_id", vector.alias("embedding")).mapInArrow(
+        pack, "slice int, ids binary, vectors binary"
+    )
+
+
+# Hits of a block of questions: place of the question in the block, review id, score.
+Hits = tuple[np.ndarray, np.ndarray, np.ndarray]
+NO_HITS: Hits = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
+def merge_best(held: Hits, fresh: Hits, k: int) -> Hits:
+    """The k best of both per question: by score, then by the lower review id. Merging in any order and any
+    number of steps gives the same."""
+    question, found, score = (np.concatenate(pair) for pair in zip(held, fresh))
+    order = np.lexsort((found, -score, question))
+    ordered = question[order]
+    keep = order[np.arange(len(order)) - np.searchsorted(ordered, ordered, side="left") < k]
+    return question[keep], found[keep], score[keep]
+
+
+def tile_best(asked: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> Hits:
+    """The k best stored vectors of one tile for each of its questions, by one matrix product."""
+    lengths = np.sqrt((vectors * vectors).sum(axis=1))[:, None] * np.sqrt((asked * asked).sum(axis=1))[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        scores = np.round(vectors @ asked.T / lengths, SCORE_DIGITS)
+    scores = np.where(np.isfinite(scores), scores, -np.inf)
+    if len(ids) > k:
+        at, question = np.nonzero(scores >= np.partition(scores, len(ids) - k, axis=0)[len(ids) - k])
+    else:
+        at, question = (x.ravel() for x in np.indices(scores.shape))
+    return merge_best(NO_HITS, (question.astype(np.int64), ids[at], scores[at, question]), k)
+
+
+def _best_ids(questions: DataFrame, index: DataFrame, n: int, width: int, k: int) -> DataFrame:
+    """(question_id, review_id, score) of the k best vectors per question.
+
+    Blocks of questions meet blocks of the index in tiles. Questions of up to QUESTION_BYTES are broadcast, and the
+    index is read where it lies. More of them are sent, block by block, to slices of the index, which is
+    then shuffled once. Either way a task merges the hits of its tiles, so that k rows per question and task, or
+    slice, leave it; a missing vector, or one without length, scores NULL and comes last.
+    """
+    n_vectors = index.count() if n * width * 4 > QUESTION_BYTES else 0
+    slices = max(1, -(-n_vectors // SLICE_ROWS))
+    asked, stored = _question_blocks(questions, n, slices), _vector_blocks(index, width, slices)
+    if n_vectors:
+        tiles = asked.join(stored, "slice")
+    else:
+        tiles = stored.join(F.broadcast(asked), "slice")
+    id_field = questions.schema["question_id"]
+
+    def best(batches) -> Iterator[pa.RecordBatch]:
+        held: dict[int, Hits] = {}
+        names: dict[int, pa.Array] = {}
+
+        def passed() -> Iterator[pa.RecordBatch]:
+            for block, (question, found, score) in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [names[block].take(pa.array(question)), pa.array(found), pa.array(score, mask=np.isinf(score))],
+                    ["question_id", "review_id", "score"],
+                )
+            held.clear()
+            names.clear()
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = batch.column(0)[i].as_py()
+                entries = batch.column(1).slice(i, 1).flatten()
+                vectors = entries.field(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                ids = np.frombuffer(batch.column(2)[i].as_py(), "<i8")
+                own = np.frombuffer(batch.column(3)[i].as_py(), "<f4").astype(np.float64).reshape(len(ids), width)
+                fresh = tile_best(vectors.reshape(-1, width), ids, own, k)
+                names[block] = entries.field(0)
+                held[block] = merge_best(held.get(block, NO_HITS), fresh, k)
+            if sum(len(h[0]) for h in held.values()) > HELD_HITS:
+                yield from passed()
+        yield from passed()
+
+    of_tasks = tiles.select("block", "asked", "ids", "vectors").mapInArrow(
+        best, f"question_id {id_field.dataType.simpleString()}, review_id bigint, score double"
     )
-    of_tasks = vectors.mapInArrow(best, "position int, review_id bigint, score double")
-    ranked = top_k(of_tasks, "score", k, partition="position", ties=["review_id"])
-    ids = F.array(*[F.lit(row["question_id"]) for row in asked])
-    return ranked.select(F.get(ids, F.col("position")).alias("question_id"), "review_id", "score")
+    return top_k(of_tasks, "score", k, partition="question_id", ties=["review_id"]).drop("rank")
 
 
 def attach_reviews(hits: DataFrame, reviews: DataFrame, n_hits: int) -> DataFrame:
@@ -181,22 +233,19 @@ def retrieve(
 ) -> DataFrame:
     """The k most similar reviews per question: (question_id, rank, review_id, rating, text, score).
 
-    `questions` holds (question_id, question vector); an id that stands twice is an error. The vectors are an argument
-    of the search and are read at once (an action), a bounded page at a time; each page takes one
-    pass over the index. The search is exact; equal scores are ranked by review id.
+    `questions` holds (question_id, question vector) and may have any number of rows: they stay distributed, and
+    only their number and width are asked for (actions). An id that stands twice is an error, rows without one drop
+    out. The search is exact; equal scores are ranked by review id.
     """
-    n_questions, passes = 0, []
-    known, orphans = None, []
-    for asked in _pages(questions):
-        if known is None:
-            known, orphans = _known_vectors(index, reviews)
-        n_questions += len(asked)
-        passes.append(_best_ids(asked, known, orphans, k))
-    if not passes:
-        id_type = questions.schema["question_id"].dataType.simpleString()
+    asked = questions.select("question_id", "question").where(F.col("question_id").isNotNull())
+    n, width = _question_size(asked)
+    if n:
+        best = _best_ids(asked, _known_vectors(index, reviews), n, width, k)
+    else:
+        id_type = asked.schema["question_id"].dataType.simpleString()
         schema = f"question_id {id_type}, review_id bigint, score double"
-        passes = [questions.sparkSession.createDataFrame([], schema)]
-    hits = attach_reviews(reduce(DataFrame.unionByName, passes), reviews, n_questions * k)
+        best = questions.sparkSession.createDataFrame([], schema)
+    hits = attach_reviews(best, reviews, n * k)
     # A review stored twice gives two rows for its hit, as in a plain join before the limit.
     ranked = top_k(
         hits, "score", k, partition="question_id", ties=["review_id", "rating", "review_text"]
