@@ -288,6 +288,22 @@ def all_oracles() -> dict[str, str]:
                                            order by sentiment, issue_type, urgency) as n
               from rule_enrichment) where n = 1 and review_id not in (select review_id from enrichment)""",
         ),
+        "append_conflict": _over(
+            "enrichment rule_enrichment",
+            """select review_id, sentiment, issue_type, urgency from enrichment
+            union all
+            select review_id, sentiment, issue_type, urgency from (
+              select *, row_number() over (partition by review_id
+                                           order by sentiment, issue_type, urgency) as n
+              from rule_enrichment) where n = 1 and review_id not in (select review_id from enrichment)""",
+        ),
+        "published_versions": _over(
+            "dates fct",
+            """select 1 as version, 'first' as run_id, 'dim_date' as "table", count(*) as rows from dates
+            union all select 1, 'first', 'fct_transactions', count(*) from fct where status = 'completed'
+            union all select 2, 'second', 'dim_date', count(*) from dates
+            union all select 2, 'second', 'fct_transactions', count(*) from fct""",
+        ),
         **{name: _over(name, f"select * from {name}") for name in STG},
         "dim_customer": _over("stg_customers", "select * from stg_customers"),
         "dim_product": _over("stg_products", "select * from stg_products"),

@@ -8,7 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll import schemas
+from tillroll.functions import bloom
 from tillroll.operators import checks, kpis, marts, retrieval, staging
+from tillroll.streaming import incremental
+from tillroll.streaming.incremental import pending
 
 N = 200_000
 
@@ -112,5 +115,30 @@ def test_many_questions_shuffle_the_index_once(spark, small_thresholds, monkeypa
     assert len([line for line in plan.split("\n") if "Exchange hashpartitioning(slice" in line]) <= 2
 
 
+def test_pending_texts_are_not_shuffled(spark, small_thresholds):
+    source = spark.range(20_000).selectExpr("id as review_id", "concat('text ', id) as review_text")
+    done = spark.range(0, 20_000, 3).selectExpr("id as review_id")
+    found = pending(source, done, "review_id")
+    plan = executed(found).split("Initial Plan")[0]
+    assert not any("Exchange" in line and "review_text" in line for line in plan.split("\n"))
+    assert "Exchange hashpartitioning(review_text" not in plan and "SortMergeJoin [review_id" not in plan
+    assert found.count() == 13_333
+
+
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_false_hits_are_resolved(spark, monkeypatch, most):
+    """With a crowded filter nearly every row passes it; the keys decide."""
+    monkeypatch.setattr(incremental, "BROADCAST_KEYS", most)
+    monkeypatch.setattr(incremental, "bloom_filter", lambda df, key, n: bloom.bloom_filter(df, key, n, max_blocks=2))
+    keys = "if(id % 10 = 9, null, if(id % 10 = 8, id - 1, id))"
+    source = spark.range(500).selectExpr(f"{keys} as review_id", "id as __n", "'t' as review_text")
+    done = spark.range(0, 500, 2).selectExpr("if(id % 7 = 0, null, id) as review_id").unionByName(spark.range(4).selectExpr("1L as review_id"))
+    plain = source.join(done, "review_id", "left_anti")
+    found = pending(source, done, "review_id")
+    assert found.columns == source.columns
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, plain.select(*source.columns).collect()))
+    assert pending(source, done.limit(0), "review_id").count() == 500
+
+
 def test_schemas_are_declared():
     assert list(schemas.RAW_ENTITIES) == ["customers", "products", "orders", "order_items", "reviews"]

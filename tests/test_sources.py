@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import rows
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas
 from tillroll.session import object_store_conf, scratch_path
-from tillroll.sources import landing, tables
+from tillroll.sources import commits, landing, tables
+from tillroll.streaming.incremental import append_new, finish, stage_new
 
 DAY, NEXT = dt.date(2024, 6, 1), dt.date(2024, 6, 2)
 
@@ -138,10 +140,80 @@ def test_append_is_idempotent_and_keeps_one_row_per_key(spark, tmp_path):
         schema,
     )
     want = [(1, "negative", "none", "low"), (2, "a", "x", "low")]
-    assert rows(tables.append_new(first, path, schema, "review_id")) == want
-    assert rows(tables.append_new(first, path, schema, "review_id")) == want
+    assert rows(append_new(first, path, schema, "review_id")) == want
+    assert rows(append_new(first, path, schema, "review_id")) == want
     more = spark.createDataFrame([(2, "a", "a", "a"), (3, "p", "none", "low")], schema)
-    assert rows(tables.append_new(more, path, schema, "review_id")) == [*want, (3, "p", "none", "low")]
+    assert rows(append_new(more, path, schema, "review_id")) == [*want, (3, "p", "none", "low")]
+
+
+def answers(spark, low, high, mark):
+    return spark.range(low, high).selectExpr("id as review_id", f"'{mark}' as sentiment", "'none' as issue_type", "'low' as urgency")
+
+
+def test_the_writer_that_loses_checks_its_keys(spark, tmp_path):
+    path, schema = str(tmp_path / "enrichment"), schemas.REVIEW_ENRICHMENT
+    append_new(answers(spark, 0, 5, "old"), path, schema, "review_id")
+    a = stage_new(answers(spark, 0, 20, "a"), path, schema, "review_id")
+    b = stage_new(answers(spark, 10, 30, "b"), path, schema, "review_id")
+    c = stage_new(answers(spark, 40, 45, "c"), path, schema, "review_id")
+    before = commits.read_table_version(spark, path, schema)
+    finish(a, spark)
+    assert before.count() == 5  # readers keep the version they opened
+    finish(c, spark)
+    stored = {r["review_id"]: r["sentiment"] for r in finish(b, spark).collect()}
+    assert stored == {i: "old" if i < 5 else "a" if i < 20 else "b" if i < 30 else "c" for i in [*range(30), *range(40, 45)]}
+    assert commits.read_version(spark, path).number == 4
+    assert commits.read_table_version(spark, path, schema).count() == 35
+    assert commits.read_table_version(spark, path, schema, commits.read_version(spark, path, 2)).count() == 20
+
+
+def test_writers_at_once_store_each_key_once(spark, tmp_path):
+    path, schema = str(tmp_path / "enrichment"), schemas.REVIEW_ENRICHMENT
+    with ThreadPoolExecutor(5) as pool:
+        jobs = [pool.submit(append_new, answers(spark, 7 * i, 7 * i + 20, str(i)), path, schema, "review_id") for i in range(5)]
+        [job.result() for job in jobs]
+    stored = commits.read_table_version(spark, path, schema)
+    assert sorted(r["review_id"] for r in stored.collect()) == list(range(48))
+    assert commits.version_numbers(spark, path) == [1, 2, 3, 4, 5]
+    late = stage_new(answers(spark, 0, 60, "late"), path, schema, "review_id")
+    commits.compact(spark, path, schema)
+    assert len(commits.read_version(spark, path).folders) == 1
+    assert finish(late, spark).count() == 60
+    gone = commits.remove_unlisted(spark, path)
+    assert gone and commits.read_table_version(spark, path, schema).count() == 60
+
+
+def test_a_version_is_made_once(spark, tmp_path):
+    for path in (str(tmp_path / "a" / "v1"), f"file:{tmp_path}/b/v1"):
+        with ThreadPoolExecutor(8) as pool:
+            made = list(pool.map(lambda i: commits.create_if_absent(spark, path, f"writer {i}"), range(8)))
+        assert sum(made) == 1
+        assert spark.read.text(path, wholetext=True).first()[0] == f"writer {made.index(True)}"
+    assert sorted(os.listdir(tmp_path / "a")) == ["v1"]
+    with pytest.raises(LookupError):
+        commits.read_version(spark, str(tmp_path / "a"), 9)
+    assert commits.read_version(spark, str(tmp_path / "none")) == commits.Version()
+
+
+def test_other_file_systems_rename_and_stores_create(spark, tmp_path, monkeypatch):
+    class Named:
+        """A file system that goes by another scheme."""
+
+        def __init__(self, files, scheme):
+            self.files, self.scheme = files, scheme
+
+        def getScheme(self):
+            return self.scheme
+
+        def __getattr__(self, name):
+            return getattr(self.files, name)
+
+    plain = tables.file_system
+    for scheme in ("hdfs", "s3a"):
+        monkeypatch.setattr(commits, "file_system", lambda s, p: (Named(plain(s, p)[0], scheme), plain(s, p)[1]))
+        path = str(tmp_path / scheme / "v1")
+        assert commits.create_if_absent(spark, path, "first") and not commits.create_if_absent(spark, path, "second")
+        assert spark.read.text(path, wholetext=True).first()[0] == "first"
 
 
 def test_load_audit(spark):

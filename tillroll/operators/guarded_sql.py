@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,15 +35,16 @@ def guard_sql(df: DataFrame, column: str) -> DataFrame:
     return df.withColumns({"reason": reason, "allowed": reason.isNull()})
 
 
-def readonly_session(spark: SparkSession, gold_paths: Mapping[str, str]) -> SparkSession:
-    """A session with the given tables as views, without the caller's own temporary views.
+def readonly_session(spark: SparkSession, gold_paths: Mapping[str, str | Sequence[str]]) -> SparkSession:
+    """A session with the given tables, each of one or several paths, as views, without the caller's own
+    temporary views.
 
     The views read committed Parquet. They are known by name and as `gold.<name>`; nothing else can be
     read through `run_readonly_sql`.
     """
     session = spark.newSession()
     for name, path in gold_paths.items():
-        session.read.parquet(path).createOrReplaceTempView(name)
+        session.read.parquet(*([path] if isinstance(path, str) else path)).createOrReplaceTempView(name)
     session.conf.set("spark.sql.runSQLOnFiles", "false")
     return session
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,12 @@ from tillroll.operators import (
     marts,
     retrieval,
 )
+from tillroll.plans import pipeline
 from tillroll.plans.models import build_gold, build_staging
 from tillroll.session import fit_partitions, scratch_path, tune
 from tillroll.sources import landing, tables
 from tillroll.sources.star_views import star_view
-from tillroll.streaming.incremental import pending
+from tillroll.streaming.incremental import append_new, finish, pending, stage_new
 
 # The day the reports look back from: the last order day of the sample.
 AS_OF = dt.date(2001, 8, 1)
@@ -134,8 +136,33 @@ def _load_audit(s: Sample) -> DataFrame:
 def _append_new(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "enrichment")
     schema = schemas.REVIEW_ENRICHMENT
-    tables.append_new(s.enrichment, path, schema, "review_id")
-    return tables.append_new(enrichment.enrich_reviews(s.stg("reviews")), path, schema, "review_id")
+    append_new(s.enrichment, path, schema, "review_id")
+    return append_new(enrichment.enrich_reviews(s.stg("reviews")), path, schema, "review_id")
+
+
+def _append_conflict(s: Sample) -> DataFrame:
+    """Two writers that start from the same empty table; the later one leaves out what the first has stored."""
+    path, schema = scratch_path(s.spark, "enrichment"), schemas.REVIEW_ENRICHMENT
+    first = stage_new(s.enrichment, path, schema, "review_id")
+    second = stage_new(enrichment.enrich_reviews(s.stg("reviews")), path, schema, "review_id")
+    finish(first, s.spark)
+    return finish(second, s.spark)
+
+
+def _published_versions(s: Sample) -> DataFrame:
+    """Rows per table of two versions of gold: completed transactions alone, then all; both can be read."""
+    root = scratch_path(s.spark, "warehouse")
+    kept = [c for c in checks.GOLD_CHECKS if c.test == "not_null" and c.column in ("date_day", "order_item_id")]
+    dates = marts.dim_date(s.stg("orders"))
+    for run, fct in {"first": kpis.completed_transactions(s.fct), "second": s.fct}.items():
+        pipeline.publish_checked({"dim_date": dates, "fct_transactions": fct}, root, run, kept)
+    audits = [
+        tables.load_audit(pipeline.read_gold(s.spark, root, v.number)).select(
+            F.lit(v.number).cast("bigint").alias("version"), F.lit(v.note["run_id"]).alias("run_id"), "table", "rows"
+        )
+        for v in pipeline.published_versions(s.spark, root)
+    ]
+    return reduce(DataFrame.unionByName, audits)
 
 
 # --- language-model jobs ----------------------------------------------------------------------
@@ -275,6 +302,8 @@ _BY_SAMPLE: dict[str, Callable[[Sample], DataFrame]] = {
     "latest_partition_by_mtime": _latest_partition_by_mtime,
     "load_audit": _load_audit,
     "append_new": _append_new,
+    "append_conflict": _append_conflict,
+    "published_versions": _published_versions,
     "stg_customers": lambda s: s.stg("customers"),
     "stg_products": lambda s: s.stg("products"),
     "stg_orders": lambda s: s.stg("orders"),

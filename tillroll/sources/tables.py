@@ -1,4 +1,4 @@
-"""Layer tables as Parquet folders `<root>/<layer>/<name>`, and appends without repeated keys."""
+"""Layer tables as Parquet folders `<root>/<layer>/<name>`."""
 
 from __future__ import annotations
 
@@ -43,26 +43,27 @@ def read_table(spark: SparkSession, root: str, layer: str | None, name: str) ->
     return spark.read.parquet(table_path(root, layer, name))
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as that knows it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists in whatever file system its scheme names."""
-    files, hadoop_path = _file_system(spark, path)
+    files, hadoop_path = file_system(spark, path)
     return files.exists(hadoop_path)
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Bytes in all files under the path, from the file system's own count."""
-    files, hadoop_path = _file_system(spark, path)
+    files, hadoop_path = file_system(spark, path)
     return files.getContentSummary(hadoop_path).getLength()
 
 
 def matching_names(spark: SparkSession, pattern: str) -> list[str]:
     """Names of the files and folders that match the pattern."""
-    files, hadoop_pattern = _file_system(spark, pattern)
+    files, hadoop_pattern = file_system(spark, pattern)
     return [status.getPath().getName() for status in files.globStatus(hadoop_pattern) or []]
 
 
@@ -85,23 +86,6 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def append_new(new: DataFrame, path: str, schema: StructType, key: str) -> DataFrame:
-    """Append the rows whose key is not stored yet, one per key, and return the stored table.
-
-    Running it again with the same rows adds nothing.
-    """
-    columns = schema.fieldNames()
-    stored = read_or_empty(new.sparkSession, path, schema)
-    fresh = one_per_key(new.select(*columns), key).join(stored.select(key), key, "left_anti")
-    return append_rows(fresh, path, schema)
-
-
-def append_rows(fresh: DataFrame, path: str, schema: StructType) -> DataFrame:
-    """Append rows whose keys are known to be new, and return the stored table."""
-    fresh.select(*schema.fieldNames()).write.mode("append").parquet(path)
-    return fresh.sparkSession.read.schema(schema).parquet(path)
-
-
 def register_layer(spark: SparkSession, root: str, layer: str, names: list[str]) -> None:
     """Make stored tables known to SQL as `<layer>.<name>`."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
