@@ -246,6 +246,24 @@ def _dq_report() -> str:
     )
 
 
+def _dq_report_landings() -> str:
+    keys = {"stg_customers": "customer_id", "stg_products": "product_id", "stg_orders": "order_id",
+            "stg_order_items": "order_item_id", "stg_reviews": "review_id"}
+    selects = [
+        f"""select 'unique' as test, '{t}' as "table", '{k}' as "column",
+              (select count(*) from (select {k} from {t} group by {k} having count(*) > 1)) as failures
+            union all select 'not_null', '{t}', '{k}', (select count(*) from {t} where {k} is null)"""
+        for t, k in keys.items()
+    ]
+    for child, key, parent in (("stg_orders", "customer_id", "stg_customers"), ("stg_order_items", "order_id", "stg_orders"),
+                               ("stg_order_items", "product_id", "stg_products")):
+        selects.append(
+            f"select 'relationships', '{child}', '{key}', (select count(*) from {child} "
+            f"where {key} is not null and {key} not in (select {key} from {parent}))"
+        )
+    return _over(" ".join(keys), " union all ".join(selects))
+
+
 def all_oracles() -> dict[str, str]:
     completed = "where status = 'completed'"
     revenue = f"coalesce({_cents('line_amount')} / 100, 0)"
@@ -439,6 +457,7 @@ def all_oracles() -> dict[str, str]:
             "fct stg_products", orphans.format(parent="stg_products", key="product_id")
         ),
         "dq_report": _dq_report(),
+        "dq_report_landings": _dq_report_landings(),
         "pending_reviews": _over("stg_reviews enrichment", pending.format(done="enrichment")),
         "pending_reviews_batch": _over(
             "stg_reviews enrichment",

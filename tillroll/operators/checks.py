@@ -73,15 +73,15 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
     return child.where(F.col(fk).isNotNull()).join(keys, fk, "left_anti")
 
 
-def _is_number(df: DataFrame, column: str) -> bool:
+def is_number(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (IntegralType, DateType))
 
 
-def _as_value(df: DataFrame, column: str) -> str:
+def as_value(df: DataFrame, column: str) -> str:
     """SQL for the column as text or, for whole numbers and dates, as a number (groups faster)."""
     if isinstance(df.schema[column].dataType, DateType):
         return f"cast(unix_date(`{column}`) as bigint)"
-    return f"cast(`{column}` as {'bigint' if _is_number(df, column) else 'string'})"
+    return f"cast(`{column}` as {'bigint' if is_number(df, column) else 'string'})"
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -92,9 +92,9 @@ def _long_form(df: DataFrame, entries: Mapping[int, str], rows: int) -> DataFram
     """(entry, value, rows) of the given columns, in one pass over the table."""
     if len(entries) == 1:
         ((entry, column),) = entries.items()
-        return df.selectExpr(f"{entry} as entry", f"{_as_value(df, column)} as value", f"{rows}L as rows")
+        return df.selectExpr(f"{entry} as entry", f"{as_value(df, column)} as value", f"{rows}L as rows")
     pairs = [
-        f"named_struct('entry', {entry}, 'value', {_as_value(df, column)})"
+        f"named_struct('entry', {entry}, 'value', {as_value(df, column)})"
         for entry, column in entries.items()
     ]
     return df.selectExpr(f"inline(array({', '.join(pairs)}))").selectExpr("*", f"{rows}L as rows")
@@ -155,7 +155,7 @@ def run_checks(tables: Mapping[str, DataFrame], suite: Sequence[Check] = tuple(S
     """
     spark = next(iter(tables.values())).sparkSession
     columns = list(dict.fromkeys((c.table, c.column) for c in suite))
-    numbers = [(table, c) for table, c in columns if _is_number(tables[table], c)]
+    numbers = [(table, c) for table, c in columns if is_number(tables[table], c)]
     texts = [column for column in columns if column not in numbers]
     verdicts = []
     for group in filter(None, (numbers, texts)):

@@ -21,6 +21,7 @@ from tillroll.operators import (
     lines,
     marts,
     retrieval,
+    running_checks,
 )
 from tillroll.plans import pipeline
 from tillroll.plans.models import build_gold, build_staging
@@ -285,6 +286,25 @@ def _dq_report(s: Sample) -> DataFrame:
     return checks.run_checks({**stg, **build_gold(stg, AS_OF)})
 
 
+# What landed tables are held against each other for, next to the staging checks.
+LANDING_CHECKS = [
+    *checks.STAGING_CHECKS,
+    checks.Check("relationships", "stg_orders", "customer_id", "stg_customers", "customer_id"),
+    checks.Check("relationships", "stg_order_items", "order_id", "stg_orders", "order_id"),
+    checks.Check("relationships", "stg_order_items", "product_id", "stg_products", "product_id"),
+]
+
+
+def _dq_report_landings(s: Sample) -> DataFrame:
+    """The staging rows in two landings, each counted once and merged into the stored counts."""
+    root = scratch_path(s.spark, "key-counts")
+    stg = {f"stg_{e}": s.stg(e) for e in schemas.RAW_ENTITIES}
+    for landing_no in range(2):
+        part = {t: df.where(F.pmod(F.xxhash64(df.columns[0]), F.lit(2)) == landing_no) for t, df in stg.items()}
+        running_checks.add_landing(s.spark, root, part, LANDING_CHECKS)
+    return running_checks.report(s.spark, root, LANDING_CHECKS)
+
+
 def _relationships_customer(s: Sample) -> DataFrame:
     return checks.relationships(s.fct, "customer_id", s.dim_customer, "customer_id")
 
@@ -347,6 +367,7 @@ _BY_SAMPLE: dict[str, Callable[[Sample], DataFrame]] = {
     "dq_relationships_customer": _relationships_customer,
     "dq_relationships_product": _relationships_product,
     "dq_report": _dq_report,
+    "dq_report_landings": _dq_report_landings,
     "pending_reviews": _pending_reviews,
     "pending_reviews_batch": _pending_reviews_batch,
     "pending_embeddings": _pending_embeddings,
