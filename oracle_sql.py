@@ -328,6 +328,7 @@ def all_oracles() -> dict[str, str]:
         "dim_date": _over("dates", "select * from dates"),
         "fct_transactions": _over("fct", "select * from fct"),
         "mart_customer_performance": _over("mart", "select * from mart"),
+        "mart_customer_performance_stored": _over("mart", "select * from mart"),
         "completed_transactions": _over("fct", f"select * from fct {completed}"),
         "complaint_reviews": _over("stg_reviews", "select * from stg_reviews where rating <= 3"),
         "orders_per_customer": _over(
@@ -426,6 +427,12 @@ def all_oracles() -> dict[str, str]:
             from fct f join dates d on f.order_date = d.date_day
             where f.status = 'completed' group by d.year_month""",
         ),
+        "revenue_by_month_stored": _over(
+            "fct dates",
+            f"""select d.year_month, {_cents("f.line_amount")} / 100 as revenue
+            from fct f join dates d on f.order_date = d.date_day
+            where f.status = 'completed' group by d.year_month""",
+        ),
         "revenue_last_month": _over(
             "fct dates",
             f"""select '2001-07' as year_month, coalesce({_cents("f.line_amount")} / 100, 0) as revenue

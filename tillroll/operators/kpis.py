@@ -139,6 +139,12 @@ def revenue_by_month(fct: DataFrame) -> DataFrame:
     )
 
 
+def revenue_by_stored_month(stored: DataFrame, month: str) -> DataFrame:
+    """As `revenue_by_month`, of lines that are stored by month: the month is read off the folders' names."""
+    dated = completed_transactions(stored).where(F.col(month).isNotNull())
+    return dated.groupBy(F.col(month).alias("year_month")).agg(exact_sum("line_amount").alias("revenue"))
+
+
 def revenue_last_month(fct: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Completed revenue of the month before `as_of`, as one row; the date range is pushed down."""
     this_month = F.trunc(as_of_date(as_of), "month")

@@ -26,7 +26,7 @@ from tillroll.operators import (
 from tillroll.plans import pipeline
 from tillroll.plans.models import build_gold, build_staging
 from tillroll.session import fit_partitions, scratch_path, tune
-from tillroll.sources import landing, tables
+from tillroll.sources import landing, layouts, tables
 from tillroll.sources.star_views import star_view
 from tillroll.streaming.incremental import append_new, finish, pending, stage_new
 
@@ -134,6 +134,22 @@ def _load_audit(s: Sample) -> DataFrame:
     return tables.load_audit({e: s.raw(e) for e in schemas.RAW_ENTITIES})
 
 
+def _revenue_by_month_stored(s: Sample) -> DataFrame:
+    """Revenue per month from lines stored by month."""
+    stored = layouts.write_by_month(s.fct, scratch_path(s.spark, "gold"), "gold", "fct_transactions", "order_date")
+    return kpis.revenue_by_stored_month(stored, layouts.MONTH)
+
+
+def _mart_stored(s: Sample) -> DataFrame:
+    """The mart from orders and customers in the same buckets: grouped and joined without a shuffle."""
+    root = scratch_path(s.spark, "silver")
+    orders, customers = (
+        layouts.write_bucketed(df, root, "silver", name, "customer_id", 16)
+        for name, df in (("orders", s.stg("orders")), ("customers", s.dim_customer))
+    )
+    return marts.mart_customer_performance(customers, orders, AS_OF)
+
+
 def _append_new(s: Sample) -> DataFrame:
     path = scratch_path(s.spark, "enrichment")
     schema = schemas.REVIEW_ENRICHMENT
@@ -358,6 +374,8 @@ _BY_SAMPLE: dict[str, Callable[[Sample], DataFrame]] = {
     "revenue_by_product_id": lambda s: kpis.revenue_by_product_id(s.fct, s.dim_product),
     "revenue_by_region_top5": lambda s: kpis.revenue_by_region(s.fct, s.dim_customer),
     "revenue_by_month": lambda s: kpis.revenue_by_month(s.fct),
+    "revenue_by_month_stored": _revenue_by_month_stored,
+    "mart_customer_performance_stored": _mart_stored,
     "revenue_last_month": lambda s: kpis.revenue_last_month(s.fct, AS_OF),
     "aov_by_region": lambda s: kpis.aov_by_region(s.mart),
     "cancellation_hotspots": lambda s: kpis.cancellation_hotspots(s.mart),
