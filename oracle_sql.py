@@ -264,6 +264,37 @@ def _dq_report_landings() -> str:
     return _over(" ".join(keys), " union all ".join(selects))
 
 
+UNREADABLE = "length(coalesce(review_text, '')) % 50 = 7"
+FAULTLESS = {
+    "good_customers": "select distinct customer_id from raw_customers where customer_id is not null",
+    "good_products": "select distinct product_id from raw_products where product_id is not null",
+    "good_orders": """select order_id, min(order_date) as order_date, max(order_date) as last_date from raw_orders
+        where order_id is not null and customer_id in (select customer_id from good_customers) group by order_id""",
+    "good_items": "select * from raw_order_items where product_id in (select product_id from good_products)",
+    "good_fct": "select * from good_items where order_id in (select order_id from good_orders)",
+}
+
+
+def _run_rows(reviews: bool) -> str:
+    loaded = {"customers": "good_customers", "products": "good_products", "orders": "good_orders",
+              "order_items": "good_items"} | ({"reviews": "raw_reviews"} if reviews else {})
+    selects = [f"select 'load' as stage, '{name}' as item, count(*) as value from {rel}" for name, rel in loaded.items()]
+    if not reviews:
+        selects.append("select 'skip', 'reviews', null")
+        return _with(["raw_customers", "raw_products", "raw_orders", "raw_order_items"], FAULTLESS, " union all ".join(selects))
+    gold = {"dim_customer": "good_customers", "dim_product": "good_products", "fct_transactions": "good_fct",
+            "mart_customer_performance": "good_customers"}
+    selects += [f"select 'gold', '{name}', count(*) from {rel}" for name, rel in gold.items()]
+    # Repeated order keys hold one date each way, so the first and last day do not hang on which row was kept.
+    selects.append("select 'gold', 'dim_date', date_diff('day', min(order_date), max(order_date)) + 1 from good_orders")
+    selects.append("select 'model', 'review_enrichment', count(*) from raw_reviews")
+    selects.append("select 'model', 'review_embeddings', count(*) from raw_reviews where rating <= 3")
+    from tillroll.operators.checks import SUITE
+
+    selects += [f"select 'check', '{c.test}({c.table}.{c.column})', 0" for c in SUITE]
+    return _with(["raw_customers", "raw_products", "raw_orders", "raw_order_items", "raw_reviews"], FAULTLESS, " union all ".join(selects))
+
+
 def all_oracles() -> dict[str, str]:
     completed = "where status = 'completed'"
     revenue = f"coalesce({_cents('line_amount')} / 100, 0)"
@@ -509,6 +540,32 @@ def all_oracles() -> dict[str, str]:
                          chr(10) order by rank) as context
             from retrieved group by question_id""",
         ),
+        "rag_prompt": _over(
+            "retrieved",
+            """select cast(q.question_id as bigint) as question_id,
+              'Question: What is wrong with product ' || q.question_id || '?' || chr(10) || chr(10)
+                || 'Review excerpts:' || chr(10) || coalesce(c.context, '') as prompt
+            from question_vectors q left join (
+              select question_id, string_agg('[review ' || review_id || '] (rating ' || rating || '/5): '
+                || review_text, chr(10) order by rank) as context from retrieved group by question_id) c
+            on c.question_id = q.question_id""",
+        ),
+        "enrich_reviews_model": _over(
+            "stg_reviews",
+            f"""select review_id, case length(coalesce(review_text, '')) % 3 when 0 then 'negative'
+                     when 1 then 'neutral' else 'positive' end as sentiment, 'none' as issue_type,
+                   case when length(coalesce(review_text, '')) % 2 = 1 then 'high' else 'low' end as urgency
+            from stg_reviews where not {UNREADABLE}""",
+        ),
+        "embed_reviews_model": _over(
+            "stg_reviews",
+            f"""select review_id, case when not {UNREADABLE} then length(coalesce(review_text, '')) % 11 end::double as first,
+                   case when not {UNREADABLE} then length(coalesce(review_text, '')) % 13 end::double as second,
+                   case when {UNREADABLE} then 'ValueError: cannot read this' end as error
+            from stg_reviews where rating <= 3""",
+        ),
+        "pipeline_published": _run_rows(reviews=True),
+        "pipeline_skips": _run_rows(reviews=False),
         "review_drafts": _over(
             "stg_orders stg_order_items stg_products",
             """select o.order_id,

@@ -133,6 +133,73 @@ def test_model_vector_of_wrong_width_is_an_error(spark):
         ).collect()
 
 
+def flaky(log):
+    """A scorer that fails now and then, and always on some texts."""
+
+    def make_scorer():
+        calls = []
+
+        def answer(batch):
+            calls.append(len(batch))
+            with open(log, "a") as out:
+                out.write("".join(f"{t}\n" for t in batch))
+            if len(calls) % 5 == 1:
+                raise TimeoutError("now and then")
+            if any(t.endswith("7") for t in batch):
+                raise ValueError("cannot read this")
+            return ['{"sentiment": "negative"}' for _ in batch]
+
+        return answer
+
+    return make_scorer
+
+
+def test_a_failing_model_loses_no_answer(spark, tmp_path):
+    reviews = spark.range(200).selectExpr("id as review_id", "concat('text ', id) as review_text")
+    path, log = str(tmp_path / "enrichment"), str(tmp_path / "log")
+    stored = incremental.enrich_pending(reviews, path, flaky(log), parts=3)
+    bad = {i for i in range(200) if i % 10 == 7}
+    assert {r["review_id"] for r in stored.collect()} == set(range(200)) - bad
+    aside = incremental.failures(spark, path).collect()
+    assert {r["review_id"] for r in aside} == bad and all("cannot read this" in r["error"] for r in aside)
+    asked = len(open(log).read().split("\n"))
+    assert incremental.enrich_pending(reviews, path, flaky(log), parts=3).count() == 180
+    assert len(open(log).read().split("\n")) == asked  # neither done nor put aside is asked again
+    mended = incremental.enrich_pending(reviews, path, lambda: lambda b: ["{}"] * len(b), retry_failed=True)
+    assert mended.count() == 200
+
+
+def test_parts_that_are_done_stay_done(spark, tmp_path, monkeypatch):
+    reviews = spark.range(90).selectExpr("id as review_id", "concat('text ', id) as review_text")
+    path, answers, seen = str(tmp_path / "enrichment"), incremental.model_answers, []
+
+    def dies(rows, make_scorer):
+        seen.append(1)
+        if len(seen) == 3:
+            raise RuntimeError("the driver is gone")
+        return answers(rows, make_scorer)
+
+    monkeypatch.setattr(incremental, "model_answers", dies)
+    with pytest.raises(RuntimeError):
+        incremental.enrich_pending(reviews, path, lambda: lambda b: ["{}"] * len(b), parts=4)
+    first = incremental.read_table_version(spark, path, schemas.REVIEW_ENRICHMENT).count()
+    assert 0 < first < 90
+    assert incremental.enrich_pending(reviews, path, lambda: lambda b: ["{}"] * len(b), parts=4).count() == 90
+
+
+def test_vectors_of_wrong_width_are_put_aside(spark, tmp_path):
+    reviews = spark.range(20).selectExpr("id as review_id", "2 as rating", "repeat('t', cast(id as int)) as review_text")
+    path = str(tmp_path / "index")
+    index = incremental.embed_pending(reviews, path, lambda: lambda b: [[1.0] * (3 if len(t) == 5 else 2) for t in b], width=2, parts=2)
+    assert index.count() == 19
+    assert [tuple(r) for r in incremental.failures(spark, path).collect()] == [(5, "expected 2 values, got 3")]
+
+
+def test_a_model_that_answers_too_little_fails(spark):
+    with pytest.raises(Exception, match="0 answers to 1 texts"):
+        enrichment.enrich_reviews(texts(spark, "a"), lambda: lambda batch: []).collect()
+
+
 def brute_force(questions, index, reviews, k):
     """Exact top-k in plain Python, joined with the reviews before the limit."""
     found = []

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import in_domain, json_objects, whole_word
+from tillroll.operators.model_calls import TRIES, ask
 
 # The issue types, and the answer that stands for "nothing recognised".
 ISSUE_TYPES = (
@@ -83,24 +84,23 @@ def parse_enrichment(answers: DataFrame, raw_col: str = "raw") -> DataFrame:
     )
 
 
-def model_answers(reviews: DataFrame, make_scorer: Callable[[], Scorer]) -> DataFrame:
-    """Raw answers of a model, asked in Arrow batches with one client per partition."""
+def model_answers(reviews: DataFrame, make_scorer: Callable[[], Scorer], tries: int = TRIES) -> DataFrame:
+    """(review_id, raw, error): a model's raw answers, asked in Arrow batches with one client per partition."""
+    asked = ask(reviews, "review_id", "review_text", make_scorer, "string", tries)
+    return asked.withColumnRenamed("answer", "raw")
 
-    def answer(batches):
-        scorer = make_scorer()
-        for batch in batches:
-            texts = batch["review_text"].fillna("").tolist()
-            yield batch[["review_id"]].assign(raw=list(scorer(texts)))
 
-    return reviews.select("review_id", "review_text").mapInPandas(
-        answer, "review_id bigint, raw string"
-    )
+def strict(asked: DataFrame, answer: str) -> Column:
+    """The answer; an error where there is none because of one."""
+    failed = F.raise_error(F.concat(F.lit("the model failed on a text: "), F.col("error"))).cast(asked.schema[answer].dataType)
+    return F.when(F.col("error").isNotNull(), failed).otherwise(F.col(answer))
 
 
 def enrich_reviews(
     reviews: DataFrame, make_scorer: Callable[[], Scorer] | None = None
 ) -> DataFrame:
-    """Sentiment, issue type and urgency per review; by rules unless a model is plugged in."""
+    """Sentiment, issue type and urgency per review; by rules unless a model is plugged in, which must answer all."""
     if make_scorer is None:
         return classify_by_rules(reviews)
-    return parse_enrichment(model_answers(reviews, make_scorer))
+    asked = model_answers(reviews, make_scorer)
+    return parse_enrichment(asked.select("review_id", strict(asked, "raw").alias("raw")))

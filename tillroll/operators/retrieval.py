@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import excerpt_line
 from tillroll.functions.vectors import SCORE_DIGITS, as_vector, word_buckets
+from tillroll.operators.enrichment import strict
+from tillroll.operators.model_calls import TRIES, ask
 
 # Vector width, hits per question, and the rating up to which a review is a complaint.
 EMBEDDING_WIDTH = 768
@@ -64,16 +66,14 @@ def build_embeddings(
     if make_embedder is None:
         return _hashed_words(reviews, width)
 
-    def embed(batches):
-        embedder = make_embedder()
-        for batch in batches:
-            vectors = embedder(batch["review_text"].fillna("").tolist())
-            yield batch[["review_id"]].assign(embedding=list(vectors))
+    asked = model_vectors(reviews, make_embedder)
+    return asked.select("review_id", as_vector(strict(asked, "embedding"), width).alias("embedding"))
 
-    vectors = reviews.select("review_id", "review_text").mapInPandas(
-        embed, "review_id bigint, embedding array<float>"
-    )
-    return vectors.select("review_id", as_vector(F.col("embedding"), width).alias("embedding"))
+
+def model_vectors(reviews: DataFrame, make_embedder: Callable[[], Embedder], tries: int = TRIES) -> DataFrame:
+    """(review_id, embedding, error): a model's vectors, asked in Arrow batches with one client per partition."""
+    asked = ask(reviews, "review_id", "review_text", make_embedder, "array<float>", tries)
+    return asked.withColumnRenamed("answer", "embedding")
 
 
 def top_k(

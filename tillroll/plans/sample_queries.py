@@ -28,7 +28,7 @@ from tillroll.plans.models import build_gold, build_staging
 from tillroll.session import fit_partitions, scratch_path, tune
 from tillroll.sources import landing, layouts, tables
 from tillroll.sources.star_views import star_view
-from tillroll.streaming.incremental import append_new, finish, pending, stage_new
+from tillroll.streaming.incremental import append_new, embed_pending, enrich_pending, failures, finish, pending, stage_new
 
 # The day the reports look back from: the last order day of the sample.
 AS_OF = dt.date(2001, 8, 1)
@@ -240,6 +240,82 @@ def _rag_context(s: Sample) -> DataFrame:
     )
 
 
+def _rag_prompt(s: Sample) -> DataFrame:
+    questions = s.view("question_vectors").select(
+        "question_id", F.concat(F.lit("What is wrong with product "), F.col("question_id"), F.lit("?")).alias("question_text")
+    )
+    prompts = retrieval.rag_prompt(retrieval.rag_context(s.retrieved), questions)
+    return prompts.select(F.col("question_id").cast("bigint").alias("question_id"), "prompt")
+
+
+# Texts of which length the stand-in models below cannot read, by its remainder.
+UNREADABLE = (50, 7)
+
+
+def _readable(texts: list[str]) -> list[int]:
+    sizes = [len(t) for t in texts]
+    if any(n % UNREADABLE[0] == UNREADABLE[1] for n in sizes):
+        raise ValueError("cannot read this")
+    return sizes
+
+
+def _stand_in_scorer():
+    """Answers by the length of a text, in prose around the JSON; fails on some texts."""
+    names = ("negative", "neutral", "positive")
+    return lambda texts: [
+        f'Here it is: {{"sentiment": "{names[n % 3]}", "urgency": "{"high" if n % 2 else "low"}"}}' for n in _readable(texts)
+    ]
+
+
+def _stand_in_embedder():
+    """Two numbers of a text's length; fails on some texts."""
+    return lambda texts: [[float(n % 11), float(n % 13)] for n in _readable(texts)]
+
+
+def _enrich_reviews_model(s: Sample) -> DataFrame:
+    """A model that fails on some texts, asked in three parts: its answers to all others."""
+    path = scratch_path(s.spark, "enrichment")
+    return enrich_pending(s.stg("reviews"), path, _stand_in_scorer, parts=3)
+
+
+def _embed_reviews_model(s: Sample) -> DataFrame:
+    """Vectors of a model that fails on some texts, next to the rows it failed on (without a vector)."""
+    path = scratch_path(s.spark, "index")
+    index = embed_pending(s.stg("reviews"), path, _stand_in_embedder, width=2, parts=3)
+    numbers = [F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(("first", "second"))]
+    missing = [F.lit(None).cast("double").alias(n) for n in ("first", "second")]
+    failed = failures(s.spark, path).select("review_id", *missing, "error")
+    return index.select("review_id", *numbers, F.lit(None).cast("string").alias("error")).unionByName(failed)
+
+
+def _faultless(s: Sample) -> dict[str, DataFrame]:
+    """The raw relations without the faults that would stop a run: keys once, lines and orders with their parents."""
+    customers = tables.one_per_key(s.raw("customers"), "customer_id")
+    products = tables.one_per_key(s.raw("products"), "product_id")
+    orders = s.raw("orders").join(customers.select("customer_id"), "customer_id", "left_semi")
+    items = s.raw("order_items").join(products.select("product_id"), "product_id", "left_semi")
+    return {
+        "customers": customers,
+        "products": products,
+        "orders": tables.one_per_key(orders.select(*s.raw("orders").columns), "order_id"),
+        "order_items": items.select(*s.raw("order_items").columns),
+        "reviews": s.raw("reviews"),
+    }
+
+
+def _pipeline_published(s: Sample) -> DataFrame:
+    """What a whole run did: landed, loaded, checked, published, enriched and embedded."""
+    run = pipeline.run_pipeline(s.spark, scratch_path(s.spark, "run"), _faultless(s), AS_OF, AS_OF)
+    return pipeline.run_report(run)
+
+
+def _pipeline_skips(s: Sample) -> DataFrame:
+    """A run without landed reviews: they are skipped, and nothing is asked of a model."""
+    sources = {entity: df for entity, df in _faultless(s).items() if entity != "reviews"}
+    run = pipeline.run_pipeline(s.spark, scratch_path(s.spark, "run"), sources, AS_OF, AS_OF)
+    return pipeline.run_report(run).where("stage in ('load', 'skip', 'model')")
+
+
 def _review_drafts(s: Sample) -> DataFrame:
     """Template texts filled per order, dated some days after it."""
     orders = lines.order_first_product(s.stg("orders"), s.stg("order_items"), s.dim_product)
@@ -395,6 +471,11 @@ _BY_SAMPLE: dict[str, Callable[[Sample], DataFrame]] = {
     "cosine_scores": _cosine_scores,
     "retrieve_topk": _retrieve_topk,
     "rag_context": _rag_context,
+    "rag_prompt": _rag_prompt,
+    "enrich_reviews_model": _enrich_reviews_model,
+    "embed_reviews_model": _embed_reviews_model,
+    "pipeline_published": _pipeline_published,
+    "pipeline_skips": _pipeline_skips,
     "review_drafts": _review_drafts,
     "sql_response_clean": _sql_response_clean,
     "sql_guard": _sql_guard,

@@ -46,6 +46,7 @@ REVIEW_ENRICHMENT = _struct(
 REVIEW_EMBEDDINGS = _struct(
     review_id=LongType(), embedding=ArrayType(FloatType(), containsNull=False),
 )
+MODEL_FAILURES = _struct(review_id=LongType(), error=StringType())
 
 # The raw entities, in load order.
 RAW_ENTITIES = {
