@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillroll.operators.checks import SUITE
 from tillroll.operators.enrichment import (
     ISSUE_WORDS,
     NEGATIVE_WORDS,
@@ -268,7 +269,7 @@ UNREADABLE = "length(coalesce(review_text, '')) % 50 = 7"
 FAULTLESS = {
     "good_customers": "select distinct customer_id from raw_customers where customer_id is not null",
     "good_products": "select distinct product_id from raw_products where product_id is not null",
-    "good_orders": """select order_id, min(order_date) as order_date, max(order_date) as last_date from raw_orders
+    "good_orders": """select order_id, min(order_date) as order_date from raw_orders
         where order_id is not null and customer_id in (select customer_id from good_customers) group by order_id""",
     "good_items": "select * from raw_order_items where product_id in (select product_id from good_products)",
     "good_fct": "select * from good_items where order_id in (select order_id from good_orders)",
@@ -285,12 +286,9 @@ def _run_rows(reviews: bool) -> str:
     gold = {"dim_customer": "good_customers", "dim_product": "good_products", "fct_transactions": "good_fct",
             "mart_customer_performance": "good_customers"}
     selects += [f"select 'gold', '{name}', count(*) from {rel}" for name, rel in gold.items()]
-    # Repeated order keys hold one date each way, so the first and last day do not hang on which row was kept.
     selects.append("select 'gold', 'dim_date', date_diff('day', min(order_date), max(order_date)) + 1 from good_orders")
     selects.append("select 'model', 'review_enrichment', count(*) from raw_reviews")
     selects.append("select 'model', 'review_embeddings', count(*) from raw_reviews where rating <= 3")
-    from tillroll.operators.checks import SUITE
-
     selects += [f"select 'check', '{c.test}({c.table}.{c.column})', 0" for c in SUITE]
     return _with(["raw_customers", "raw_products", "raw_orders", "raw_order_items", "raw_reviews"], FAULTLESS, " union all ".join(selects))
 
@@ -310,6 +308,11 @@ def all_oracles() -> dict[str, str]:
         "bronze_reviews_csv": _with(
             ["raw_reviews"], {}, "select * exclude (true_issue_type) from raw_reviews"
         ),
+        "bronze_products_csv": _with(["raw_products"], {}, "select * from raw_products"),
+        "bronze_rejects": _with(
+            ["raw_orders"], {},
+            "select 'X' || order_id as order_id, status from raw_orders where order_id % 97 = 5",
+        ),
         "bronze_customers": _with(["raw_customers"], {}, "select * from raw_customers"),
         "bronze_load": """select 'products' as "table", count(*) as rows from part
             union all select 'order_items', count(*) from lineitem""",

@@ -106,6 +106,53 @@ def test_load_skips_what_is_not_there(spark, tmp_path, orders):
     assert tables.read_table(spark, store, "raw", "orders").count() == 1
 
 
+def test_large_files_without_broken_lines_are_split(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "LOOK_FROM", 20_000)
+    folder = tmp_path / "products" / "dt=2024-06-01"
+    folder.mkdir(parents=True)
+    head = "product_id,product_name,category,cost,price\n"
+    plain = [f'{i},"cup, ""no. {i}""",Home,1.5,{i}.25\n' for i in range(4000)]
+    broken = [f'{10_000 + i},"cup\nno. {i}",Home,1.5,2.5\n' for i in range(1000)]
+    stray = [f'{20_000 + i},5" plate,Home,1.5,2.5\n' for i in range(1000)]
+    small = [f'{30_000 + i},"a\nb",Home,1.5,2.5\n' for i in range(9)]
+    for name, part in {"plain": plain, "bro ken": broken, "stray": stray, "small": small}.items():
+        (folder / f"{name}.csv").write_text(head + "".join(part))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = landing.read_raw(spark, str(tmp_path), "products")
+        names = {r["product_id"]: r["product_name"] for r in found.collect()}
+        assert len(names) == found.count() == 6009 and found.where("price is null or dt is null").count() == 0
+        assert names[7] == 'cup, "no. 7"' and names[10_005] == "cup\nno. 5" and names[20_001] == '5" plate' and names[30_000] == "a\nb"
+        of_file = {}
+        for r in found.select(F.spark_partition_id().alias("p"), (F.col("product_id") / 10_000).cast("int").alias("file")).distinct().collect():
+            of_file.setdefault(r["file"], set()).add(r["p"])
+        assert len(of_file[0]) > 4 and len(of_file[1]) == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize(
+    ("line", "whole"),
+    [("", True), ("a,b,", True), ('"a","b ""c"", d",e', True), ('"a', False), ('a","b', False), ('a"b, "c', False), ('"a"b', False), ('""', True), ('"""', False)],
+)
+def test_whole_records(spark, line, whole):
+    one = spark.createDataFrame([(line,)], "value string")
+    assert one.select(F.col("value").rlike(landing.WHOLE_RECORD)).first()[0] is whole
+
+
+def test_rows_of_single_keys_are_not_grouped(spark, monkeypatch):
+    df = spark.range(1000).selectExpr("if(id < 990, id, 5) as k", "concat('t', id) as text", "id as n")
+    expected = [(i, "t5" if i == 5 else f"t{i}", i) for i in range(990)]
+    for most in (1, 0):
+        monkeypatch.setattr(tables, "REPEATED_KEYS", most)
+        assert rows(tables.one_per_key(df, "k")) == expected
+    monkeypatch.setattr(tables, "REPEATED_KEYS", 10)
+    single = tables.one_per_key(df.where("k != 5"), "k")
+    plan = single._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Exchange" not in plan
+
+
 def test_other_formats_can_be_landed(spark, tmp_path, orders):
     landing.land_raw(orders, str(tmp_path), "orders", DAY, fmt="parquet")
     got = landing.latest_partition(spark, str(tmp_path), "orders", fmt="parquet")

@@ -100,6 +100,28 @@ def _bronze_reviews_csv(s: Sample) -> DataFrame:
     return landing.read_raw(s.spark, root, "reviews").drop("dt", "true_issue_type")
 
 
+def _bronze_products_csv(s: Sample) -> DataFrame:
+    root = scratch_path(s.spark, "landing")
+    landing.land_raw(s.raw("products"), root, "products", AS_OF)
+    return landing.read_raw(s.spark, root, "products").drop("dt")
+
+
+def _bronze_rejects(s: Sample) -> DataFrame:
+    """Rows of a landing whose keys are no numbers: the load fails and keeps their text."""
+    landed, warehouse = scratch_path(s.spark, "landing"), scratch_path(s.spark, "warehouse")
+    key = F.when(F.col("order_id") % 97 == 5, F.concat(F.lit("X"), F.col("order_id")))
+    orders = s.raw("orders").withColumn("order_id", F.coalesce(key, F.col("order_id").cast("string")))
+    landing.land_raw(orders, landed, "orders", AS_OF)
+    try:
+        landing.load_bronze(s.spark, landed, warehouse)
+    except landing.RejectedRows:
+        pass
+    fields = F.split(landing.REJECTED, ",")
+    return tables.read_table(s.spark, warehouse, "rejects", "orders").select(
+        fields[0].alias("order_id"), fields[3].alias("status")
+    )
+
+
 def _two_landings(s: Sample) -> str:
     """The later day's landing is written first, so newest by date and by file time differ."""
     root = scratch_path(s.spark, "landing")
@@ -408,6 +430,8 @@ def _relationships_product(s: Sample) -> DataFrame:
 _BY_SAMPLE: dict[str, Callable[[Sample], DataFrame]] = {
     "bronze_orders_csv": _bronze_orders_csv,
     "bronze_reviews_csv": _bronze_reviews_csv,
+    "bronze_products_csv": _bronze_products_csv,
+    "bronze_rejects": _bronze_rejects,
     "bronze_customers": _bronze_customers,
     "bronze_load": _bronze_load,
     "latest_partition": _latest_partition,

@@ -74,18 +74,39 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.createDataFrame([], schema)
 
 
-def one_per_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per key: of several, the least by the other columns. Rows without a key drop out.
+# Repeated keys are broadcast up to this many; beyond it all rows are grouped by key.
+REPEATED_KEYS = 100_000
 
-    The rows of a key are merged before they are shuffled, however many there are.
-    """
+
+def _least_rows(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the least by the other columns. The rows of a key are merged before they are shuffled."""
     others = [name for name in df.columns if name != key]
-    merged = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*others)).alias("row"))
+    merged = df.groupBy(key).agg(F.min(F.struct(*others)).alias("row"))
     return merged.select(
         *[F.col(name) if name == key else F.col(f"row.{name}") for name in df.columns]
     )
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key: of several, the least by the other columns. Rows without a key drop out.
+
+    Keys that stand more than once are found on the keys alone (an action that reads no other column) and
+    broadcast, so that only their rows are grouped; all other rows stay where they are. The frame is read
+    again for that, so it should be one that is stored, or cheap to make.
+    """
+    rows = df.where(F.col(key).isNotNull())
+    counts = rows.groupBy(F.col(key).alias("__repeated")).agg(F.count(F.lit(1)).alias("__rows"))
+    repeated = counts.where("__rows > 1").select("__repeated")
+    n = repeated.limit(REPEATED_KEYS + 1).count()
+    if not n:
+        return rows
+    if n > REPEATED_KEYS:
+        return _least_rows(rows, key)
+    marked = rows.join(F.broadcast(repeated), F.col(key) == F.col("__repeated"), "left")
+    single = marked.where("__repeated is null").select(*df.columns)
+    return single.unionByName(_least_rows(marked.where("__repeated is not null").select(*df.columns), key))
+
+
 def register_layer(spark: SparkSession, root: str, layer: str, names: list[str]) -> None:
     """Make stored tables known to SQL as `<layer>.<name>`."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
