@@ -6,8 +6,15 @@ clean documents are clean. The field has two states; a word's features are its f
 and ends, and its case. Forward and backward messages give each token's probability of being toxic. A
 document's score is a logistic function of their sum and their largest, fitted on the same sample.
 
+The field is trained by full gradient steps over all windows of the sampled documents. They stay
+in a stored table; each step is a job whose tasks add up the gradient of their windows, so that one vector of
+fixed size per task comes back, however long the texts are.
+
 Null and empty texts have no tokens: they get the score of a document without any hit. Repeated rows are
-scored alike, each for itself. Without labels of both classes nothing is learnt and every score is 0.
+scored alike, each for itself; of rows that share a labelled id, training reads the one whose text has the least
+hash, so that the bound on the sample holds for rows. Very long texts are read whole, in training and in scoring, which
+needs some hundred bytes a word of one text. Without labels of both classes nothing is learnt and every
+score is 0. Columns other than those named are passed through, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import schema_with, text_pieces, words_of
+from tillroll.llm.common import schema_with, stored, text_pieces, words_of
 
 # Labelled documents of either class that training reads, at most; those whose hashed ids are least.
 SAMPLE = 1500
@@ -30,8 +37,9 @@ FOLDS = 5
 # A form, beginning or end of words counts as toxic from so much higher a share of the toxic documents, and
 # so many standard deviations above chance.
 LEAST_RATIO, LEAST_SDS = 6.0, 4.5
-# Training windows: words around a place, and windows per document at most.
-SPAN, WINDOWS = 20, 3
+# Training windows: the words of a sampled document, so many at a time. Steps of the training, and windows whose
+# messages a worker works out at once.
+SPAN, STEPS, AT_ONCE = 20, 40, 4096
 BUCKETS = 1 << 16
 MAX_WORDS = 300_000
 # Text scored at a time: messages take a step per word of the longest text, whatever the number of texts.
@@ -60,12 +68,13 @@ def stems(word: str) -> list[str]:
     return keys
 
 
-N_FEATURES = 12
+# A bias, the case, and up to eleven stems.
+N_FEATURES = 13
 
 
 def features(word: str) -> list[int]:
     """Hashed features of one word, padded to one length."""
-    names = ["bias", f"case={word[:1].isupper()}{word[1:2].isupper()}", *stems(word)[: N_FEATURES - 2]]
+    names = ["bias", f"case={word[:1].isupper()}{word[1:2].isupper()}", *stems(word)]
     found = [xxhash.xxh32_intdigest(n) % (BUCKETS - 1) + 1 for n in names]
     return found + [0] * (N_FEATURES - len(found))
 
@@ -129,42 +138,67 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train_field(words: np.ndarray, tags: np.ndarray, lengths: np.ndarray, steps: int = 40) -> Model:
-    """Maximum likelihood by Adam. words: examples x SPAN x features; tags: examples x SPAN (0 beyond)."""
+def gradient(
+    weights: np.ndarray, moves: np.ndarray, words: np.ndarray, tags: np.ndarray, lengths: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Slope of the log likelihood of the tags, by weights and by moves. words: windows x SPAN x features; tags:
+    windows x SPAN (0 beyond the window's length)."""
     n, span, _ = words.shape
     inside = np.arange(span)[None] < lengths[:, None]
-    params = [np.zeros(BUCKETS), np.zeros((2, 2))]
-    slots = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    pairs = np.zeros((2, 2))
+    on_moves = np.zeros((2, 2))
     for a in (0, 1):
         for b in (0, 1):
-            pairs[a, b] = ((tags[:, :-1] == a) & (tags[:, 1:] == b) & inside[:, 1:]).sum()
+            on_moves[a, b] = ((tags[:, :-1] == a) & (tags[:, 1:] == b) & inside[:, 1:]).sum()
+    emit = np.stack([np.zeros((n, span)), weights[words].sum(axis=2)], axis=2)
+    forward = np.empty((n, span, 2))
+    forward[:, 0] = emit[:, 0]
+    for t in range(1, span):
+        step_in = np.logaddexp.reduce(forward[:, t - 1, :, None] + moves[None], axis=1) + emit[:, t]
+        forward[:, t] = np.where(inside[:, t, None], step_in, forward[:, t - 1])
+    backward = np.zeros((n, span, 2))
+    total = np.logaddexp.reduce(forward[:, -1], axis=1)
+    for t in range(span - 2, -1, -1):
+        ahead = moves[None] + (emit[:, t + 1] + backward[:, t + 1])[:, None]
+        own = np.logaddexp.reduce(ahead, axis=2)
+        backward[:, t] = np.where(inside[:, t + 1, None], own, backward[:, t + 1])
+        joint = np.exp(forward[:, t, :, None] + ahead - total[:, None, None])
+        on_moves -= (joint * inside[:, t + 1, None, None]).sum(axis=0)
+    toxic = np.exp(forward[:, :, 1] + backward[:, :, 1] - total[:, None])
+    error = (tags - toxic) * inside
+    on_weights = np.bincount(words.ravel(), np.repeat(error.ravel(), words.shape[2]), minlength=BUCKETS)
+    on_weights[0] = 0.0  # padding
+    return on_weights, on_moves
+
+
+def train_field(windows: DataFrame, n: int, steps: int = STEPS) -> Model:
+    """Maximum likelihood by Adam over the stored windows (words: SPAN x features numbers, tags), `n` of them."""
+    params = [np.zeros(BUCKETS), np.zeros((2, 2))]
+    slots = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+
+    def slope(weights: np.ndarray, moves: np.ndarray) -> list[np.ndarray]:
+        def run(batches):
+            sums = [np.zeros(BUCKETS), np.zeros((2, 2))]
+            for batch in batches:
+                for low in range(0, batch.num_rows, AT_ONCE):
+                    part = batch.slice(low, AT_ONCE)
+                    lengths = part.column("length").to_numpy().astype(np.int64)
+                    words = np.frombuffer(b"".join(part.column("words").to_pylist()), "<i4")
+                    tags = np.frombuffer(b"".join(part.column("tags").to_pylist()), np.uint8).astype(np.int64)
+                    found = gradient(weights, moves, words.reshape(-1, SPAN, N_FEATURES), tags.reshape(-1, SPAN), lengths)
+                    sums = [x + y for x, y in zip(sums, found)]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in sums], ["weights", "moves"])
+
+        rows = windows.mapInArrow(run, "weights binary, moves binary").collect()  # one of fixed size per task
+        every = [[np.frombuffer(r[i]) for r in rows] for i in range(2)]
+        # Sums of floats hang on their order; rounding hides which task came first.
+        return [np.round(np.sum(x, axis=0), 9).reshape(p.shape) for x, p in zip(every, params)]
+
     for step in range(1, steps + 1):
-        weights, moves = params
-        emit = np.stack([np.zeros((n, span)), weights[words].sum(axis=2)], axis=2)
-        forward = np.empty((n, span, 2))
-        forward[:, 0] = emit[:, 0]
-        for t in range(1, span):
-            step_in = np.logaddexp.reduce(forward[:, t - 1, :, None] + moves[None], axis=1) + emit[:, t]
-            forward[:, t] = np.where(inside[:, t, None], step_in, forward[:, t - 1])
-        backward = np.zeros((n, span, 2))
-        on_moves = pairs.copy()
-        total = np.logaddexp.reduce(forward[:, -1], axis=1)
-        for t in range(span - 2, -1, -1):
-            ahead = moves[None] + (emit[:, t + 1] + backward[:, t + 1])[:, None]
-            own = np.logaddexp.reduce(ahead, axis=2)
-            backward[:, t] = np.where(inside[:, t + 1, None], own, backward[:, t + 1])
-            joint = np.exp(forward[:, t, :, None] + ahead - total[:, None, None])
-            on_moves -= (joint * inside[:, t + 1, None, None]).sum(axis=0)
-        toxic = np.exp(forward[:, :, 1] + backward[:, :, 1] - total[:, None])
-        error = (tags - toxic) * inside
-        on_weights = np.bincount(words.ravel(), np.repeat(error.ravel(), words.shape[2]), minlength=BUCKETS)
-        on_weights[0] = 0.0  # padding
-        for i, (gradient, prior) in enumerate(((on_weights, 0.02), (on_moves, 0.02))):
-            gradient = (gradient - prior * params[i]) / n
+        for i, slopes in enumerate(slope(*params)):
             mean, square = slots[i]
-            mean += 0.1 * (gradient - mean)
-            square += 0.01 * (gradient**2 - square)
+            step_up = (slopes - 0.02 * params[i]) / n
+            mean += 0.1 * (step_up - mean)
+            square += 0.01 * (step_up**2 - square)
             params[i] = params[i] + 0.15 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     return Model(params[0], params[1])
 
@@ -190,7 +224,10 @@ def training_documents(documents: DataFrame, labels: DataFrame, sample: int = SA
     few = F.broadcast(chosen[0].unionByName(chosen[1]))
     texts = documents.select(F.col("doc_id").alias("__doc"), F.col("text").alias("__text"))
     joined = texts.join(few, F.col("__doc") == F.col("__id"))
-    return joined.select(h.alias("h"), F.coalesce("__text", F.lit("")).alias("text"), F.col("__toxic").cast("int").alias("toxic"))
+    own = joined.select(h.alias("h"), "__id", F.coalesce("__text", F.lit("")).alias("text"), F.col("__toxic").cast("int").alias("toxic"))
+    # One row per id, merged within tasks, however many rows share it.
+    first = F.min(F.struct(F.xxhash64("text"), "text"))
+    return own.groupBy("h", "__id", "toxic").agg(first.alias("first")).select("h", F.col("first.text").alias("text"), "toxic")
 
 
 def _stem_counts(batches):
@@ -214,32 +251,39 @@ def toxic_stems(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     share = n_toxic / (n_toxic + n_clean)
     both = F.col("t") + F.col("c")
     above = (F.col("t") - share * both) / F.sqrt(share * (1 - share) * both)
-    found = sums.where((ratio >= LEAST_RATIO) & (above >= LEAST_SDS)).orderBy(F.desc(above), "stem").limit(2000)
-    return [r["stem"] for r in found.collect()]
+    found = sums.where((ratio >= LEAST_RATIO) & (above >= LEAST_SDS))
+    return sorted(r["stem"] for r in found.collect())
 
 
-def _windows(sample: DataFrame, lexicon: list[str]) -> DataFrame:
-    """(h, place, words, tags): windows around toxic stems of toxic documents, and spread over clean ones."""
+def windows_of(sample: DataFrame, lexicon: list[str]) -> DataFrame:
+    """(words, tags, length) of all windows of the sampled documents: features of SPAN words, and one byte a word
+    that says whether it is tagged as toxic. Toxic words are those of toxic documents with a listed stem."""
     listed = frozenset(lexicon)
 
     def run(batches):
+        known: dict[str, tuple[bytes, bool]] = {}
+        nothing = np.zeros(N_FEATURES, "<i4").tobytes()
         for batch in batches:
-            rows = []
-            for h, text, toxic in zip(*(batch[c].to_pylist() for c in ("h", "text", "toxic"))):
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                rows = []
+                if len(known) > MAX_WORDS:
+                    known.clear()
                 words = WORD.findall(text)
-                tags = [int(bool(toxic) and not listed.isdisjoint(stems(w))) for w in words]
-                hits = [i for i, t in enumerate(tags) if t]
-                places = hits if toxic else range(0, len(words), max(SPAN, len(words) // WINDOWS))
-                for place in list(places)[:WINDOWS]:
-                    low = max(0, place - (SPAN // 2 if toxic else 0))
-                    rows.append((h, low, words[low : low + SPAN], tags[low : low + SPAN]))
-            columns = list(zip(*rows)) or [[], [], [], []]
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["h", "place", "words", "tags"]
-            )
-
-    return sample.select("h", "text", "toxic").mapInArrow(run, "h long, place long, words array<string>, tags array<int>")
+                for word in words:
+                    if word not in known:
+                        known[word] = np.array(features(word), "<i4").tobytes(), not listed.isdisjoint(stems(word))
+                for low in range(0, len(words), SPAN):
+                    own = [known[word] for word in words[low : low + SPAN]]
+                    spare = SPAN - len(own)
+                    tags = bytes(int(bool(toxic) and hit) for _, hit in own) + bytes(spare)
+                    rows.append((b"".join(x for x, _ in own) + nothing * spare, tags, len(own)))
+                if rows:
+                    kinds = (pa.binary(), pa.binary(), pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], ["words", "tags", "length"]
+                    )
+
+    return sample.select("text", "toxic").mapInArrow(run, "words binary, tags binary, length int")
 
 
 def _aggregates(model: Model, piece: pa.Array):
@@ -260,24 +304,15 @@ def _aggregates(model: Model, piece: pa.Array):
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Train on labelled documents outside the held-out fold, as many as `sample` of either class."""
-    chosen = training_documents(documents, labels, sample)
+    chosen = stored(training_documents(documents, labels, sample), "toxic-sample")
     sizes = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return None
-    lexicon = toxic_stems(chosen, sizes[1], sizes[0])
-    rows = sorted(_windows(chosen, lexicon).collect(), key=lambda r: (r["h"], r["place"], r["words"]))
-    if not rows:
+    windows = stored(windows_of(chosen, toxic_stems(chosen, sizes[1], sizes[0])), "toxic-windows")
+    n = windows.count()
+    if not n:
         return None
-    cached: dict[str, list[int]] = {}
-    words = np.zeros((len(rows), SPAN, N_FEATURES), np.int64)
-    tags = np.zeros((len(rows), SPAN), np.int64)
-    for i, row in enumerate(rows):
-        for j, word in enumerate(row["words"]):
-            if word not in cached:
-                cached[word] = features(word)
-            words[i, j] = cached[word]
-        tags[i, : len(row["tags"])] = row["tags"]
-    model = train_field(words, tags, np.array([len(r["words"]) for r in rows]))
+    model = train_field(windows, n)
 
     def run(batches):
         for batch in batches:
