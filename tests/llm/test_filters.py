@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 from helpers import WORD, documents, edge_texts, empty_documents, found, prose
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.llm import quality, secrets, toxicity, url_filters
@@ -319,3 +320,29 @@ def test_outcomes_come_from_the_documents_in_the_address(spark):
     pages = spark.createDataFrame([(1, "http://h.org/en/7?x"), (2, "http://h.org/en/9"), (3, "http://h.org/"), (4, None)], "page_id long, url string")
     labels = spark.createDataFrame([(7, 0, 0), (9, 1, 0)], "doc_id long, quality int, toxic int")
     assert found(page_outcomes(pages, labels)) == [("h.org", 0), ("h.org", 1)]
+
+
+def test_registered_domains(spark):
+    expected = {
+        "a.b.example.com": ("example.com", "com"), "example.com:8080": ("example.com", "com"), "localhost": ("localhost", "localhost"),
+        "x.shop.co.uk": ("shop.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "other.co.uk:": ("other.co.uk", "co.uk"),
+        "10.0.0.7": ("10.0.0.7", "address"), "10.0.0.7:80": ("10.0.0.7", "address"), "[::1]:443": ("[::1]", "address"),
+        "1.2.3.4.example.org": ("example.org", "org"), "": ("", ""),
+    }
+    hosts = spark.createDataFrame([(h,) for h in expected], "host string")
+    found = hosts.select("host", url_filters.domain_of(F.col("host")), url_filters.suffix_of(F.col("host")))
+    assert {r[0]: (r[1], r[2]) for r in found.collect()} == expected
+
+
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_hot_hosts_are_judged_like_others(spark, monkeypatch, share):
+    monkeypatch.setattr(url_filters, "HOT_SHARE", share)
+    urls = [f"http://h{i % 3 if i % 2 else i % 11}.org/x{i}" for i in range(60)] + [None, "no address", "http://10.0.0.1/a"]
+    pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, bound string")
+    outcomes = spark.createDataFrame([(f"h{i % 11}.org", int(i % 11 < 3)) for i in range(300)], "host string, bad int")
+    found = url_filters.judge(pages, outcomes)
+    assert found.count() == len(urls) and found.where("verdict is null").count() == 0
+    verdicts = {r["host"]: r["verdict"] for r in found.collect()}
+    assert verdicts["h0.org"] == "block" and verdicts["h7.org"] == "allow"
+    assert url_filters.judge(pages.limit(0), outcomes).count() == 0
+    assert url_filters.judge(pages, outcomes.limit(0)).where("verdict = 'allow'").count() == len(urls)

@@ -180,6 +180,9 @@ def _level(key: str, parent: str) -> str:
   from {key}_counts c join {key}_prior p using ({parent}) join {parent}_rates a using ({parent}))"""
 
 
+_LISTED = ", ".join(f"'{s}'" for s in url_filters.SUFFIXES)
+
+
 def _bound(name: str) -> str:
     return f"{name}.mean - {url_filters.BOUND_SDS}::double * sqrt({name}.mean * (1 - {name}.mean) / ({name}.weight + 1))"
 
@@ -269,10 +272,18 @@ seen as (
   select page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_filters.UPPER}', '{url_filters.LOWER}') as host,
          regexp_extract(regexp_extract(rest, '^[^?#]*'), '/[\s\S]*$') as path
   from rests),
+named as (
+  select *, regexp_replace(host, ':[0-9]*$', '') as name from seen),
+cut as (
+  select *, regexp_extract(name, '[^.]*$') as one, case when strpos(name, '.') > 0 then regexp_extract(name, '[^.]*\.[^.]*$') else name end as two,
+         regexp_matches(name, '{url_filters.ADDRESS}') as address
+  from named),
 parts as (
-  select *, case when strpos(host, '.') > 0 then regexp_extract(host, '[^.]*\.[^.]*$') else host end as domain,
-         regexp_extract(host, '[^.]*$') as suffix
-  from seen),
+  select page_id, host, path,
+         case when address then name when two not in ({_LISTED}) then two
+              when two = name then name else regexp_extract(name, '[^.]*\.[^.]*\.[^.]*$') end as domain,
+         case when address then 'address' when two in ({_LISTED}) then two else one end as suffix
+  from cut),
 outcomes as (
   select p.host, p.domain, p.suffix, case when l.quality = 0 or l.toxic = 1 then 1 else 0 end as bad
   from parts p join labels l on l.doc_id = try_cast(regexp_extract(p.path, '^/[^/]*/([0-9]{{1,18}})', 1) as bigint)),

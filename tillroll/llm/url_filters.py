@@ -6,9 +6,12 @@ all pages: each level's children are taken to be draws from a beta distribution,
 to how much the children's rates differ beyond what binomial noise explains. A host is blocked when the
 lower bound of its posterior rate lies above the limit; hosts never seen take their parent's posterior.
 
-Everything is grouped before it is joined: one row per host, domain and suffix. An address that is null or
+Everything is grouped before it is joined: one row per host, domain and suffix. The verdicts of hosts that hold a
+thousandth of the pages or more, at most a thousand hosts, are broadcast to their pages; all other pages are
+joined by host. An address that is null or
 has no `://` has an empty host and path, fits no rule and is judged like an unseen host of no domain.
-Repeated pages are judged alike, each for itself.
+Repeated pages are judged alike, each for itself; an empty table gives no rows. Columns other than those named are
+not read, so their names do not matter.
 """
 
 from __future__ import annotations
@@ -29,6 +32,18 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
+# Suffixes of two labels under which hosts are registered; all others are taken to have one. Common ones only: a
+# longer list may be put in its place.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.za", "co.in", "co.jp", "ne.jp",
+    "or.jp", "co.kr", "com.ar", "com.br", "com.cn", "com.hk", "com.mx", "com.sg", "com.tr", "com.tw",
+)
+# Addresses in numbers, of version 4 or, in brackets, of version 6.
+ADDRESS = r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*\])$"
+
+# Hosts with at least this share of all pages, so as many at most, are broadcast to their pages.
+HOT_SHARE = 1000
+
 # A prior counts as this many outcomes at least and at most.
 LEAST_STRENGTH, MOST_STRENGTH = 2.0, 1000.0
 # Standard deviations below the posterior mean, and the rate of bad pages that is put up with.
@@ -53,13 +68,31 @@ def path_of(url: Column) -> Column:
     return F.when(slash > 0, F.substr(rest, slash)).otherwise(F.lit(""))
 
 
-def domain_of(host: Column) -> Column:
-    """The last two labels; the public suffix is taken to be the last one."""
-    return F.substring_index(host, ".", -2)
+def _name(host: Column) -> Column:
+    """The host without its port."""
+    return F.regexp_replace(host, ":[0-9]*$", "")
+
+
+def _is_address(name: Column) -> Column:
+    return name.rlike(ADDRESS)
 
 
 def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+    """The last label, or the last two where they are listed in SUFFIXES; all addresses share one suffix of their own."""
+    name = _name(host)
+    two = F.substring_index(name, ".", -2)
+    return F.when(_is_address(name), "address").when(two.isin(*SUFFIXES), two).otherwise(F.substring_index(name, ".", -1))
+
+
+def domain_of(host: Column) -> Column:
+    """The suffix and the label before it; an address is a domain of its own."""
+    name = _name(host)
+    listed = F.substring_index(name, ".", -2).isin(*SUFFIXES)
+    return (
+        F.when(_is_address(name), name)
+        .when(listed, F.substring_index(name, ".", -3))
+        .otherwise(F.substring_index(name, ".", -2))
+    )
 
 
 def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
@@ -141,8 +174,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float = LIM
     seen = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     seen = seen.select("*", fitting_rule(F.col("host"), F.col("path"), rules).alias("__fit"))
     # One row per host that occurs, whatever the number of its pages.
-    hosts = seen.select("host").distinct().select(
-        "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix")
+    hosts = seen.groupBy("host").agg(F.count(F.lit(1)).alias("__pages")).select(
+        "host", "__pages", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix")
     )
     by_host, by_domain, by_suffix, top = reputation(outcomes)
     for rates, key in ((by_host, "host"), (by_domain, "domain"), (by_suffix, "suffix")):
@@ -150,10 +183,16 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float = LIM
             rates.select(key, bound(F.col("mean"), F.col("weight")).alias(f"of_{key}")), key, "left"
         )
     of_every = bound(F.lit(top[0]), F.lit(top[1]))
-    known = hosts.select(
-        F.col("host").alias("__host"), F.coalesce("of_host", "of_domain", "of_suffix", of_every).alias("bound")
+    known = stored(
+        hosts.select("host", F.coalesce("of_host", "of_domain", "of_suffix", of_every).alias("bound"), "__pages"),
+        "host-bounds",
     )
+    least = max(1, (known.agg(F.sum("__pages")).first()[0] or 0) // HOT_SHARE)
+    hot = known.where(F.col("__pages") >= least).select("host", "bound")
+    large = seen.join(F.broadcast(hot), "host", "left")
+    few = known.where(F.col("__pages") < least).select("host", "bound")
+    rest = large.where("bound is null").drop("bound").join(few, "host")
     verdict = F.coalesce(F.col("__fit.verdict"), F.when(F.col("bound") > limit, "block").otherwise("allow"))
-    return seen.join(known, F.col("host") == F.col("__host"), "left").select(
+    return large.where("bound is not null").unionByName(rest).select(
         "page_id", "host", "path", F.col("__fit.rule").alias("rule"), verdict.alias("verdict"), "bound"
     )
