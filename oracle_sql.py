@@ -351,7 +351,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "published_versions": _over(
             "dates fct",
-            """select 1 as version, 'first' as run_id, 'dim_date' as "table", count(*) as rows from dates
+            """select cast(1 as bigint) as version, 'first' as run_id, 'dim_date' as "table", count(*) as rows from dates
             union all select 1, 'first', 'fct_transactions', count(*) from fct where status = 'completed'
             union all select 2, 'second', 'dim_date', count(*) from dates
             union all select 2, 'second', 'fct_transactions', count(*) from fct""",
