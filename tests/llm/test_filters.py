@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +71,33 @@ def test_suffix_array_is_sorted():
             assert lcp[r] == same
 
 
+@pytest.mark.parametrize("phrase", ["a ", "lorem ipsum dolor ", "ab " * 40 + "c "])
+def test_long_periodic_texts_take_bounded_memory(phrase):
+    n = 400_000
+    words = (phrase * (n // len(phrase.split()) + 1)).split()[:n]
+    texts = pa.array([" ".join(words)])
+    tracemalloc.start()
+    got = quality.measures(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 125 * n
+    period = len(phrase.split())
+    assert got["covered_words"][0] == n and got["longest_repeat"][0] == n - period
+
+
+def test_prefixes_of_neighbours_in_small_steps(monkeypatch):
+    monkeypatch.setattr(quality, "COMPARED", 4)
+    rng = np.random.default_rng(3)
+    for size, kinds in ((60, 1), (60, 2), (300, 2), (300, 9)):
+        symbols = rng.integers(0, kinds, size)
+        order, lcp = quality.suffix_array(symbols)
+        suffixes = [tuple(symbols[i:]) for i in order]
+        assert suffixes == sorted(suffixes)
+        for r in range(1, size):
+            pairs = zip(suffixes[r - 1], suffixes[r])
+            assert lcp[r] == sum(1 for _ in itertools.takewhile(lambda ab: ab[0] == ab[1], pairs))
+
+
 def test_quality_verdicts(spark):
     block = prose(7, 60)
     texts = [prose(1, 300), block + " " + prose(2, 40) + " " + block, "one two " * 40, "short text", None, ""]
