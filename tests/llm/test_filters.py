@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import base64
 import itertools
 import random
 import re
+import string
 import tracemalloc
 
 import numpy as np
@@ -179,6 +181,28 @@ def test_secrets_over_a_table(spark):
     assert secrets.fit(empty_documents(spark)) is None and secrets.find(empty_documents(spark), None, ["doc_id"]).count() == 0
 
 
+def test_keys_outside_the_patterns_are_found(spark):
+    rng = random.Random(4)
+    letters = string.ascii_letters + string.digits
+    taught = [f"{prose(i, 30)} token = \"{rng.randbytes(20).hex()}\" and {''.join(rng.choices('abcdefghijklmnop', k=24))} so" for i in range(300)]
+    network = secrets.fit(documents(spark, taught))
+    makers = [
+        lambda: "ghp_" + "".join(rng.choices(letters, k=36)),
+        lambda: "sk-" + "".join(rng.choices(letters, k=32)),
+        lambda: base64.b64encode(rng.randbytes(30)).decode(),
+        lambda: rng.randbytes(20).hex().upper(),
+        lambda: "".join(rng.choices(letters, k=20)),
+    ]
+    planted = [make() for make in makers for _ in range(60)]
+    texts = [f"{prose(500 + i, 25)} {key} {prose(900 + i, 25)}" for i, key in enumerate(planted)]
+    assert not any(plain_spans(t) for t in texts)
+    hits = [spans for _, spans in secrets._spans(pa.array(texts), network)]
+    seen = [any(a <= t.index(k) < b for _, a, b in spans) for t, k, spans in zip(texts, planted, hits)]
+    assert np.mean(seen) > 0.9
+    words = [f"{prose(i, 40)} {''.join(rng.choices('abcdefghijklmnop', k=28))}" for i in range(300)]
+    assert np.mean([bool(spans) for _, spans in secrets._spans(pa.array(words), network)]) < 0.02
+
+
 class Seeing:
     """In the network's place: finds what holds a mark."""
 
