@@ -162,6 +162,38 @@ def test_shard_file_has_random_access(tmp_path):
         assert (reader.ids(100, 900) == ids[100:900]).all() and reader.nulls.tolist() == [True] + [False] * 6
 
 
+def test_paths_of_object_stores(spark):
+    from pyarrow import fs
+
+    own = {
+        "spark.hadoop.fs.s3a.endpoint": "http://store:9000",
+        "spark.hadoop.fs.s3a.access.key": "all",
+        "spark.hadoop.fs.s3a.secret.key": "s1",
+        "fs.s3a.bucket.mine.access.key": "one",
+    }
+    assert token_files.store_settings(spark, "/shared/files") == {} == token_files.store_settings(spark, "hdfs://h/files")
+    assert token_files.store_settings(spark, "s3a://other/files") == {}
+    try:
+        for key, value in own.items():
+            spark.conf.set(key, value)
+        other = token_files.store_settings(spark, "s3a://other/files")
+        assert other == {
+            "access_key": "all", "secret_key": "s1", "endpoint_override": "store:9000", "scheme": "http", "region": "us-east-1"
+        }
+        assert token_files.store_settings(spark, "s3a://mine/files") == other | {"access_key": "one"}
+        spark.conf.set("spark.hadoop.fs.s3a.endpoint", "store:9000")
+        assert "scheme" not in token_files.store_settings(spark, "s3n://other/files")
+        spark.conf.set("spark.hadoop.fs.s3a.connection.ssl.enabled", "false")
+        assert token_files.store_settings(spark, "s3://other/files") == other
+        system, folder = token_files.open_store("s3a://mine/some/files/", other)
+        assert isinstance(system, fs.S3FileSystem) and folder == "mine/some/files"
+    finally:
+        for key in [*own, "spark.hadoop.fs.s3a.connection.ssl.enabled"]:
+            spark.conf.unset(key)
+    system, folder = token_files.open_store("file:///shared/files", {})
+    assert isinstance(system, fs.LocalFileSystem) and folder == "/shared/files"
+
+
 def test_token_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "SHARD_BYTES", 20_000)
     docs = documents(spark, clashing=True).repartition(3)

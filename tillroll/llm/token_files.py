@@ -11,6 +11,10 @@ manifest lists the shards that were written in order; files of task attempts tha
     footer   block offsets, first position of each document and the end, document ids, null marks
     trailer  offset of the footer, documents, ids, blocks, magic    5 x uint64
 
+Files are opened by Arrow's file systems. Paths of `s3a:`, `s3n:` and `s3:` take the keys, endpoint and region that
+the session has for `fs.s3a.`, those of a single bucket first; without keys the machine's own are used. All other
+schemes are Arrow's own: `hdfs:` wants libhdfs on the executors.
+
 Null texts are empty ones: they have the end id alone. Null document ids come first; rows of equal id keep
 the order in which they are stored. An empty table gives a manifest without shards.
 """
@@ -34,11 +38,50 @@ from tillroll.llm.common import text_pieces
 from tillroll.session import scratch_path
 
 MAGIC, VERSION = 0x534B4F54, 1
+S3_SCHEMES = ("s3a", "s3n", "s3")
+# Arrow's name of a setting, and the session's under fs.s3a.
+S3_SETTINGS = {
+    "access_key": "access.key",
+    "secret_key": "secret.key",
+    "session_token": "session.token",
+    "endpoint_override": "endpoint",
+    "region": "endpoint.region",
+}
 BLOCK_IDS = 65_536
 # Text of a shard, which is one task's work.
 SHARD_BYTES = 32_000_000
 
 
+def store_settings(spark: SparkSession, path: str) -> dict[str, str]:
+    """What Arrow needs to open `path`; nothing for schemes that name all they need themselves."""
+    scheme, _, rest = path.partition("://")
+    if scheme not in S3_SCHEMES:
+        return {}
+    bucket = rest.partition("/")[0]
+
+    def setting(name: str) -> str | None:
+        keys = (f"{start}fs.s3a.{own}{name}" for own in (f"bucket.{bucket}.", "") for start in ("", "spark.hadoop."))
+        return next((value for key in keys if (value := spark.conf.get(key, None))), None)
+
+    found = {own: value for own, name in S3_SETTINGS.items() if (value := setting(name))}
+    endpoint = found.get("endpoint_override", "")
+    if "://" in endpoint:
+        found["scheme"], found["endpoint_override"] = endpoint.split("://", 1)
+    elif setting("connection.ssl.enabled") == "false":
+        found["scheme"] = "http"
+    if "endpoint_override" in found:  # a store of one's own has no regions to be looked up
+        found.setdefault("region", "us-east-1")
+    return found
+
+
+def open_store(path: str, settings: dict[str, str]) -> tuple[fs.FileSystem, str]:
+    """The file system of `path`, and the path inside it."""
+    scheme, _, rest = path.partition("://")
+    if scheme in S3_SCHEMES:
+        return fs.S3FileSystem(**settings), rest.rstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
 def bits_for(vocabulary: int) -> int:
     return max(1, int(vocabulary - 1).bit_length())
 
@@ -179,6 +222,7 @@ def write(
     numbered = df.select(
         F.col(id_col).cast("long").alias("key"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text")
     )
+    settings = store_settings(df.sparkSession, path)
     total = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
 
@@ -190,7 +234,7 @@ def write(
                 continue
             keys, rows, texts = batch.columns
             if writer is None:
-                system, folder = fs.FileSystem.from_uri(path)
+                system, folder = open_store(path, settings)
                 system.create_dir(folder, recursive=True)
                 name = f"shard-{uuid.uuid4().hex}.tok"
                 sink = system.open_output_stream(f"{folder}/{name}")
@@ -227,15 +271,16 @@ def _documents(reader: ShardReader) -> Iterator[tuple[int, np.ndarray]]:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
+    settings = store_settings(spark, path)
     manifest = spark.read.parquet(f"{path.rstrip('/')}/manifest")
-    # One row per file, in order of the documents.
+    # One row per file of 32 MB of text, in order of the documents: some three million rows for 100 TB.
     before = Window.orderBy(F.col("first_key").asc_nulls_first(), "first_row").rowsBetween(Window.unboundedPreceding, -1)
     listed = manifest.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
 
     def run(batches):
         for batch in batches:
             for file, base in zip(batch["file"].to_pylist(), batch["base"].to_pylist()):
-                system, folder = fs.FileSystem.from_uri(path)
+                system, folder = open_store(path, settings)
                 with system.open_input_file(f"{folder}/{file}") as source:
                     reader = ShardReader(source)
                     crcs = [zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in _documents(reader)]
