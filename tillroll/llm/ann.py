@@ -36,6 +36,9 @@ LEAF, LEAST_SAMPLE, SHALLOW = 400, 16, 5
 SEARCH_SHARE = 0.25
 # A task's piece of a leaf: vectors and queries at most, about.
 BLOCK_VECTORS, BLOCK_QUERIES = 2048, 1024
+# Queries whose leaves a task looks for: no fewer than the one, so far as the session's shuffle partitions allow,
+# and no more than the other.
+LEAST_ASKED, MOST_ASKED = 256, 65_536
 
 
 @dataclass
@@ -191,7 +194,10 @@ def nearest(
     shape = f"cell long, class long, v {kind}"
     indexed = stored(classes.select("class", "v").mapInArrow(index, shape), "vector-leaves")
     asking = classes.join(asked.select("class").distinct(), "class", "left_semi").select("class", "v")
-    probes = stored(asking.repartition(F.col("class")).mapInArrow(ask, f"{shape}, floor double"), "vector-probes")
+    n_asked = asked.count()
+    usual = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(usual, -(-n_asked // LEAST_ASKED)), -(-n_asked // MOST_ASKED))
+    probes = stored(asking.repartition(tasks, F.col("class")).mapInArrow(ask, f"{shape}, floor double"), "vector-probes")
 
     # Large leaves are cut into blocks: sizes of all cells, at most trees x leaves rows.
     def sizes(df: DataFrame, block: int) -> DataFrame:
