@@ -30,7 +30,7 @@ from tillroll.llm.common import freed_pieces, ragged, schema_with
 # What a worker keeps at most, and works out anew beyond that: pairs of tokens, and bytes of encoded pieces of
 # text with what Python needs to hold one.
 MAX_PAIRS = 200_000
-CACHE_BYTES, ENTRY_BYTES = 32_000_000, 200
+CACHE_BYTES, ENTRY_BYTES = 64_000_000, 200
 # Text that is encoded at once, and the size from which a pre-token is encoded by bounded lookahead.
 ENCODED_AT_ONCE, LONG_PIECE = 1_000_000, 4096
 
