@@ -278,15 +278,14 @@ def _grouped(links_so_far: DataFrame, postings: DataFrame) -> DataFrame:
 
 
 def _mixed(postings: DataFrame) -> DataFrame:
-    """Postings of the shingles that still hold more than one group."""
-    several = postings.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h"))
-    return postings.join(several.where("l < h").select("token"), "token")
+    """Postings of the shingles that still hold more than one group, with the least set that holds each."""
+    several = postings.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.min("key").alias("least"))
+    return postings.join(several.where("l < h").select("token", "least"), "token")
 
 
 def _tiles(mixed: DataFrame, near: DataFrame) -> DataFrame:
     """Links (a, b) that join groups, from all pairs of different groups that share a shingle."""
-    least = mixed.groupBy("token").agg(F.min("key").alias("b"))
-    edges = mixed.join(least, "token").select(F.col("key").alias("a"), "b").distinct()
+    edges = mixed.select(F.col("key").alias("a"), F.col("least").alias("b")).distinct()
     clusters = components(edges).select("key", F.col("label").alias("cluster"))
     sets = stored(mixed.select("key", "n", F.col("label")).distinct().join(clusters, "key"), "tile-sets")
     # Large clusters are cut into blocks, by the shingles that they hold; every two blocks make a tile.
@@ -389,8 +388,10 @@ def set_labels(texts: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFra
             )
 
     sent = stored(texts.mapInArrow(post, "token long, key long, n long").distinct(), "postings")
-    met = sent.groupBy("token").agg(F.min("key").alias("l"), F.max("key").alias("h")).where("l < h").select("token")
-    postings = stored(sent.join(met, "token"), "postings")
+    # Keys are hashes, so the least set of a shingle is as good a leader as any. It comes with the shingles that
+    # several sets hold: what follows needs no further join or group by shingle, which may be a hot key.
+    met = sent.groupBy("token").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead < last")
+    postings = stored(sent.join(met.select("token", "lead"), "token"), "postings")
 
     # The sets that meet another one, found again in the texts with a table of their keys of fixed size.
     slot = F.shiftrightunsigned(F.xxhash64("key"), 64 - TABLE_BITS)
@@ -414,10 +415,7 @@ def set_labels(texts: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFra
 
     near = stored(texts.mapInArrow(fetch, "key long, n long, bits binary, grams binary").dropDuplicates(["key"]), "near-sets")
 
-    every = _mixed(postings.withColumn("label", F.col("key")))
-    lead = every.groupBy("token").agg(F.min_by("key", F.struct(F.xxhash64("key"), "key")).alias("lead"))
-    pairs = every.join(lead, "token").where(F.col("lead") != F.col("key"))
-    pairs = pairs.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
+    pairs = postings.where("lead < key").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
     found = _verified(pairs, near)
     rest = _tiles(stored(_mixed(_grouped(found, postings)), "postings"), near)
     return components(found.unionByName(rest)), near
