@@ -56,6 +56,8 @@ def test_run(session):
         "select * from range(10)",
         "select * from sales where id in (select id from secret)",
         "select * from gold.secret",
+        "select * from `gold`.`secret`",
+        "select * from `gold.sales`",
         "select * from default.kept",
     ],
 )
@@ -79,6 +81,9 @@ def test_catalog_tables_are_refused(spark, session):
         ("select sum(amount) from gold.sales", [(6.5,)]),
         ("select s.id from GOLD . Sales s where s.amount > (select avg(amount) from gold.sales)", [(2,)]),
         ("select 'gold.sales', count(*) from sales", [("gold.sales", 2)]),
+        ("select sum(s.amount) from `gold`.`sales` s join gold.`Sales` t using (id)", [(6.5,)]),
+        ("select count(*) as `gold.sales` from `gold` . sales -- don't read gold.secret", [(2,)]),
+        ("select /* it's */ count(*) from `gold`.sales tablesample (100 percent)", [(2,)]),
         ("select id, row_number() over (order by id) from sales order by 1 limit 1", [(1, 1)]),
         ("select t.x from (select explode(array(1, 2)) as x) t union all select 3", [(1,), (2,), (3,)]),
     ],

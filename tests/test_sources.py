@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tillroll import schemas
+from tillroll import schemas, session
 from tillroll.session import object_store_conf, scratch_path
 from tillroll.sources import commits, landing, tables
 from tillroll.streaming.incremental import append_new, finish, stage_new
@@ -275,6 +275,15 @@ def test_scratch_is_under_the_named_folder(spark):
     assert path != scratch_path(spark, "x")
 
 
+def test_a_session_is_left_as_found(spark):
+    before = {key: spark.conf.get(key, None) for key in (session.INITIAL_PARTITIONS, session.READ_BYTES)}
+    with pytest.raises(KeyError), session.fitted_partitions(spark, 1 << 50):
+        assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == session.MAX_SHUFFLE_PARTITIONS
+        assert spark.conf.get(session.READ_BYTES) == f"{session.LARGEST_READ}b"
+        raise KeyError
+    assert {key: spark.conf.get(key, None) for key in before} == before
+
+
 def test_object_store_options():
     conf = object_store_conf("http://store:9000", "key", "secret")
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"

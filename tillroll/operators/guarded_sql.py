@@ -53,8 +53,8 @@ def readonly_session(spark: SparkSession, gold_paths: Mapping[str, str | Sequenc
 READING_NODES = frozenset({
     "Aggregate", "CTERelationDef", "CTERelationRef", "Deduplicate", "Distinct", "Except", "Expand", "Filter",
     "Generate", "GlobalLimit", "Intersect", "Join", "LateralJoin", "LocalLimit", "LocalRelation", "Offset",
-    "OneRowRelation", "Pivot", "Project", "ResolvedHint", "Sort", "SubqueryAlias", "Union", "Unpivot", "Window",
-    "WithCTE",
+    "OneRowRelation", "Pivot", "Project", "ResolvedHint", "Sample", "Sort", "SubqueryAlias", "Union", "Unpivot",
+    "Window", "WithCTE",
 })
 
 # Expressions that run code from outside Spark's own functions, whatever name the text calls them by.
@@ -87,10 +87,14 @@ def _refusal(plan, views: frozenset[str]) -> str | None:
 
 
 def _without_layer(sql: str, names: frozenset[str]) -> str:
-    """`gold.<name>` of the known names as the bare name; quoted text stays as it is."""
+    """`gold.<name>` of the known names, back-quoted or not, as the bare name; literals, comments and other
+    back-quoted names stay as they are."""
     listed = "|".join(sorted(map(re.escape, names))) or "(?!)"
-    pattern = rf"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?<![\w.`])gold\s*\.\s*({listed})\b"""
-    return re.sub(pattern, lambda m: m[1] or m[2], sql, flags=re.IGNORECASE)
+    known = rf"(?<![\w.`])(?:gold|`gold`)\s*\.\s*(?:({listed})\b|`({listed})`)"
+    other = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|--[^\n]*|/\*.*?\*/|`(?:[^`]|``)*`"""
+    return re.sub(
+        f"{known}|({other})", lambda m: m[1] or m[2] or m[3], sql, flags=re.IGNORECASE | re.DOTALL
+    )
 
 
 def run_readonly_sql(session: SparkSession, sql: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -51,6 +53,21 @@ def fit_partitions(spark: SparkSession, input_bytes: int) -> None:
         spark.conf.set(READ_BYTES, f"{read_bytes}b")
 
 
+@contextlib.contextmanager
+def fitted_partitions(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """`fit_partitions` for the jobs inside; afterwards the session's settings are as they were."""
+    before = {key: spark.conf.get(key, None) for key in (INITIAL_PARTITIONS, READ_BYTES)}
+    fit_partitions(spark, input_bytes)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def object_store_conf(
     endpoint: str, access_key: str, secret_key: str, tls: bool = False
 ) -> dict[str, str]:
