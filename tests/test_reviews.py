@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 
 from tillroll import schemas
-from tillroll.operators import enrichment, retrieval
+from tillroll.operators import enrichment, model_calls, retrieval
 from tillroll.streaming import incremental
 
 
@@ -364,3 +364,42 @@ def test_top_k_of_one_list(spark):
     df = spark.createDataFrame([(1, 0.5), (2, None), (3, 0.9), (0, 0.5)], "id long, score double")
     assert [r["id"] for r in retrieval.top_k(df, "score", 3, ties=["id"]).collect()] == [3, 0, 1]
     assert [r["id"] for r in retrieval.top_k(df, "score", 9, ties=["id"]).collect()] == [3, 0, 1, 2]
+
+
+def test_calls_that_fail_share_the_wait(monkeypatch):
+    waits, tried = [], []
+    monkeypatch.setattr(model_calls.time, "sleep", waits.append)
+
+    def call(texts):
+        tried.append(tuple(texts))
+        if "bad" in texts:
+            raise ValueError("cannot read this")
+        return [t.upper() for t in texts]
+
+    def given(n_bad):
+        texts = ["bad" if i % 50 == 7 and i < 50 * n_bad else f"t{i}" for i in range(2000)]
+        waits.clear(), tried.clear()
+        found = model_calls.answers_of(call, texts, 3, 0.1, 64)
+        assert found == [(None, "ValueError: cannot read this") if t == "bad" else (t.upper(), None) for t in texts]
+        assert tried.count(("bad",)) == 3 * n_bad
+        return sum(waits)
+
+    assert given(40) == pytest.approx(given(1)) == pytest.approx(7 * 0.3)
+    # A model that answers nothing gets as much time as calls one by one would give it.
+    waits.clear()
+    assert [e for _, e in model_calls.answers_of(call, ["bad"] * 4, 3, 0.1, 2)] == ["ValueError: cannot read this"] * 4
+    assert sum(waits) == pytest.approx((2 + 4) * 0.3)
+
+
+def test_an_outage_between_two_tries_loses_nothing():
+    n_calls = 0
+
+    def call(texts):
+        nonlocal n_calls
+        n_calls += 1
+        if 3 <= n_calls <= 6:
+            raise ConnectionError("away")
+        return [t.upper() for t in texts]
+
+    texts = [f"t{i}" for i in range(40)]
+    assert model_calls.answers_of(call, texts, 3, 0.0, 8) == [(t.upper(), None) for t in texts]
