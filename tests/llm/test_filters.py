@@ -274,6 +274,60 @@ def test_threshold_keeps_the_recall():
     assert network.threshold < 0.5 and (scores >= network.threshold).mean() >= 0.99
 
 
+def test_all_windows_are_trained_on(spark):
+    hidden, plain = keys_and_words(300)
+    texts = [f"here it is {k} and {w} so {w[::-1]}" for k, w in zip(hidden, plain)]
+    docs = documents(spark, texts)
+    every = {(w, label) for f in secrets._scan(pa.array(texts)) for w, label in secrets.labelled(*f)}
+    rows = secrets.labelled_windows(docs, sample=20)
+    assert {(r["window"], r["label"]) for r in rows.collect()} == every
+    n_secrets, n_plain = (sum(label == side for _, label in every) for side in (1, 0))
+    assert n_plain == 2 * n_secrets == 600
+    shards, n_shards, parts = secrets.shards_of(rows.distinct(), {0: n_plain, 1: n_secrets}, 100)
+    assert (n_shards, parts) == (6, [6, 4])
+    dealt = {r["shard"]: set(zip(r["windows"], r["labels"])) for r in shards.collect()}
+    assert set(dealt) == set(range(6)) and set().union(*dealt.values()) == every
+    assert sum(len(own) for own in dealt.values()) < 1200 and all({label for _, label in own} == {0, 1} for own in dealt.values())
+    # The network of the shards finds what it was taught, and is the same however the rows are dealt.
+    network, again = (secrets.fit(d, shard=100) for d in (docs, docs.repartition(3)))
+    assert network.threshold == again.threshold and (network.filters == again.filters).all()
+    windows, labels = zip(*sorted(every))
+    scores, labels = network.probabilities(list(windows)), np.array(labels)
+    assert ((scores >= network.threshold) == labels).mean() > 0.97
+
+
+def test_shards_count_as_one_training(spark, monkeypatch):
+    hidden, plain = keys_and_words(200)
+    docs = documents(spark, [f"here it is {k} and {w} so" for k, w in zip(hidden, plain)])
+    whole = secrets.fit(docs)
+    # One shard, by way of shards.
+    sides = {0: 200, 1: 200}
+    monkeypatch.setattr(secrets, "FAN", 2)
+    every = secrets.labelled_windows(docs).distinct()
+    shards, n, parts = secrets.shards_of(every, sides, 200)
+    assert (n, parts) == (1, [1, 1])
+    size = sum(w.size for w in whole.weights)
+    state = np.zeros(3 * size)
+    state[:size] = np.concatenate([w.ravel() for w in secrets.Network.fresh(np.random.default_rng(secrets.SEED)).weights])
+    for first in (1, 101, 201):
+        state = secrets._summed(secrets._trained(shards, state, first, first + 99), 1)
+    assert (state[:size] == np.concatenate([w.ravel() for w in whole.weights])).all()
+    held = secrets._held_logits(shards, state, parts).toPandas()
+    assert len(held) == 50 + 3 * 50 and held["as_found"].sum() == 100
+    scores = whole.calibrated(held.loc[held["truth"] == 1, "logit"].to_numpy())
+    assert whole.threshold == min(secrets.recall_threshold(scores), secrets.recall_threshold(scores[:50]))
+    states = spark.createDataFrame([(i, np.array([1.0, i]).tobytes()) for i in range(9)], "node long, state binary")
+    assert secrets._summed(states, 9).tolist() == [9.0, 36.0]
+
+
+def test_kth_least_is_exact(spark):
+    rng = np.random.default_rng(5)
+    for values in (rng.normal(size=500), np.repeat(rng.normal(size=3), 100), np.array([1.0, np.nextafter(1.0, 2), 1e300]), np.array([2.0])):
+        df = spark.createDataFrame([(float(v),) for v in values], "value double")
+        for k in {0, len(values) // 100, len(values) // 2, len(values) - 1}:
+            assert secrets.kth_least(df, k) == np.sort(values)[k]
+
+
 def toxic_corpus(spark, n=400):
     texts, toxic = [], []
     for i in range(n):

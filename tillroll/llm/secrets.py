@@ -2,14 +2,15 @@
 
 Every run of sixteen or more key characters is a candidate. The network reads windows that overlap and
 together hold all of its characters with those around them; the largest score counts. Where patterns found a
-part of a run, each of its other parts is scored for itself, however short. The network is trained on a bounded
-sample of distinct windows, labelled by whether a pattern found them. As patterns know secrets by their names and
+part of a run, each of its other parts is scored for itself, however short. The network is trained on all distinct
+windows, labelled by whether a pattern found them: dealt to shards by their hashes, where each is trained on for some
+steps, then averaged, and so on. As patterns know secrets by their names and
 alphabets, every secret is also learned where another candidate stands, and there with other letters and digits
 and shorter, so that shape alone is recognised. The threshold is the highest that still keeps the wanted share of
-the secrets as found, and of all these forms together, in a part of the sample that training did not see, however
+the secrets as found, and of all these forms together, in the fourth of the windows that training did not see, however
 low that is. Spans of the patterns always stay; the network adds spans beside them.
 
-Null and empty texts have no spans. Without secrets or without other candidates in the sample nothing is
+Null and empty texts have no spans. With less than four secrets or other candidates nothing is
 added. Repeated rows are treated alike, each for itself; no row is moved.
 """
 
@@ -50,8 +51,15 @@ WINDOW = BEFORE + INSIDE + AFTER
 STRIDE = 16
 # Windows scored at a time.
 SCORED = 2048
-# Distinct labelled windows of either class for training, at most; one in four is for the threshold.
-SAMPLE = 3000
+# Distinct labelled windows of the larger class in a shard, about; one in four is for the threshold.
+SHARD = 3000
+# Training steps of every shard, and how often the shards' networks are averaged in between.
+STEPS, ROUNDS = 300, 10
+# As many states of training, of 45 KB each, are added up at a time.
+FAN = 64
+SEED = 7
+# The shards are read again in every round, from this many files at most.
+MOST_FILES = 2048
 RECALL = 0.99
 
 Span = tuple[str, int, int]
@@ -146,6 +154,10 @@ class Network:
 
     WIDTH = 5
 
+    @property
+    def weights(self) -> list[np.ndarray]:
+        return [self.embedding, self.filters, self.offsets, self.output]
+
     @classmethod
     def fresh(cls, rng: np.random.Generator, size: int = 8, n_filters: int = 24) -> Network:
         return cls(
@@ -233,32 +245,80 @@ def disguised(codes: np.ndarray, labels: np.ndarray, rng: np.random.Generator) -
     return np.concatenate((codes, moved, drawn)), np.concatenate((labels, np.ones(2 * len(secret), int)))
 
 
-def train(windows: list[str], labels: np.ndarray, steps: int = 300, seed: int = 7) -> Network | None:
-    """Fit on three of four distinct examples; calibrate and set the threshold on the fourth."""
-    windows, labels, held = distinct(windows, labels)
-    if min((labels == 0).sum(), (labels == 1).sum()) < 4:
-        return None
-    codes = _codes(windows)
-    rng = np.random.default_rng(seed)
-    network = Network.fresh(rng)
-    kept_codes, truth = disguised(codes[held], labels[held], rng)
-    codes, labels = disguised(codes[~held], labels[~held], rng)
-    sides = [np.flatnonzero(labels == side) for side in (0, 1)]
-    weights = [network.embedding, network.filters, network.offsets, network.output]
-    means, squares = ([np.zeros_like(w) for w in weights] for _ in range(2))
-    for step in range(1, steps + 1):
-        batch = np.concatenate([rng.choice(side, 64) for side in sides])
-        for weight, mean, square, gradient in zip(weights, means, squares, network.gradients(codes[batch], labels[batch])):
-            mean += 0.1 * (gradient - mean)
-            square += 0.01 * (gradient**2 - square)
-            weight -= 0.01 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    logits = np.concatenate([network.logits(kept_codes[i : i + SCORED]) for i in range(0, len(truth), SCORED)])
+@dataclass
+class Training:
+    """A network on its way, with the running means and squares of its gradients, and the examples it learns from."""
+
+    network: Network
+    means: list[np.ndarray]
+    squares: list[np.ndarray]
+    rng: np.random.Generator
+    codes: np.ndarray
+    labels: np.ndarray
+    kept_codes: np.ndarray
+    truth: np.ndarray
+    n_held: int  # of the kept examples, those that stand as found; the disguised ones come after
+
+    @classmethod
+    def begun(cls, windows: list[str], labels: np.ndarray, seed: int) -> Training:
+        """Three of four distinct examples to learn from, the fourth to calibrate and set the threshold on."""
+        windows, labels, held = distinct(windows, labels)
+        codes = _codes(windows)
+        rng = np.random.default_rng(seed)
+        network = Network.fresh(rng)
+        kept_codes, truth = disguised(codes[held], labels[held], rng)
+        codes, labels = disguised(codes[~held], labels[~held], rng)
+        means, squares = ([np.zeros_like(w) for w in network.weights] for _ in range(2))
+        return cls(network, means, squares, rng, codes, labels, kept_codes, truth, int(held.sum()))
+
+    def go(self, first: int, last: int) -> None:
+        """Steps `first` to `last`, counted from 1, on the examples that all steps from 1 on would draw."""
+        sides = [np.flatnonzero(self.labels == side) for side in (0, 1)]
+        for step in range(1, last + 1):
+            batch = np.concatenate([self.rng.choice(side, 64) for side in sides])
+            if step < first:
+                continue
+            gradients = self.network.gradients(self.codes[batch], self.labels[batch])
+            for weight, mean, square, gradient in zip(self.network.weights, self.means, self.squares, gradients):
+                mean += 0.1 * (gradient - mean)
+                square += 0.01 * (gradient**2 - square)
+                weight -= 0.01 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+
+    def held_logits(self) -> np.ndarray:
+        n = len(self.truth)
+        return np.concatenate([self.network.logits(self.kept_codes[i : i + SCORED]) for i in range(0, n, SCORED)])
+
+    @property
+    def state(self) -> np.ndarray:
+        return np.concatenate([one.ravel() for one in (*self.network.weights, *self.means, *self.squares)])
+
+    @state.setter
+    def state(self, values: np.ndarray) -> None:
+        at = 0
+        for one in (*self.network.weights, *self.means, *self.squares):
+            one[...] = values[at : at + one.size].reshape(one.shape)
+            at += one.size
+
+
+def calibration(logits: np.ndarray, truth: np.ndarray, counts: np.ndarray | None = None) -> tuple[float, float]:
+    """(slope, shift) of a logistic calibration, slightly held towards the network's own scale."""
     slope, shift = 1.0, 0.0
-    for _ in range(300):  # logistic calibration, slightly held towards the network's own scale
+    for _ in range(300):
         error = 1 / (1 + np.exp(-np.clip(slope * logits + shift, -30, 30))) - truth
-        slope -= 0.05 * ((error * logits).mean() + 0.01 * (slope - 1))
-        shift -= 0.05 * error.mean()
-    network.slope, network.shift = float(slope), float(shift)
+        slope -= 0.05 * (np.average(error * logits, weights=counts) + 0.01 * (slope - 1))
+        shift -= 0.05 * np.average(error, weights=counts)
+    return float(slope), float(shift)
+
+
+def train(windows: list[str], labels: np.ndarray, steps: int = STEPS, seed: int = SEED) -> Network | None:
+    """Fit on three of four distinct examples; calibrate and set the threshold on the fourth."""
+    marks = distinct(windows, labels)[1]
+    if min((marks == 0).sum(), (marks == 1).sum()) < 4:
+        return None
+    training = Training.begun(windows, labels, seed)
+    training.go(1, steps)
+    network, logits, truth = training.network, training.held_logits(), training.truth
+    network.slope, network.shift = calibration(logits, truth)
     scores = network.calibrated(logits[truth == 1])
     as_found = scores[: len(scores) // 3]  # the disguised ones come after
     network.threshold = min(recall_threshold(as_found), recall_threshold(scores))
@@ -267,47 +327,160 @@ def train(windows: list[str], labels: np.ndarray, steps: int = 300, seed: int =
 
 def recall_threshold(scores: np.ndarray, recall: float = RECALL) -> float:
     """The highest threshold that `recall` of the scores reach."""
-    lost = int((1 - recall) * len(scores) + 1e-9)
-    return float(np.sort(scores)[lost])
+    return float(np.sort(scores)[lost_of(len(scores), recall)])
+
 
+def lost_of(n: int, recall: float = RECALL) -> int:
+    """How many of n may be lost."""
+    return int((1 - recall) * n + 1e-9)
 
-def labelled_windows(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(h, window, label) over all candidates; the label says whether a fixed pattern found it. Every task sends
-    the `sample` distinct windows of either class whose hashes are least, so the least of all are among them."""
+
+def kth_least(values: DataFrame, k: int) -> float:
+    """The value before which k of the column `value` stand in order, found by counting in ever finer bins."""
+    low, high = values.agg(F.min("value"), F.max("value")).first()
+    while low < high:
+        at = F.floor((F.col("value") - low) / (high - low) * 4096).alias("at")
+        bins = values.where(F.col("value").between(low, high)).groupBy(at).agg(
+            F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
+        for one in bins.orderBy("at").collect():  # at most 4,097 rows
+            if k < one["n"]:
+                low, high = one["low"], one["high"]
+                break
+            k -= one["n"]
+    return low
+
+
+def labelled_windows(df: DataFrame, text_col: str = "text", sample: int = SHARD) -> DataFrame:
+    """(h, window, label) over all candidates; the label says whether a fixed pattern found it. A task sends what it
+    has found, without repeats, whenever that are more than `sample` windows of a class."""
+
+    def sent(label: int, own: dict[str, int]) -> pa.RecordBatch:
+        columns = [pa.array([h - (1 << 63) for h in own.values()], pa.int64()), pa.array(list(own), pa.string()),
+                   pa.array([label] * len(own), pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, ["h", "window", "label"])
 
     def run(batches):
-        least: tuple[dict[str, int], dict[str, int]] = ({}, {})  # window -> hash
-        bar = [1 << 64, 1 << 64]
+        held: tuple[dict[str, int], dict[str, int]] = ({}, {})  # window -> hash
         for batch in batches:
             for _, piece in text_pieces(batch.column(0)):
                 for found in _scan(piece):
                     for one, label in labelled(*found):
-                        h = _hash(one)
-                        if h > bar[label]:
-                            continue
-                        least[label][one] = h
-                        if len(least[label]) > 2 * sample:
-                            kept = sorted((h, w) for w, h in least[label].items())[:sample]
-                            least[label].clear()
-                            least[label].update((w, h) for h, w in kept)
-                            bar[label] = kept[-1][0]
-        for label, own in enumerate(least):
-            kept = sorted((h, w) for w, h in own.items())[:sample]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([h - (1 << 63) for h, _ in kept], pa.int64()), pa.array([w for _, w in kept], pa.string()),
-                 pa.array([label] * len(kept), pa.int32())], ["h", "window", "label"],
-            )
+                        if one not in held[label]:
+                            held[label][one] = _hash(one)
+                            if len(held[label]) > sample:
+                                yield sent(label, held[label])
+                                held[label].clear()
+        for label, own in enumerate(held):
+            yield sent(label, own)
 
     return df.select(F.col(text_col).alias("__text")).mapInArrow(run, "h long, window string, label int")
 
 
-def fit(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Network | None:
-    """Train on at most `sample` distinct labelled windows of either class, those whose hashes are least."""
-    every = labelled_windows(df, text_col, sample).groupBy("h", "window").agg(F.max("label").alias("label"))
+def shards_of(windows: DataFrame, sizes: dict[int, int], shard: int) -> tuple[DataFrame, int, list[int]]:
+    """(shard, windows, labels) of shards that hold about `shard` windows of the larger class; how many they are; and
+    of either class, in how many of them, from the first, stand different windows. A class too small
+    for all shards is dealt to some, and again to the next ones."""
+    n_shards = -(-max(sizes.values()) // shard)
+    parts = [min(n_shards, max(1, sizes[side] // max(64, shard // 4))) for side in (0, 1)]
+
+    def dealt(side: int) -> DataFrame:
+        every = F.sequence(F.pmod("h", F.lit(parts[side])), F.lit(n_shards - 1).cast("long"), F.lit(parts[side]).cast("long"))
+        return windows.where(F.col("label") == side).select(F.explode(every).alias("shard"), "window", "label")
+
+    rows = dealt(0).unionByName(dealt(1)).groupBy("shard").agg(F.collect_list(F.struct("window", "label")).alias("rows"))
+    return rows.select("shard", F.col("rows.window").alias("windows"), F.col("rows.label").alias("labels")), n_shards, parts
+
+
+def _summed(states: DataFrame, n: int) -> np.ndarray:
+    """The sum of the states (node, state) of nodes 0 to n - 1, added in their order, so that it is always the same."""
+
+    def total(table: pa.Table) -> np.ndarray:
+        own = sorted(zip(table["node"].to_pylist(), table["state"].to_pylist()))
+        return sum(np.frombuffer(state) for _, state in own)
+
+    def merge(table: pa.Table) -> pa.Table:
+        up = table["node"][0].as_py() // FAN
+        return pa.table({"node": pa.array([up], pa.int64()), "state": pa.array([total(table).tobytes()], pa.binary())})
+
+    while n > FAN:
+        up = F.floor(F.col("node") / FAN).alias("up")
+        states, n = states.groupBy(up).applyInArrow(merge, "node long, state binary"), -(-n // FAN)
+    return total(states.toArrow())  # at most FAN rows
+
+
+def _trained(shards: DataFrame, state: np.ndarray, first: int, last: int) -> DataFrame:
+    """(node, state) of every shard after the steps `first` to `last` from the given state."""
+
+    def run(batches):
+        for batch in batches:
+            for one in batch.to_pylist():
+                training = Training.begun(one["windows"], np.array(one["labels"]), SEED)
+                training.state = state
+                training.go(first, last)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([one["shard"]], pa.int64()), pa.array([training.state.tobytes()], pa.binary())], ["node", "state"]
+                )
+
+    return shards.mapInArrow(run, "node long, state binary")
+
+
+def _held_logits(shards: DataFrame, state: np.ndarray, parts: list[int]) -> DataFrame:
+    """(truth, as_found, logit) of all examples that are held out, each of them once."""
+
+    def run(batches):
+        for batch in batches:
+            for one in batch.to_pylist():
+                training = Training.begun(one["windows"], np.array(one["labels"]), SEED)
+                training.state = state
+                truth = training.truth
+                new = np.array([one["shard"] < n for n in parts])[truth]
+                as_found = np.arange(len(truth)) < training.n_held
+                columns = [pa.array(c[new]) for c in (truth.astype(np.int32), as_found, training.held_logits())]
+                yield pa.RecordBatch.from_arrays(columns, ["truth", "as_found", "logit"])
+
+    return shards.mapInArrow(run, "truth int, as_found boolean, logit double")
+
+
+def fit(df: DataFrame, text_col: str = "text", shard: int = SHARD) -> Network | None:
+    """Train on all distinct labelled windows, in shards of about `shard` windows of the larger class.
+
+    All shards start from the same network; after some steps each on its own windows their networks (and the running
+    means of their gradients) are averaged, and go on from there. Calibration counts the held-out logits of all
+    shards in hundredths; the threshold is exact over all of them. What fits into one shard is trained by `train`.
+    """
+    every = labelled_windows(df, text_col, shard).groupBy("h", "window").agg(F.max("label").alias("label"))
     every = stored(every, "labelled-windows")
-    by_label = [every.where(F.col("label") == side).orderBy("h", "window").limit(sample) for side in (0, 1)]
-    rows = by_label[0].unionByName(by_label[1]).collect()  # bounded by the sample
-    return train([r["window"] for r in rows], np.array([r["label"] for r in rows])) if rows else None
+    sizes = {0: 0, 1: 0} | {r["label"]: r["count"] for r in every.groupBy("label").count().collect()}
+    if min(sizes.values()) < 4:
+        return None
+    if max(sizes.values()) <= shard:
+        rows = every.collect()  # one shard
+        return train([r["window"] for r in rows], np.array([r["label"] for r in rows]))
+    shards, n_shards, parts = shards_of(every, sizes, shard)
+    shards = stored(shards.repartition(min(n_shards, MOST_FILES)), "window-shards")
+    network = Network.fresh(np.random.default_rng(SEED))
+    size = sum(w.size for w in network.weights)
+    state = np.zeros(3 * size)
+    state[:size] = np.concatenate([w.ravel() for w in network.weights])
+    for turn in range(ROUNDS):
+        first, last = turn * STEPS // ROUNDS + 1, (turn + 1) * STEPS // ROUNDS
+        state = _summed(_trained(shards, state, first, last), n_shards) / n_shards
+    at = 0
+    for weight in network.weights:
+        weight[...] = state[at : at + weight.size].reshape(weight.shape)
+        at += weight.size
+
+    held = stored(_held_logits(shards, state, parts), "held-out-logits")
+    place = F.floor(F.greatest(F.least("logit", F.lit(60.0)), F.lit(-60.0)) * 100).alias("place")
+    bins = held.groupBy("truth", place).count().orderBy("truth", "place").collect()  # at most 24,002 rows
+    truth, places, counts = (np.array([r[i] for r in bins], float) for i in range(3))
+    network.slope, network.shift = calibration((places + 0.5) / 100, truth, counts)
+    sign = 1.0 if network.slope >= 0 else -1.0
+    found = held.where("truth = 1").select((sign * F.col("logit")).alias("value"), "as_found")
+    least = [kth_least(own, lost_of(own.count())) for own in (found.where("as_found"), found)]
+    network.threshold = float(network.calibrated(sign * np.array(least)).min())
+    return network
 
 
 def _spans(piece: pa.Array, network: Network | None) -> list[tuple[str, list[Span]]]:
