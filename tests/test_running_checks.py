@@ -69,3 +69,12 @@ def test_landings_at_once(spark, tmp_path):
     whole = landing(spark, 0, 120)
     assert read_version(spark, root).number == 3
     assert rows(report(spark, root, SUITE)) == rows(run_checks(whole, SUITE))
+
+
+def test_a_new_store_takes_a_landing_as_counted(spark, tmp_path):
+    root = str(tmp_path)
+    first = add_landing(spark, root, landing(spark, 0, 400), SUITE, buckets=4)
+    assert {p.name for p in tmp_path.glob("data-*")} == set(first.folders) and len(first.folders) == 2
+    second = add_landing(spark, root, landing(spark, 300, 700), SUITE, buckets=4)
+    # One folder of the landing, one of it merged with the stored buckets, one of totals.
+    assert len(list(tmp_path.glob("data-*"))) == 2 + 3 and len(second.folders) == 2

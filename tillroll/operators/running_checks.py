@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.checks import Check, as_value, is_number
 from tillroll.sources.commits import Version, commit, read_version
+from tillroll.sources.tables import matching_names
 
 # Buckets of a new store. A bucket holds the counts of one in so many values, and is rewritten as a whole.
 BUCKETS = 64
@@ -63,6 +64,10 @@ def _bucket(buckets: int):
     return F.pmod(F.xxhash64("entry", "number", "text"), F.lit(buckets)).cast("int").alias("bucket")
 
 
+def _write_buckets(counts: DataFrame, buckets: int, path: str) -> None:
+    counts.withColumn("bucket", _bucket(buckets)).repartition("bucket").write.partitionBy("bucket").parquet(path)
+
+
 def _totals(counts: DataFrame, buckets: int) -> DataFrame:
     missing = "number is null and text is null"
     return counts.groupBy(_bucket(buckets), "entry").agg(
@@ -77,31 +82,33 @@ def add_landing(
 ) -> Version:
     """Merge one landing of (some of) the suite's tables into the store under `root`.
 
-    `buckets` is taken when the store is new. The landing is counted once; a landing that another one overtakes is
-    merged again with the buckets that the other has written.
+    `buckets` is taken when the store is new. The landing is counted once, into a folder of its own that is cut into
+    buckets. Buckets that the store does not hold are taken from there as they are; the others are merged with the stored
+    ones. A landing that another one overtakes is merged again with the buckets that the other has written.
     """
     base = read_version(spark, root)
     buckets = base.note.get("n_buckets", buckets)
-    landed_path = f"{root}/data-{uuid.uuid4().hex}"
-    landed_counts(tables, suite).write.parquet(landed_path)
-    landed = spark.read.schema(COUNTS).parquet(landed_path)
-    touched = sorted(r["bucket"] for r in landed.select(_bucket(buckets)).distinct().collect())  # at most all buckets
+    landed = f"data-{uuid.uuid4().hex}"
+    _write_buckets(landed_counts(tables, suite), buckets, f"{root}/{landed}")
+    names = matching_names(spark, f"{root}/{landed}/bucket=*")  # at most all buckets
+    touched = sorted(int(name.removeprefix("bucket=")) for name in names)
     while True:
         if base.number and base.note["n_buckets"] != buckets:
             raise ValueError(f"the store has {base.note['n_buckets']} buckets, not {buckets}")
         held = base.note.get("buckets", {})
-        old = [f"{root}/{held[str(b)]}" for b in touched if str(b) in held]
-        both = landed.union(spark.read.schema(COUNTS).parquet(*old)) if old else landed
-        name = f"data-{uuid.uuid4().hex}"
-        merged = _merged(both).withColumn("bucket", _bucket(buckets))
-        merged.repartition("bucket").write.partitionBy("bucket").parquet(f"{root}/{name}")
-        fresh = _totals(spark.read.schema(COUNTS).parquet(f"{root}/{name}"), buckets)
+        now = held | {str(b): f"{landed}/bucket={b}" for b in touched}
+        if again := [b for b in touched if str(b) in held]:
+            both = [f"{root}/{place}" for b in again for place in (held[str(b)], f"{landed}/bucket={b}")]
+            name = f"data-{uuid.uuid4().hex}"
+            _write_buckets(_merged(spark.read.schema(COUNTS).parquet(*both)), buckets, f"{root}/{name}")
+            now |= {str(b): f"{name}/bucket={b}" for b in again}
+        listed = [f"{root}/{now[str(b)]}" for b in touched]
+        fresh = _totals(spark.read.schema(COUNTS).parquet(*listed) if listed else spark.createDataFrame([], COUNTS), buckets)
         if base.number:
             kept = spark.read.schema(TOTALS).parquet(f"{root}/{base.note['totals']}")
             fresh = fresh.unionByName(kept.where(~F.col("bucket").isin(touched)))
         totals = f"data-{uuid.uuid4().hex}"
         fresh.coalesce(1).write.parquet(f"{root}/{totals}")
-        now = held | {str(b): f"{name}/bucket={b}" for b in touched}
         folders = sorted({path.split("/")[0] for path in now.values()} | {totals})
         made = commit(spark, root, base, folders, {"n_buckets": buckets, "buckets": now, "totals": totals})
         if made:
