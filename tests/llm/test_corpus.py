@@ -113,6 +113,28 @@ def test_signatures_never_lose_a_link():
             assert ngram_join.may_link(np.int64(len(a)), ngram_join._folded(x, size), np.int64(len(b)), ngram_join._folded(y, size))
 
 
+def test_join_leaves_little_to_the_driver(spark):
+    """The result itself is a small plan, and no table of a past step is still broadcast."""
+    context = spark.sparkContext
+    made, broadcast = [], context.broadcast
+    docs = documents(spark, near_copies(7, 12, 60, 3) + edge_texts())
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(context), "broadcast", lambda self, value: made.append(broadcast(value)) or made[-1])
+        result = ngram_join.groups(docs)
+    assert len(made) == 2
+    for one in made:
+        assert not Path(one._path).exists()
+    context.setJobGroup("join-result", "the last query")
+    try:
+        assert result.count() == docs.count()
+        assert {r["n_links"] for r in result.collect()} > {0}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    status = context.statusTracker()
+    jobs = [status.getJobInfo(job) for job in status.getJobIdsForGroup("join-result")]
+    assert jobs and len({stage for job in jobs for stage in job.stageIds}) <= 14
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     links = spark.createDataFrame(chain, "a long, b long")

@@ -266,7 +266,7 @@ def _verified(pairs: DataFrame, near: DataFrame) -> DataFrame:
             df = df.join(more, side)
         return df.where(4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb"))
 
-    some = beside(pairs, "bits").mapInArrow(by_bits, "a long, b long")
+    some = stored(beside(pairs, "bits").mapInArrow(by_bits, "a long, b long"), "pairs")
     return stored(beside(some, "grams").mapInArrow(by_sets, "a long, b long"), "links")
 
 
@@ -328,13 +328,10 @@ def _tiles(mixed: DataFrame, near: DataFrame) -> DataFrame:
     return stored(rows.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long"), "links")
 
 
-def link_counts(labels: DataFrame, near: DataFrame) -> DataFrame:
-    """(key, n_links) of the sets in `labels`: with how many other sets each of them links."""
-    sizes = labels.join(near.select("key", "n"), "key").groupBy("label").agg(
-        F.count("*").alias("sets"), F.ceil(F.sum("n") / COUNT_BLOCK).cast("int").alias("blocks")
-    )
-    dealt = labels.join(sizes, "label")
-    several = dealt.where("sets > 2").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+def link_counts(linked: DataFrame, near: DataFrame) -> DataFrame:
+    """(key, n_links) of the sets in `linked` (key, label, sets, blocks): with how many other sets each of them links.
+    `sets` and `blocks` are those of the whole group."""
+    several = linked.where("sets > 2").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     met = several.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = met.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key")
     rows = rows.join(near.select("key", "grams"), "key")
@@ -364,15 +361,13 @@ def link_counts(labels: DataFrame, near: DataFrame) -> DataFrame:
 
     counted = rows.groupBy("label", "i", "j").applyInArrow(count, "key long, n_links long")
     counted = counted.groupBy("key").agg(F.sum("n_links").alias("n_links"))
-    return counted.unionByName(dealt.where("sets = 2").select("key", F.lit(1).cast("long").alias("n_links")))
+    return counted.unionByName(linked.where("sets = 2").select("key", F.lit(1).cast("long").alias("n_links")))
 
 
-def set_labels(texts: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, label) of the sets that link with another one, and the sets that may, with their shingles;
-    `members` is the membership of `texts`."""
-    total = members.agg(F.sum("n")).first()[0] or 0
-    again, common = repeated(texts, total)
-    tables = texts.sparkSession.sparkContext.broadcast((again, common))  # of fixed size
+def _postings(texts: DataFrame, total: int) -> DataFrame:
+    """(token, key, n, lead) of the shingles by which sets may link and that several sets hold."""
+    # The driver and the executors hold the tables, of fixed size, for this one step.
+    tables = texts.sparkSession.sparkContext.broadcast(repeated(texts, total))
 
     def post(batches):
         for batch in batches:
@@ -388,12 +383,16 @@ def set_labels(texts: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFra
             )
 
     sent = stored(texts.mapInArrow(post, "token long, key long, n long").distinct(), "postings")
+    tables.destroy()
     # Keys are hashes, so the least set of a shingle is as good a leader as any. It comes with the shingles that
     # several sets hold: what follows needs no further join or group by shingle, which may be a hot key.
     met = sent.groupBy("token").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead < last")
-    postings = stored(sent.join(met.select("token", "lead"), "token"), "postings")
+    return stored(sent.join(met.select("token", "lead"), "token"), "postings")
+
 
-    # The sets that meet another one, found again in the texts with a table of their keys of fixed size.
+def _near(texts: DataFrame, postings: DataFrame) -> DataFrame:
+    """(key, n, bits, grams) of the sets that meet another one, found again in the texts with a table of their
+    keys of fixed size."""
     slot = F.shiftrightunsigned(F.xxhash64("key"), 64 - TABLE_BITS)
     wanted = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
     marks = postings.select(slot.alias("slot")).groupBy(F.shiftright("slot", 15).alias("at"))
@@ -414,7 +413,15 @@ def set_labels(texts: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFra
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["key", "n", "bits", "grams"])
 
     near = stored(texts.mapInArrow(fetch, "key long, n long, bits binary, grams binary").dropDuplicates(["key"]), "near-sets")
+    asked.destroy()
+    return near
 
+
+def set_labels(texts: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, label) of the sets that link with another one, and the sets that may, with their shingles;
+    `members` is the membership of `texts`."""
+    postings = _postings(texts, members.agg(F.sum("n")).first()[0] or 0)
+    near = _near(texts, postings)
     pairs = postings.where("lead < key").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
     found = _verified(pairs, near)
     rest = _tiles(stored(_mixed(_grouped(found, postings)), "postings"), near)
@@ -426,10 +433,17 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     included, and the number of other sets that its set links with; copies are one set."""
     members = stored(membership(df, id_col, text_col), "shingle-members")
     labels, near = set_labels(df.select(F.col(text_col).alias("text")), members)
-    by_key = members.where("n > 0").groupBy("key").agg(F.min("id").alias("low")).join(labels, "key", "left")
-    by_key = stored(by_key.select("key", "low", F.coalesce("label", "key").alias("label")), "set-groups")
-    lowest = by_key.groupBy("label").agg(F.min("low").alias("component"))
-    named = by_key.join(lowest, "label").join(link_counts(labels, near), "key", "left").select("key", "component", "n_links")
+    by_key = members.where("n > 0").groupBy("key").agg(F.min("id").alias("low"), F.max("n").alias("n"))
+    by_key = stored(by_key.join(labels, "key", "left"), "set-labels")
+    # What follows is stored step by step: in one plan its stages would run at once, and the driver keep account of all their tasks.
+    linked = by_key.where("label is not null")
+    whole = linked.groupBy("label").agg(
+        F.min("low").alias("component"), F.count("*").alias("sets"), F.ceil(F.sum("n") / COUNT_BLOCK).cast("int").alias("blocks")
+    )
+    linked = stored(linked.join(whole, "label").select("key", "label", "component", "sets", "blocks"), "set-groups")
+    counts = stored(link_counts(linked, near), "link-counts")
+    named = by_key.join(linked.select("key", "component"), "key", "left").join(counts, "key", "left")
+    named = stored(named.select("key", F.coalesce("component", "low").alias("component"), "n_links"), "set-names")
     return members.join(named, "key", "left").select(
         "id",
         F.col("n").alias("n_shingles"),
