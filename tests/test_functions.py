@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import threading
 
 import duckdb
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -81,6 +84,52 @@ def test_whole_word(spark):
     assert got == [True, False, False, True, False, None]
 
 
+LISTS = [["late", "wrong item", "wrong"], ["item", "delay", "delayed"], ["a"]]
+
+
+def test_rules_see_the_same_in_the_words_found_as_in_the_text(spark):
+    pieces = ["late", "wrong item", "wrong", "item", "delay", "delayed", "a", "é", "𝒜", "😀", "7", "_", " ", "\n", "\u2028", "-", "x"]
+    made = random.Random(7)
+    texts = ["".join(made.choices(pieces, k=made.randint(0, 12))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None, "late", "late late", "wrong item a"]], "t string")
+    found = text.whole_words_in(F.col("t"), [word for words in LISTS for word in words])
+    seen = [text.whole_word(F.col("found"), words) for words in LISTS]
+    plain = [text.whole_word(F.col("t"), words) for words in LISTS]
+    got = [tuple(r) for r in df.withColumn("found", found).select(*seen, *plain).collect()]
+    assert all(r[:3] == r[3:] for r in got)
+    assert all(any(r[i] for r in got) and not all(r[i] for r in got) for i in range(3))
+    shown = df.select(found).where("t = 'late late' or t = 'wrong item a'").collect()
+    assert [r[0] for r in shown] == ["late\nlate", "wrong item\nitem\na"]
+
+
+def test_hashed_words_are_hashed_once_a_text(monkeypatch):
+    asked = []
+    md5 = vectors.hashlib.md5
+    monkeypatch.setattr(vectors.hashlib, "md5", lambda word, **options: asked.append(word) or md5(word, **options))
+    whole = vectors.hashed_word_counts(b"a b\ta\r\nb\x0bc a", 16)
+    assert sorted(asked) == [b"a", b"b", b"b\x0bc"]
+    monkeypatch.setattr(vectors, "SPLIT_BYTES", 0)
+    assert np.array_equal(vectors.hashed_word_counts(b"a b\ta\r\nb\x0bc a", 16), whole) and whole.any()
+    assert not vectors.hashed_word_counts(b" \n", 16).any()
+
+
+def test_calls_side_by_side(spark):
+    both = threading.Barrier(2, timeout=60)
+    group = "spark.jobGroup.id"
+    spark.sparkContext.setLocalProperty(group, "own")
+
+    def call():
+        both.wait()
+        return spark.range(3).count(), spark.sparkContext.getLocalProperty(group)
+
+    assert session.at_once(spark, [call, call]) == [(3, "own")] * 2
+    spark.sparkContext.setLocalProperty(group, None)
+    ended = []
+    with pytest.raises(ZeroDivisionError):
+        session.at_once(spark, [lambda: 1 / 0, lambda: ended.append(spark.range(3).count())])
+    assert ended == [3] and session.at_once(spark, []) == []
+
+
 @pytest.mark.parametrize(
     ("raw", "clean"),
     [

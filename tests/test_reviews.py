@@ -111,6 +111,18 @@ def test_built_in_embedding(spark):
             assert np.array_equal(np.array(r["embedding"], dtype=np.float32), want)
 
 
+def test_built_in_jobs_go_through_a_text_once(spark):
+    reviews = texts(spark, "Came late, and broken", None)
+    for job in (enrichment.classify_by_rules, retrieval.build_embeddings):
+        plan = job(reviews)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("lower(") == 1 and "split(" not in plan and "Contains(lower" not in plan
+    rules = enrichment.classify_by_rules(reviews)._jdf.queryExecution().optimizedPlan().toString()
+    assert rules.count("regexp_extract_all(") == 1
+    assert rows(enrichment.classify_by_rules(reviews)) == [
+        (1, "negative", "shipping_delay", "medium"), (2, "neutral", "none", "low"),
+    ]
+
+
 def test_embedding_by_a_model_and_only_complaints(spark, tmp_path):
     reviews = spark.createDataFrame(
         [(i, 1, 1, 1, None, rating, "t" * i, "none") for i, rating in enumerate((1, 3, 4, None), 1)],
