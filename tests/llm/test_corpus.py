@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import random
+import time
 from pathlib import Path
 
 import duckdb
 import numpy as np
 import pytest
-from helpers import FOLD, WORD, documents, edge_texts, empty_documents, found, prose
+from helpers import DOCUMENTS, FOLD, WORD, documents, edge_texts, empty_documents, found, prose
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from tillroll.llm import ann, components, mixing, ngram_join, quality
+from tillroll.llm.common import stored
 
 SAMPLE = Path("/root/testdata/sf0.001")
 
@@ -113,6 +115,64 @@ def test_signatures_never_lose_a_link():
             assert ngram_join.may_link(np.int64(len(a)), ngram_join._folded(x, size), np.int64(len(b)), ngram_join._folded(y, size))
 
 
+def test_copies_are_read_once(spark):
+    """Of copies one text goes on; all texts do that stand alone, and rows alike in id and text."""
+    texts = [prose(i, 40, 10_000) for i in range(50)]
+    rows = [(i, texts[i % 40], "en", "s", 1) for i in range(1200)] + [(2000 + i, t, "en", "s", 1) for i, t in enumerate(texts[40:])]
+    rows += [(None, texts[0], None, None, None), (2000, texts[40], "de", "t", 2), (3000, None, None, None, None), (3001, " ", None, None, None)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    members = ngram_join.membership(docs, "doc_id", "text")
+    first, shingles = ngram_join.first_texts(docs, members, "doc_id", "text")
+    got = [r["text"] for r in first.collect()]
+    assert set(got) >= set(texts) and len(got) < len(rows) / 4
+    assert shingles == 50 * 36
+
+
+def test_shingles_are_sent_in_few_bytes():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 2, 3300):
+        numbers = np.sort(rng.integers(0, 1 << 32, size, dtype=np.uint32))
+        data = ngram_join.packed(numbers)
+        assert (ngram_join.unpacked(data, size) == numbers).all() and len(data) < 3.1 * size + 40
+    assert [ngram_join.table_bits(n) for n in (0, 10**8, 3 * 10**8, 10**12)] == [27, 27, 29, 29]
+
+
+def test_bitmaps_of_any_width(spark):
+    slots = spark.createDataFrame([(1, 5), (1, 40_000), (2, 5), (1, 5)], "level int, slot long")
+    one, two = ngram_join.bitmaps(slots, (17, 16))
+    assert (len(one), len(two)) == (1 << 14, 1 << 13)
+    grams = np.array([5, 6, 40_000], np.uint64)
+    assert ngram_join._in_table(one, grams << np.uint64(47)).tolist() == [True, False, True]
+    assert ngram_join._in_table(two, grams << np.uint64(48)).tolist() == [True, False, False]
+
+
+def test_sets_that_come_twice_are_one(spark, monkeypatch):
+    texts = near_copies(11, 12, 60, 3)
+    docs = documents(spark, texts + edge_texts())
+    docs = docs.unionByName(docs)
+    expected = plain_groups([(r["doc_id"], r["text"]) for r in docs.collect()])
+    monkeypatch.setattr(ngram_join, "REPEATED_KEYS", 2)
+    assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.groups(docs).collect()} == expected
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        return {name for name in files.getAllFiles().mkString("\n").split() if "/shuffle_" in name}
+
+    before, key = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = spark.conf.get(key)
+    made = stored(spark.range(1000).withColumn("x", F.xxhash64("id")).repartition(3, "x"), "test")
+    more = stored(made.groupBy((F.col("x") % 7).alias("k")).count(), "test")
+    end = time.monotonic() + 20  # files go in the background
+    while shuffled() - before and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(key) == held
+    assert made.count() == 1000 and more.count() == 13
+
+
 def test_join_leaves_little_to_the_driver(spark):
     """The result itself is a small plan, and no table of a past step is still broadcast."""
     context = spark.sparkContext

@@ -3,9 +3,10 @@
 A text is the set of its distinct five-word shingles, hashed to 64 bits. Two texts link when their sets have
 a Jaccard similarity of at least 0.75. The steps:
 
-1. Every set is named by a hash of itself, so copies are one set from here on.
+1. Every set is named by a hash of itself, so copies are one set from here on: what follows reads the text of one
+   row for each set, and of the few others that a Bloom filter lets pass.
 2. How many sets hold a shingle is counted for all of them, roughly: each batch sends each of its shingles
-   once, and what occurs again goes into bitmaps of a fixed size. Rare ones are put before common ones, then
+   once, and what occurs again goes into bitmaps of bounded size. Rare ones are put before common ones, then
    by hash. Two sets that link must share a shingle among the first quarter of each; only shingles that occur
    again matter there, so most sets have none.
 3. First each set meets one leader per shingle; those that link are joined. Then sets of different groups that
@@ -34,14 +35,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.bloom import BloomFilter, bloom_filter, mark_maybe
 from tillroll.llm.common import ragged, stored, text_pieces, words_of
 from tillroll.llm.components import components
 
 SHINGLE = 5
-# Shingles per part of the count, and bits of the tables of what occurs again.
+# Shingles per part of the count; the tables of what occurs again have 2^TABLE_BITS bits, and up to 2^MOST_TABLE_BITS
+# where there are more shingles.
 PART_SHINGLES = 4_000_000
-TABLE_BITS = 27
+TABLE_BITS, MOST_TABLE_BITS = 27, 29
 COMMON = 16
+# Keys that stand on several fetched sets are broadcast up to this many; beyond it all fetched sets are grouped by key.
+REPEATED_KEYS = 100_000
 # Shingles of a block of sets; a tile holds two blocks.
 BLOCK = 1_500_000
 # Shingles of a block of one group whose links are counted.
@@ -138,18 +143,46 @@ def membership(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts.mapInArrow(run, "id long, n long, key long, mark long")
 
 
-def _slots(grams: np.ndarray) -> np.ndarray:
-    """Where shingles stand in the tables."""
-    return (grams >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+def first_texts(df: DataFrame, members: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """The text of one row of each set, and of some others; the shingles of all sets. `members` is the membership of `df`.
+
+    So copies are neither cut into shingles again nor sent. The row whose hash is least stands for its set; a Bloom
+    filter tells the rows, so the texts stay where they are. It lets some others pass, and rows alike in id and text.
+    """
+    first = members.where("n > 0").groupBy("key").agg(F.min(F.xxhash64("id", "mark")).alias("row"), F.max("n").alias("n"))
+    first = stored(first, "distinct-sets")
+    sets, total = first.agg(F.count("*"), F.sum("n")).first()
+    bloom = bloom_filter(first, F.col("row"), sets)
+    bloom = BloomFilter(stored(bloom.table, "distinct-rows"), bloom.blocks)
+    text = F.col(text_col)
+    rows = df.select(F.xxhash64(F.col(id_col).cast("long"), text_mark(text)).alias("row"), text.alias("text"))
+    return mark_maybe(rows, F.col("row"), bloom, "__maybe").where("__maybe").select("text"), total or 0
+
+
+def table_bits(total: int) -> int:
+    """Bits of the number of a slot, for so many shingles."""
+    return max(TABLE_BITS, min(MOST_TABLE_BITS, int(total).bit_length()))
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers in few bytes: their steps, bytes of one weight side by side."""
+    steps = np.diff(numbers, prepend=np.uint32(0)).astype("<u4")
+    return pa.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * size, codec="zstd", asbytes=True), np.uint8).reshape(4, size)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
 def repeated(texts: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bitmaps of the shingles that occur in two sets at least, and in COMMON; TABLE_BITS bound their size.
+    """Bitmaps of the shingles that occur in two sets at least, and in COMMON.
 
     A shingle is sent as 32 bits within its part. Parts grow in number with the input, so the chance that two
-    shingles agree by accident stays the same.
+    shingles agree by accident stays the same; the first bitmap grows as well, within its bound, as it would fill up.
     """
     parts = max(1, -(-total // PART_SHINGLES))
+    widths = (table_bits(total), TABLE_BITS)
 
     def send(batches):
         for sets in (chunk for batch in batches for chunk in _chunks(batch)):
@@ -160,38 +193,49 @@ def repeated(texts: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
             short = (grams >> np.uint64(32)).astype(np.uint32)[order]
             few = np.minimum(counts, 255).astype(np.uint8)[order]
             filled = [p for p in range(parts) if edges[p + 1] > edges[p]]
+            own = [slice(edges[p], edges[p + 1]) for p in filled]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(filled, pa.int32()), pa.array([short[edges[p] : edges[p + 1]].tobytes() for p in filled], pa.binary()),
-                 pa.array([few[edges[p] : edges[p + 1]].tobytes() for p in filled], pa.binary())],
+                [pa.array(filled, pa.int32()), pa.array([packed(short[x]) for x in own], pa.binary()),
+                 pa.array([few[x].tobytes() for x in own], pa.binary())],
                 ["part", "short", "few"],
             )
 
     def count(found: pa.Table) -> pa.Table:
-        short = np.concatenate([np.frombuffer(b, np.uint32) for b in found["short"].to_pylist()])
-        few = np.concatenate([np.frombuffer(b, np.uint8) for b in found["few"].to_pylist()])
+        few = found["few"].to_pylist()
+        short = np.concatenate([unpacked(b, len(n)) for b, n in zip(found["short"].to_pylist(), few)])
+        few = np.concatenate([np.frombuffer(b, np.uint8) for b in few])
         order = np.argsort(short, kind="stable")
         short, few = short[order], few[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], short[1:] != short[:-1])))
         sums = np.add.reduceat(few, first)
-        slots = (short[first] >> np.uint32(32 - TABLE_BITS)).astype(np.int64)
-        levels = [(1, np.unique(slots[sums >= 2])), (2, np.unique(slots[sums >= COMMON]))]
+        levels = [
+            (level, np.unique(short[first[sums >= least]] >> np.uint32(32 - width)).astype(np.int64))
+            for level, least, width in zip((1, 2), (2, COMMON), widths)
+        ]
         return pa.table({
             "level": pa.array(np.concatenate([np.full(len(s), lv, np.int32) for lv, s in levels])),
             "slot": pa.array(np.concatenate([s for _, s in levels])),
         })
 
     sent = texts.mapInArrow(send, "part int, short binary, few binary")
-    slots = sent.groupBy("part").applyInArrow(count, "level int, slot long")
+    again, common = bitmaps(sent.groupBy("part").applyInArrow(count, "level int, slot long"), widths)
+    return again, common
+
+
+def bitmaps(slots: DataFrame, widths: tuple[int, ...]) -> list[np.ndarray]:
+    """The numbers in `slots` (level, slot), of the levels 1, 2, ..., as bits; those of a level are below 2^width."""
+    tables = [np.zeros((1 << width) // 8, np.uint8) for width in widths]
     bits = slots.groupBy("level", F.shiftright("slot", 15).alias("at")).agg(
         F.bitmap_construct_agg(F.col("slot").bitwiseAND(32767)).alias("bits")
     )
-    tables = np.zeros((2, (1 << TABLE_BITS) // 8), np.uint8)
-    for row in bits.collect():  # at most 2 x 2^(TABLE_BITS - 15) rows of 4 KB
-        tables[row["level"] - 1, row["at"] * 4096 : (row["at"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
-    return tables[0], tables[1]
+    for row in stored(bits, "bitmaps").collect():  # at most 2^(width - 15) rows of 4 KB for a level
+        tables[row["level"] - 1][row["at"] * 4096 : (row["at"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return tables
 
 
-def _in_table(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+def _in_table(table: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Which shingles are marked in a bitmap, of whatever width."""
+    slots = (grams >> np.uint64(65 - (8 * len(table)).bit_length())).astype(np.int64)
     return (table[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -199,13 +243,12 @@ def prefix(grams: np.ndarray, again: np.ndarray, common: np.ndarray) -> np.ndarr
     """Those of the set's first shingles, rare ones first, that may occur elsewhere."""
     n = len(grams)
     first = n - (3 * n + 3) // 4 + 1
-    slots = _slots(grams)
-    shared = _in_table(again, slots)
+    shared = _in_table(again, grams)
     left = first - (n - int(shared.sum()))
     if left <= 0:
         return grams[:0]
-    grams, slots = grams[shared], slots[shared]
-    often = _in_table(common, slots)
+    grams = grams[shared]
+    often = _in_table(common, grams)
     return np.concatenate((grams[~often], grams[often]))[:left]
 
 
@@ -373,16 +416,15 @@ def _postings(texts: DataFrame, total: int) -> DataFrame:
         for batch in batches:
             tokens, keys, sizes = [np.zeros(0, np.uint64)], [], []
             for key, grams in _distinct_sets(batch):
-                own = prefix(grams, *tables.value)
-                tokens.append(own)
-                keys += [key] * len(own)
-                sizes += [len(grams)] * len(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())],
-                ["token", "key", "n"],
-            )
-
-    sent = stored(texts.mapInArrow(post, "token long, key long, n long").distinct(), "postings")
+                tokens.append(prefix(grams, *tables.value))
+                keys.append(key)
+                sizes.append(len(grams))
+            held = [len(own) for own in tokens[1:]]
+            columns = np.concatenate(tokens).view(np.int64), *(np.repeat(np.array(x, np.int64), held) for x in (keys, sizes))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["token", "key", "n"])
+
+    # A set may be here twice, which changes nothing below.
+    sent = stored(texts.mapInArrow(post, "token long, key long, n long"), "postings")
     tables.destroy()
     # Keys are hashes, so the least set of a shingle is as good a leader as any. It comes with the shingles that
     # several sets hold: what follows needs no further join or group by shingle, which may be a hot key.
@@ -394,10 +436,7 @@ def _near(texts: DataFrame, postings: DataFrame) -> DataFrame:
     """(key, n, bits, grams) of the sets that meet another one, found again in the texts with a table of their
     keys of fixed size."""
     slot = F.shiftrightunsigned(F.xxhash64("key"), 64 - TABLE_BITS)
-    wanted = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
-    marks = postings.select(slot.alias("slot")).groupBy(F.shiftright("slot", 15).alias("at"))
-    for row in marks.agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(32767)).alias("bits")).collect():
-        wanted[row["at"] * 4096 : (row["at"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    (wanted,) = bitmaps(postings.select(F.lit(1).alias("level"), slot.alias("slot")), (TABLE_BITS,))
     asked = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def fetch(batches):
@@ -412,15 +451,23 @@ def _near(texts: DataFrame, postings: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["key", "n", "bits", "grams"])
 
-    near = stored(texts.mapInArrow(fetch, "key long, n long, bits binary, grams binary").dropDuplicates(["key"]), "near-sets")
+    found = stored(texts.mapInArrow(fetch, "key long, n long, bits binary, grams binary"), "near-sets")
     asked.destroy()
-    return near
-
-
-def set_labels(texts: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    # Sets are told apart on their keys alone, and only those that came twice are moved for it.
+    twice = stored(found.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key"), "repeated-keys")
+    n = twice.count()
+    if not n:
+        return found
+    if n > REPEATED_KEYS:
+        return stored(found.dropDuplicates(["key"]), "near-sets")
+    once = stored(found.join(F.broadcast(twice), "key", "left_semi").dropDuplicates(["key"]), "near-sets")
+    return found.join(F.broadcast(twice), "key", "left_anti").unionByName(once)
+
+
+def set_labels(texts: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
     """(key, label) of the sets that link with another one, and the sets that may, with their shingles;
-    `members` is the membership of `texts`."""
-    postings = _postings(texts, members.agg(F.sum("n")).first()[0] or 0)
+    `total` is the number of shingles of all sets."""
+    postings = _postings(texts, total)
     near = _near(texts, postings)
     pairs = postings.where("lead < key").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct()
     found = _verified(pairs, near)
@@ -432,7 +479,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """(id, n_shingles, component_id, n_links) of every row: the smallest id reachable by links, its own
     included, and the number of other sets that its set links with; copies are one set."""
     members = stored(membership(df, id_col, text_col), "shingle-members")
-    labels, near = set_labels(df.select(F.col(text_col).alias("text")), members)
+    labels, near = set_labels(*first_texts(df, members, id_col, text_col))
     by_key = members.where("n > 0").groupBy("key").agg(F.min("id").alias("low"), F.max("n").alias("n"))
     by_key = stored(by_key.join(labels, "key", "left"), "set-labels")
     # What follows is stored step by step: in one plan its stages would run at once, and the driver keep account of all their tasks.
@@ -456,7 +503,7 @@ def firsts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """(id, mark, n_rows) of one row of each group, with the number of rows that are alike in both: the row of
     smallest id, then of smallest key; null ids come last. Texts without words are groups of their own."""
     members = stored(membership(df, id_col, text_col), "shingle-members")
-    labels, _ = set_labels(df.select(F.col(text_col).alias("text")), members)
+    labels, _ = set_labels(*first_texts(df, members, id_col, text_col))
     alike = members.groupBy("n", "key", "id", "mark").agg(F.count("*").alias("n_rows"))
     row = F.struct(F.col("id").isNull().alias("last"), "id", "key", "mark", "n_rows")
     by_key = alike.where("n > 0").groupBy("key").agg(F.min(row).alias("row"))
