@@ -302,3 +302,28 @@ def test_landing_without_a_day_is_of_today(spark, tmp_path, orders):
     landing.land_raw(orders, str(tmp_path), "orders")
     today = spark.sql("select cast(current_date() as string)").first()[0]
     assert landing.landed_days(spark, str(tmp_path), "orders") == [today]
+
+
+def test_keys_of_large_inputs_are_not_broadcast_for_their_small_files(spark, tmp_path):
+    """Over a large input a table counts as what it takes in memory, not as its compressed file."""
+    path = str(tmp_path / "keys")
+    spark.range(300_000).select((F.col("id") % 100).alias("k"), "id").write.parquet(path)
+    files = tables.path_bytes(spark, path)
+
+    def joined():
+        keys = spark.read.parquet(path).select("id")
+        return spark.read.parquet(path).join(keys, "id", "left_semi")
+
+    def broadcasts(df) -> bool:
+        return "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+
+    before = spark.conf.get(session.FILE_FACTOR)
+    with session.setting(spark, session.FILE_FACTOR, "1.0"), session.setting(spark, "spark.sql.autoBroadcastJoinThreshold", str(2 * files)):
+        with session.fitted_partitions(spark, 1 << 20):
+            assert broadcasts(joined())
+        with session.fitted_partitions(spark, 1 << 30):
+            large = joined()
+            assert not broadcasts(large)
+            assert large.count() == 300_000
+        assert spark.conf.get(session.FILE_FACTOR) == "1.0"
+    assert spark.conf.get(session.FILE_FACTOR) == before
